@@ -248,3 +248,114 @@ detail AS (SELECT {detail_select()}, SOURCE_FILE, SOURCE_DIR FROM inserted)
 
 def with_base(body: str, unit: str = "seconds") -> str:
     return f"WITH {base_ctes(unit)}\n{body}"
+
+
+# --------------------------------------------------------------------------
+# Strict-ingest fixture (SQL twin of fixtures.csv_lines) and expected staging
+# --------------------------------------------------------------------------
+CSV_COLUMNS = [
+    "DATASOURCE", "A_MSISDN", "B_MSISDN", "ORIG_START_TIME", "APN", "CALL_TYPE", "EVENT_TYPE",
+    "CHARGING_ID", "SERVICE_ID", "SUBSCRIBER_TYPE", "ROAMING_TYPE", "PARTNER", "FILTER_CODE",
+    "FLEX_FLD1", "FLEX_FLD2", "FLEX_FLD3", "EVENT_COUNT", "DATA_VOLUME", "EVENT_DURATION",
+    "CHARGE_AMOUNT", "DA_AMOUNT_CALC", "MA_AMNT_CALC", "KEYWORD", "CALL_REFERENCE", "RECORD_ID",
+]
+DROPPED_17 = ("KEYWORD", "CALL_REFERENCE", "RECORD_ID")
+
+
+def _file_cols(no: int) -> list[str]:
+    if no == 15:
+        return list(reversed(CSV_COLUMNS))
+    if no == 17:
+        return [c for c in CSV_COLUMNS if c not in DROPPED_17]
+    return list(CSV_COLUMNS)
+
+
+def _q(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '' ELSE '\"' || replace({c}, '\"', '\"\"') || '\"' END"
+
+
+def _join(cols) -> str:
+    return " || ',' || ".join(_q(c) for c in cols)
+
+
+RAW13 = f"""
+SELECT * REPLACE (CASE WHEN SOURCE_LINE % 20 = 13 THEN FLEX_FLD1 || chr(13) || 'y' ELSE FLEX_FLD1 END AS FLEX_FLD1),
+       CAST(SOURCE_LINE % 20 AS INTEGER) AS FILE_NO,
+       CAST(SOURCE_LINE // 20 + 1 AS BIGINT) AS R
+FROM ({CDR_RAW})
+"""
+
+_LINE = f"""CASE WHEN FILE_NO = 15 THEN {_join(_file_cols(15))}
+     WHEN FILE_NO = 17 THEN {_join(_file_cols(17))}
+     WHEN FILE_NO = 3 AND R = 1 THEN {_join(CSV_COLUMNS[:-1])}
+     WHEN FILE_NO = 5 AND R = 5 THEN {_join(CSV_COLUMNS)} || '\"'
+     ELSE {_join(CSV_COLUMNS)} END"""
+
+_LINE_NO = "CASE WHEN FILE_NO = 7 THEN 1 + R + (R - 1) // 10 ELSE 1 + R END"
+
+
+def _header(no: int) -> str:
+    cols = _file_cols(no)
+    if no == 9:
+        cols = ["UNKNOWN_FIELD_1" if c == "FLEX_FLD2" else c for c in cols]
+    return ",".join(cols)
+
+
+_HEADER = (
+    "CASE FILE_NO "
+    + " ".join(f"WHEN {n} THEN '{_header(n)}'" for n in (9, 15, 17))
+    + f" ELSE '{_header(0)}' END"
+)
+
+CSV_LINES = f"""
+WITH raw13 AS ({RAW13})
+SELECT SOURCE_DIR, SOURCE_FILE AS FILE_NAME, CAST(1 AS BIGINT) AS LINE_NO, {_HEADER} AS LINE
+FROM (SELECT DISTINCT SOURCE_DIR, SOURCE_FILE, FILE_NO FROM raw13)
+UNION ALL
+SELECT SOURCE_DIR, SOURCE_FILE, CAST({_LINE_NO} AS BIGINT), {_LINE} FROM raw13
+UNION ALL
+SELECT SOURCE_DIR, SOURCE_FILE, CAST({_LINE_NO} + 1 AS BIGINT), '' FROM raw13 WHERE FILE_NO = 7 AND R % 10 = 0
+"""
+
+# Expected outcome per file, known by construction.
+FILE_ROUTING = f"""
+SELECT SOURCE_DIR, SOURCE_FILE AS FILE_NAME,
+  CASE WHEN FILE_NO IN (3, 5, 9) THEN 'ERROR' ELSE 'SUCCESS' END AS STATUS,
+  CASE FILE_NO WHEN 3 THEN 'LOAD_ERROR' WHEN 5 THEN 'LOAD_ERROR' WHEN 9 THEN 'WHITELIST_ERROR' END AS ERROR_CLASS,
+  CASE FILE_NO WHEN 3 THEN 'LOAD_ERROR: Wrong column count at data line 2 got=24 expected=25'
+               WHEN 5 THEN 'LOAD_ERROR: Broken line (unbalanced quotes) at data line 6'
+               WHEN 9 THEN 'WHITELIST_ERROR: Unknown columns: UNKNOWN_FIELD_1' END AS MESSAGE,
+  CAST(CASE FILE_NO WHEN 3 THEN 2 WHEN 5 THEN 6 END AS BIGINT) AS FIRST_BAD_LINE,
+  CAST(COUNT(*) AS BIGINT) AS ROWS_CSV
+FROM ({RAW13}) GROUP BY SOURCE_DIR, SOURCE_FILE, FILE_NO
+"""
+
+
+def staged_sql(load_ts: str = AS_OF) -> str:
+    cols = []
+    for c in CSV_COLUMNS:
+        e = f"NULLIF({c}, '')"
+        if c in DROPPED_17:
+            e = f"CASE WHEN FILE_NO = 17 THEN NULL ELSE {e} END"
+        cols.append(f"{e} AS {c}")
+    return (
+        f"SELECT {', '.join(cols)}, SOURCE_FILE, SOURCE_DIR, {load_ts} AS LOAD_TS, "
+        f"CAST({_LINE_NO} AS BIGINT) AS SOURCE_LINE FROM ({RAW13}) WHERE FILE_NO NOT IN (3, 5, 9)"
+    )
+
+
+def load_ctes(staged: str) -> str:
+    """staged -> flagged -> valid -> keep_first -> inserted (CTEs)."""
+    return f"""
+staged AS ({staged}),
+detail_existing AS ({DETAIL_EXISTING}),
+flagged AS ({flagged_sql('staged')}),
+valid AS (SELECT * FROM flagged WHERE len(REJECT_REASONS) = 0),
+first_per_key AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY DEDUP_KEY ORDER BY SOURCE_FILE, SOURCE_DIR, SOURCE_LINE) AS rn
+    FROM valid) WHERE rn = 1),
+inserted AS (
+  SELECT * FROM first_per_key f
+  WHERE NOT EXISTS (SELECT 1 FROM detail_existing d WHERE d.CHARGING_ID = f.DEDUP_KEY))
+"""

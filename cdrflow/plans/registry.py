@@ -583,3 +583,5 @@ register(
         "COUNT(DISTINCT A_MSISDN) AS SUBSCRIBERS FROM detail GROUP BY EVENT_TYPE"
     ),
 )(flagship)
+
+from cdrflow.plans import registry_ingest as _ingest  # noqa: E402,F401  (registers ingest queries)
