@@ -585,3 +585,4 @@ register(
 )(flagship)
 
 from cdrflow.plans import registry_ingest as _ingest  # noqa: E402,F401  (registers ingest queries)
+from cdrflow.plans import registry_maintain as _maintain  # noqa: E402,F401  (registers maintenance queries)
