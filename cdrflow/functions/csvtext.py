@@ -49,11 +49,22 @@ def parse_fields(line, width: int, delimiter: str = ",", quote: str = '"') -> Co
     return F.from_csv(line, schema, csv_options(delimiter, quote))
 
 
-def parse_header(line, width: int, n_cols, delimiter: str = ",", quote: str = '"') -> Column:
-    """Header names as an array of ``n_cols`` strings (empty name -> '')."""
-    s = parse_fields(line, width, delimiter, quote)
-    arr = F.array(*[F.coalesce(s.getField(f"_c{i}"), F.lit("")) for i in range(width)])
-    return F.slice(arr, 1, n_cols)
+def split_fields(line, delimiter: str = ",", quote: str = '"') -> Column:
+    """All fields of a line as an array of strings, unquoted.
+
+    Same field rule as ``field_count``: a quoted section opens only at the
+    start of a field; inside it a doubled enclosure is one enclosure.
+    """
+    d, q = _hex(delimiter), _hex(quote)
+    token = rf"(?:\A|{d})((?:[ \t]*+{q}(?:[^{q}]++|{q}{q})*+{q}[^{d}]*+)|[^{d}]*+)"
+    toks = F.regexp_extract_all(line, F.lit(token), 1)
+    opened = rf"\A[ \t]*+{q}((?:[^{q}]++|{q}{q})*+){q}"
+
+    def unquote(t: Column) -> Column:
+        inner = F.regexp_replace(t, opened, "$1")
+        return F.when(t.rlike(rf"\A[ \t]*+{q}"), F.replace(inner, F.lit(quote * 2), F.lit(quote))).otherwise(t)
+
+    return F.transform(toks, unquote)
 
 
 def _base_name(x: Column) -> Column:

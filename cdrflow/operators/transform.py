@@ -93,7 +93,18 @@ def reject_reasons(mapping=OCC_MAPPING, dedup_keys=OCC_DEDUP_KEYS, unit: str = "
             checks.append(F.when(~C.valid_epoch(src, unit), F.lit(f"{BAD_TIMESTAMP}:{spec.source}")))
     if dedup_keys:
         checks.append(F.when(C.dedup_key(dedup_keys).isNull(), F.lit(NO_DEDUP_KEY)))
-    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+    return _non_null_array(checks)
+
+
+def _non_null_array(items: list[Column]) -> Column:
+    """Array of the non-NULL items, in order.
+
+    Built as ``concat_ws`` + ``split`` (both code-generated) instead of a
+    lambda ``filter``, which Spark evaluates row by row in interpreted mode.
+    The items never contain the separator.
+    """
+    text = F.concat_ws("\u0001", *items)
+    return F.when(text == "", F.array().cast(T.ArrayType(T.StringType()))).otherwise(F.split(text, "\u0001"))
 
 
 def constraint_violations(mapping=OCC_MAPPING) -> Column:
@@ -105,7 +116,7 @@ def constraint_violations(mapping=OCC_MAPPING) -> Column:
     ]
     if not checks:
         return F.array().cast(T.ArrayType(T.StringType()))
-    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+    return _non_null_array(checks)
 
 
 def flag(
@@ -120,6 +131,11 @@ def flag(
     passthrough = [c for c in TECHNICAL_COLUMNS if c in staging.columns]
     passthrough += [c for c in keep if c not in passthrough]
     key = C.dedup_key(dedup_keys, _key_max_length(mapping, dedup_keys)) if dedup_keys else F.lit(None)
+    # Filters on the flags (valid / rejected split) must read the computed
+    # columns, not be pushed below this projection with every check inlined
+    # (that evaluates each check twice per row).  A nondeterministic identity
+    # on the key (spark_partition_id() >= 0 is always true) keeps them above.
+    key = F.when(F.spark_partition_id() >= 0, key)
     return staging.select(
         *passthrough,
         key.cast(T.StringType()).alias("DEDUP_KEY"),

@@ -66,12 +66,10 @@ def header_info(
     dialect: CsvDialect = CsvDialect(),
     validate: str = "raw",
 ) -> DataFrame:
-    """Per file: raw and sanitized header names, count, whitelist result."""
-    n = X.field_count(F.col("HEADER_LINE"), dialect.delimiter, dialect.quote)
-    with_n = headers.withColumn("N_COLS", n.cast("int"))
-    width = with_n.agg(F.max("N_COLS")).first()[0] or 1
-    raw = X.parse_header(F.col("HEADER_LINE"), int(width), F.col("N_COLS"), dialect.delimiter, dialect.quote)
-    info = with_n.withColumn("HEADER_RAW", raw).withColumn("HEADER_COLS", X.sanitize_columns(F.col("HEADER_RAW")))
+    """Per file: raw and sanitized header names, count, whitelist result (lazy)."""
+    raw = X.split_fields(F.col("HEADER_LINE"), dialect.delimiter, dialect.quote)
+    info = headers.withColumn("HEADER_RAW", raw).withColumn("N_COLS", F.size("HEADER_RAW").cast("int"))
+    info = info.withColumn("HEADER_COLS", X.sanitize_columns(F.col("HEADER_RAW")))
     checked = F.col("HEADER_RAW") if validate == "raw" else F.col("HEADER_COLS")
     info = info.withColumn("UNKNOWN_COLUMNS", validate_columns(checked, allowed, mode, mapping_keys))
     bad_store = (
@@ -82,12 +80,16 @@ def header_info(
     return info.withColumn("NOT_IN_STAGING", bad_store)
 
 
-def _layouts(info: DataFrame) -> tuple[list[list[str]], int]:
-    """Distinct sanitized header layouts and the widest header (metadata)."""
-    rows = info.select("HEADER_COLS").distinct().collect()
-    layouts = sorted([list(r[0]) for r in rows])
-    width = max([len(x) for x in layouts] + [1])
-    return layouts, width
+def layouts(info: DataFrame) -> tuple[list[list[str]], int, int]:
+    """Distinct sanitized header layouts, widest header, number of files.
+
+    One small aggregate over file metadata: the set of layouts is bounded by
+    the number of distinct headers, not by the data.
+    """
+    r = info.agg(F.collect_set("HEADER_COLS").alias("L"), F.count(F.lit(1)).alias("N")).first()
+    lays = sorted([list(x) for x in (r["L"] or [])])
+    width = max([len(x) for x in lays] + [1])
+    return lays, width, int(r["N"])
 
 
 def parse_lines(
@@ -101,13 +103,12 @@ def parse_lines(
     Blank lines are skipped (still counted in LINE_NO).  Checks, in order:
     odd number of enclosures, then field count vs the header's.
     """
-    layouts, width = _layouts(info)
+    lays, width, n_files = layouts(info)
     key = F.concat_ws("\u0001", F.col("HEADER_COLS"))
     layout_idx = F.lit(None).cast("int")
-    for i, names in enumerate(layouts):
+    for i, names in enumerate(lays):
         layout_idx = F.when(key == F.lit("\u0001".join(names)), F.lit(i)).otherwise(layout_idx)
     small = info.select(*FILE, "N_COLS", layout_idx.alias("LAYOUT"))
-    n_files = small.count()
     if n_files <= BROADCAST_FILES_MAX:
         small = F.broadcast(small)
     data = lines.where((F.col("LINE_NO") > 1) & (F.col("LINE") != "")).join(small, FILE, "inner")
@@ -120,15 +121,20 @@ def parse_lines(
               F.format_string("Wrong column count at data line %d got=%d expected=%d",
                               F.col("LINE_NO"), got, F.col("N_COLS")))
     )
-    fields = X.parse_fields(F.col("LINE"), width, dialect.delimiter, dialect.quote)
+    # parse once into a struct column; the staging columns read its fields in
+    # the next projection (the parser is never repeated per column)
+    parsed = data.select(
+        *FILE, "LINE_NO", "LAYOUT", err.alias("LINE_ERROR"),
+        X.parse_fields(F.col("LINE"), width, dialect.delimiter, dialect.quote).alias("_F"),
+    )
     values = []
     for col in staging_columns:
         e = F.lit(None).cast(T.StringType())
-        for i, names in enumerate(layouts):
+        for i, names in enumerate(lays):
             if col in names:
-                e = F.when(F.col("LAYOUT") == i, fields.getField(f"_c{names.index(col)}")).otherwise(e)
+                e = F.when(F.col("LAYOUT") == i, F.col("_F").getField(f"_c{names.index(col)}")).otherwise(e)
         values.append(F.nullif(e, F.lit("")).alias(col))
-    return data.select(*FILE, "LINE_NO", err.alias("LINE_ERROR"), *values)
+    return parsed.select(*FILE, "LINE_NO", "LINE_ERROR", *values)
 
 
 def file_routing(info: DataFrame, parsed: DataFrame, listing: DataFrame | None = None) -> DataFrame:
