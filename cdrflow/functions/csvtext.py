@@ -56,8 +56,10 @@ def split_fields(line, delimiter: str = ",", quote: str = '"') -> Column:
     start of a field; inside it a doubled enclosure is one enclosure.
     """
     d, q = _hex(delimiter), _hex(quote)
-    token = rf"(?:\A|{d})((?:[ \t]*+{q}(?:[^{q}]++|{q}{q})*+{q}[^{d}]*+)|[^{d}]*+)"
-    toks = F.regexp_extract_all(line, F.lit(token), 1)
+    # every field is matched together with the delimiter in front of it (one
+    # is prepended), so no match is empty and no field is skipped
+    token = rf"{d}((?:[ \t]*+{q}(?:[^{q}]++|{q}{q})*+{q}[^{d}]*+)|[^{d}]*+)"
+    toks = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(token), 1)
     opened = rf"\A[ \t]*+{q}((?:[^{q}]++|{q}{q})*+){q}"
 
     def unquote(t: Column) -> Column:
