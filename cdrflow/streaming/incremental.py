@@ -24,12 +24,15 @@ from pyspark.sql.streaming import StreamingQuery
 from cdrflow.plans.batch_load import LoadOptions, run_load
 from cdrflow.sources.landing import CSV_GLOB
 
+# Fixed schema of the binary-file source; ``content`` is never selected.
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def landing_stream(spark: SparkSession, feeds: dict[str, str], max_files: int | None = None,
                    archive_dir: str | None = None) -> DataFrame:
     parts = []
     for feed, path in feeds.items():
-        r = spark.readStream.format("binaryFile").option("pathGlobFilter", CSV_GLOB)
+        r = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", CSV_GLOB)
         if max_files:
             r = r.option("maxFilesPerTrigger", str(max_files))
         if archive_dir:
