@@ -19,7 +19,11 @@ def spark(tmp_path_factory):
         app="cdrflow-tests",
         master="local[4]",
         shuffle_partitions=8,
-        extra={"spark.driver.memory": "6g", "spark.sql.session.timeZone": "America/New_York"},
+        extra={
+            "spark.driver.memory": "6g",
+            "spark.sql.session.timeZone": "America/New_York",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
     )
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s, str(tmp_path_factory.mktemp("checkpoints")))

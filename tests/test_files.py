@@ -103,3 +103,42 @@ def test_staging_partition_overwrite(spark, tmp_path):
     assert got == [("a.csv", "v3"), ("b.csv", "v2")]
     TB.drop_staging_files(spark, path, spark.createDataFrame([("OCC", "b.csv")], "SOURCE_DIR string, SOURCE_FILE string"))
     assert [r.SOURCE_FILE for r in TB.read_staging(spark, path).collect()] == ["a.csv"]
+
+
+def test_size_mismatch_is_download_error(spark, tmp_path):
+    folder = tmp_path / "OCC"
+    folder.mkdir()
+    (folder / "CDR_OCC_1.csv").write_text("DATASOURCE,A_MSISDN\nOCC,1\n")
+    listing = L.list_landing(spark, {"OCC": str(folder)})
+    wrong = listing.withColumn("FILE_SIZE", F.col("FILE_SIZE") + 7)
+    lines, scanned = L.scan_lines(spark, wrong)
+    bad = L.size_check(wrong, scanned).collect()
+    assert len(bad) == 1 and bad[0].DETAIL.startswith("Size mismatch: local=")
+    out = run_load(spark, {"OCC": str(folder)}, str(tmp_path / "wh"), "2024-01-31 00:00:00", listing=wrong).collect()
+    assert out[0].STATUS == "ERROR" and out[0].MESSAGE.startswith("DOWNLOAD_ERROR: Size mismatch")
+
+
+def test_bucketed_key_table(spark, tmp_path):
+    """Keys in a catalog table bucketed by key: loads append to it, and the
+    merge's anti join reads it without reshuffling the key side."""
+    feeds = write_landing(spark, SF001, str(tmp_path / "landing"))
+    opts = LoadOptions(cleanup="never", key_table="cdr_keys_test")
+    run_load(spark, feeds, str(tmp_path / "wh"), "2024-01-31 00:00:00", opts)
+    keys = spark.table("cdr_keys_test")
+    assert keys.count() == spark.read.parquet(str(tmp_path / "wh" / "detail")).count()
+    from cdrflow.operators import merge as MG
+    from cdrflow.plans import registry as R
+
+    ins, _ = MG.merge_insert_absent(R.valid(spark, SF001), keys, order_by=("SOURCE_LINE",))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ins._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan_lines_ = [l for l in plan.splitlines() if "cdr_keys_test" in l]
+    assert scan_lines_ and "Bucketed: true" in scan_lines_[0]
+    import re
+
+    key_attr = re.search(r"\[(DEDUP_KEY#\d+)\]", scan_lines_[0]).group(1)
+    # the (large) key side is read bucket by bucket, never reshuffled
+    assert f"Exchange hashpartitioning({key_attr}" not in plan
