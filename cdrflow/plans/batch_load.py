@@ -118,21 +118,26 @@ def run_load(
 
     TB.append_audit(A.audit_event(pending, STATUS_DOWNLOADED, ts, seq=_seq(load_ts, 0)), wh.audit)
 
-    # 2. physical lines, size check
-    lines, scanned = L.scan_lines(spark, pending, "\n")
+    # 2. physical lines (the text is read twice in all: the per-split
+    #    aggregate here, the parse below), size check
+    scratch = wh.scratch(run_id)
+    lines, scanned, headers = L.scan_lines(spark, pending, "\n", scratch)
     size_err = L.size_check(pending, scanned).select(*FILE, F.col("DETAIL").alias("DOWNLOAD_ERROR"))
 
     outcomes = []
     staged_ok = []
     for feed in sorted({r["SOURCE_DIR"] for r in pending_rows}):
         feed_lines = lines.where(F.col("SOURCE_DIR") == feed)
+        feed_headers = headers.where(F.col("SOURCE_DIR") == feed)
         feed_listing = pending.where(F.col("SOURCE_DIR") == feed)
-        info0 = CI.header_info(CI.file_headers(feed_lines), None, "permissive", None, options.dialect)
+        info0 = CI.header_info(feed_headers, None, "permissive", None, options.dialect)
         cols, mode = _staging_columns(spark, wh, feed, info0)
         mode = options.whitelist_mode if MAPPINGS.get(feed) else mode
         mapping_keys = [s.source for s in MAPPINGS.get(feed, ())]
-        info = CI.header_info(CI.file_headers(feed_lines), cols, mode, mapping_keys, options.dialect)
-        parsed = CI.parse_lines(feed_lines, info, cols, options.dialect)
+        info = CI.header_info(feed_headers, cols, mode, mapping_keys, options.dialect)
+        # parse once; routing and staging both read the written result
+        CI.parse_lines(feed_lines, info, cols, options.dialect).write.mode("overwrite").parquet(f"{scratch}/parsed_{feed}")
+        parsed = spark.read.parquet(f"{scratch}/parsed_{feed}")
         routing = CI.file_routing(info, parsed, feed_listing)
         # a size mismatch wins over every later check
         routing = routing.join(size_err, FILE, "left").select(
@@ -163,7 +168,11 @@ def run_load(
             stg = TB.read_staging(spark, wh.staging).where(
                 (F.col("SOURCE_DIR") == feed) & F.col("SOURCE_FILE").isin(good)
             )
-            flagged = TR.flag(stg, MAPPINGS[feed], DEDUP_KEYS[feed], options.unit, keep=["SOURCE_LINE"])
+            # the flag projection is the CPU-heavy step: computed once, written,
+            # then read by the overflow check, the merge and the stats
+            TR.flag(stg, MAPPINGS[feed], DEDUP_KEYS[feed], options.unit, keep=["SOURCE_LINE"]).write.mode(
+                "overwrite").parquet(f"{scratch}/flagged_{feed}")
+            flagged = spark.read.parquet(f"{scratch}/flagged_{feed}")
             valid = flagged.where(TR.is_valid())
             over = valid.where(F.size("CONSTRAINT_VIOLATIONS") > 0).select("SOURCE_DIR", "SOURCE_FILE").distinct()
             over_files = [r[1] for r in over.collect()] if options.overflow == "fail_file" else []
@@ -175,10 +184,9 @@ def run_load(
             )
             # cut lineage: the merge result is written once to the run's scratch
             # folder and every later step reads it back.
-            scratch = f"{wh.scratch(run_id)}/inserted_{feed}"
             to_insert.select(*TR.detail_projection(MAPPINGS[feed], DEDUP_KEYS[feed]), "DEDUP_KEY",
-                             "SOURCE_DIR", "SOURCE_FILE").write.mode("overwrite").parquet(scratch)
-            inserted = spark.read.parquet(scratch)
+                             "SOURCE_DIR", "SOURCE_FILE").write.mode("overwrite").parquet(f"{scratch}/inserted_{feed}")
+            inserted = spark.read.parquet(f"{scratch}/inserted_{feed}")
             detail_cols = [c for c in inserted.columns if c not in ("DEDUP_KEY", "SOURCE_DIR", "SOURCE_FILE")]
             TB.append_detail(inserted.select(*detail_cols), wh.detail)
             TB.append_keys(inserted.select("DEDUP_KEY"), wh.keys, options.key_table)
@@ -217,4 +225,6 @@ def run_load(
     drop = MT.cleanup_files(out.select(*FILE, "STATUS").withColumnRenamed("FILE_NAME", "SOURCE_FILE"), options.cleanup)
     if TB.exists(spark, wh.staging):
         TB.drop_staging_files(spark, wh.staging, drop)
+    out = spark.createDataFrame(out.collect(), out.schema)  # detach from the run's files
+    TB.delete_path(spark, scratch)
     return out

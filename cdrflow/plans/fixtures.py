@@ -230,19 +230,32 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(F.array(F.struct(line_no.alias("n"), line.alias("t"))))
     data = raw.select("SOURCE_DIR", F.col("SOURCE_FILE").alias("FILE_NAME"), F.inline(entries))
 
-    def header(no):
-        cols = file_columns(no)
-        if no == 9:
-            cols = ["UNKNOWN_FIELD_1" if c == "FLEX_FLD2" else c for c in cols]
-        return ",".join(cols)
+    heads = _header_rows(raw)
+    return heads.unionByName(data).select(
+        "SOURCE_DIR", "FILE_NAME", F.col("n").cast("bigint").alias("LINE_NO"), strip_eol(F.col("t")).alias("LINE")
+    )
+
 
+def _header(no: int) -> str:
+    cols = file_columns(no)
+    if no == 9:
+        cols = ["UNKNOWN_FIELD_1" if c == "FLEX_FLD2" else c for c in cols]
+    return ",".join(cols)
+
+
+def _header_rows(raw: DataFrame) -> DataFrame:
     files = raw.groupBy("SOURCE_DIR", "SOURCE_FILE", "FILE_NO").agg(F.count(F.lit(1)).alias("_n"))
-    hdr = F.lit(header(0))
+    hdr = F.lit(_header(0))
     for no in (7, 9, 15, 17):
-        text = header(no) + ("\r" if no == 7 else "")
+        text = _header(no) + ("\r" if no == 7 else "")
         hdr = F.when(F.col("FILE_NO") == no, F.lit(text)).otherwise(hdr)
-    heads = files.select("SOURCE_DIR", F.col("SOURCE_FILE").alias("FILE_NAME"),
-                         F.lit(1).cast("bigint").alias("n"), hdr.alias("t"))
-    return heads.unionByName(data).select(
-        "SOURCE_DIR", "FILE_NAME", F.col("n").cast("bigint").alias("LINE_NO"), strip_eol(F.col("t")).alias("LINE")
-    )
+    return files.select("SOURCE_DIR", F.col("SOURCE_FILE").alias("FILE_NAME"),
+                        F.lit(1).cast("bigint").alias("n"), hdr.alias("t"))
+
+
+def csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header line of each file of ``csv_lines`` (what the split scan yields)."""
+    from cdrflow.functions.csvtext import strip_eol
+
+    raw = cdr_raw(spark, sf_dir).select("SOURCE_DIR", "SOURCE_FILE", (F.col("SOURCE_LINE") % 20).cast("int").alias("FILE_NO"))
+    return _header_rows(raw).select("SOURCE_DIR", "FILE_NAME", strip_eol(F.col("t")).alias("HEADER_LINE"))

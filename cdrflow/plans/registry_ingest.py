@@ -18,7 +18,7 @@ STAGING_COLUMNS = [s.source for s in OCC_MAPPING]
 
 def ingested(spark: SparkSession, sf_dir: str):
     lines = FX.csv_lines(spark, sf_dir)
-    return CI.ingest(lines, STAGING_COLUMNS, FX.ntz(FX.AS_OF))
+    return CI.ingest(lines, STAGING_COLUMNS, FX.ntz(FX.AS_OF), headers=FX.csv_headers(spark, sf_dir))
 
 
 register("csv_lines", "SELECT * FROM (" + O.CSV_LINES + ") WHERE LINE <> ''")(

@@ -195,9 +195,15 @@ def ingest(
     mapping_keys: list[str] | None = None,
     dialect: CsvDialect = CsvDialect(),
     listing: DataFrame | None = None,
+    headers: DataFrame | None = None,
 ):
-    """lines -> (header info, parsed lines, routing, staging rows)."""
-    info = header_info(file_headers(lines), staging_columns, mode, mapping_keys, dialect)
+    """lines -> (header info, parsed lines, routing, staging rows).
+
+    ``headers`` (SOURCE_DIR, FILE_NAME, HEADER_LINE) may come from the scan's
+    split aggregate; by default they are the lines numbered 1.
+    """
+    hdr = headers if headers is not None else file_headers(lines)
+    info = header_info(hdr, staging_columns, mode, mapping_keys, dialect)
     parsed = parse_lines(lines, info, staging_columns, dialect)
     routing = file_routing(info, parsed, listing)
     staged = staging_rows(parsed, routing, staging_columns, load_ts)

@@ -64,45 +64,64 @@ def _raw_lines(spark: SparkSession, paths: list[str], line_sep: str) -> DataFram
     )
 
 
-def scan_lines(spark: SparkSession, listing: DataFrame, line_sep: str = "\n") -> tuple[DataFrame, DataFrame]:
-    """Numbered physical lines of the listed files, and per-file scan facts.
+def scan_lines(
+    spark: SparkSession, listing: DataFrame, line_sep: str = "\n", scratch: str | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Numbered physical lines of the listed files, per-file scan facts, and
+    the header line of every file.
 
     Returns ``lines`` (SOURCE_DIR, FILE_NAME, FILE_PATH, LINE_NO, LINE) with
-    trailing CR/LF removed, and ``scanned`` (FILE_PATH, SCANNED_SIZE, LINES).
-    The list of paths is file metadata, collected to plan the scan.
+    trailing CR/LF removed, ``scanned`` (FILE_PATH, SCANNED_SIZE, LINES) and
+    ``headers`` (SOURCE_DIR, FILE_NAME, HEADER_LINE).  The text is read once
+    for the per-split aggregate (which also yields each file's first line);
+    with ``scratch`` that small table is written there, so later steps never
+    re-read the text for it.  The list of paths is file metadata.
     """
     files = listing.select("SOURCE_DIR", "FILE_NAME", "FILE_PATH").collect()
     if not files:
         empty = spark.createDataFrame([], "SOURCE_DIR string, FILE_NAME string, FILE_PATH string, LINE_NO bigint, LINE string")
-        return empty, spark.createDataFrame([], "FILE_PATH string, SCANNED_SIZE bigint, LINES bigint")
+        return (
+            empty,
+            spark.createDataFrame([], "FILE_PATH string, SCANNED_SIZE bigint, LINES bigint"),
+            spark.createDataFrame([], "SOURCE_DIR string, FILE_NAME string, HEADER_LINE string"),
+        )
     raw = _raw_lines(spark, [r["FILE_PATH"] for r in files], line_sep)
 
     splits = raw.groupBy("FILE_PATH", "BLOCK").agg(
-        F.count(F.lit(1)).alias("N"), F.min("ROW_ID").alias("MIN_ID"), F.max("SCANNED_SIZE").alias("SCANNED_SIZE")
+        F.count(F.lit(1)).alias("N"),
+        F.min("ROW_ID").alias("MIN_ID"),
+        F.max("SCANNED_SIZE").alias("SCANNED_SIZE"),
+        F.min_by("RAW", "ROW_ID").alias("FIRST_RAW"),
     )
     w = Window.partitionBy("FILE_PATH").orderBy("BLOCK").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "FILE_PATH", "BLOCK", "MIN_ID", "SCANNED_SIZE", "N",
-        F.coalesce(F.sum("N").over(w), F.lit(0)).alias("OFFSET"),
-    )
     names = spark.createDataFrame(
         [(r["SOURCE_DIR"], r["FILE_NAME"], r["FILE_PATH"]) for r in files],
         "SOURCE_DIR string, FILE_NAME string, FILE_PATH string",
     )
-    split_info = offsets.join(names, "FILE_PATH").select("FILE_PATH", "BLOCK", "MIN_ID", "OFFSET", "SOURCE_DIR", "FILE_NAME")
+    split_info = splits.select(
+        "FILE_PATH", "BLOCK", "MIN_ID", "SCANNED_SIZE", "N", "FIRST_RAW",
+        F.coalesce(F.sum("N").over(w), F.lit(0)).alias("OFFSET"),
+    ).join(names, "FILE_PATH")
+    if scratch is not None:
+        split_info.write.mode("overwrite").parquet(f"{scratch}/splits")
+        split_info = spark.read.parquet(f"{scratch}/splits")
+    headers = split_info.where(F.col("OFFSET") == 0).select(
+        "SOURCE_DIR", "FILE_NAME", strip_eol(F.col("FIRST_RAW")).alias("HEADER_LINE")
+    )
+    scanned = split_info.groupBy("FILE_PATH").agg(
+        F.max("SCANNED_SIZE").cast("bigint").alias("SCANNED_SIZE"), F.sum("N").cast("bigint").alias("LINES")
+    )
+    join_side = split_info.select("FILE_PATH", "BLOCK", "MIN_ID", "OFFSET", "SOURCE_DIR", "FILE_NAME")
     if split_info.count() <= BROADCAST_SPLITS_MAX:
-        split_info = F.broadcast(split_info)
-    lines = raw.join(split_info, ["FILE_PATH", "BLOCK"]).select(
+        join_side = F.broadcast(join_side)
+    lines = raw.join(join_side, ["FILE_PATH", "BLOCK"]).select(
         "SOURCE_DIR",
         "FILE_NAME",
         "FILE_PATH",
         (F.col("OFFSET") + F.col("ROW_ID") - F.col("MIN_ID") + 1).alias("LINE_NO"),
         strip_eol(F.col("RAW")).alias("LINE"),
     )
-    scanned = offsets.groupBy("FILE_PATH").agg(
-        F.max("SCANNED_SIZE").cast("bigint").alias("SCANNED_SIZE"), F.sum("N").cast("bigint").alias("LINES")
-    )
-    return lines, scanned
+    return lines, scanned, headers
 
 
 def size_check(listing: DataFrame, scanned: DataFrame) -> DataFrame:

@@ -33,6 +33,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def write_staging(df: DataFrame, path: str) -> None:
     """Replace the staging partitions of the files present in ``df``."""
     (

@@ -30,7 +30,8 @@ def test_scan_lines_numbers_every_physical_line(spark, tmp_path):
     try:
         listing = L.list_landing(spark, {"OCC": str(folder)})
         assert sorted(r.FILE_NAME for r in listing.collect()) == ["f0.csv", "f1.csv", "f2.csv"]
-        lines, scanned = L.scan_lines(spark, listing)
+        lines, scanned, headers = L.scan_lines(spark, listing)
+        assert sorted((r.FILE_NAME, r.HEADER_LINE) for r in headers.collect()) == [(f'f{n}.csv', f'H{n}') for n in range(3)]
         got = {}
         for r in lines.collect():
             got.setdefault(r.FILE_NAME, []).append((r.LINE_NO, r.LINE))
@@ -111,7 +112,7 @@ def test_size_mismatch_is_download_error(spark, tmp_path):
     (folder / "CDR_OCC_1.csv").write_text("DATASOURCE,A_MSISDN\nOCC,1\n")
     listing = L.list_landing(spark, {"OCC": str(folder)})
     wrong = listing.withColumn("FILE_SIZE", F.col("FILE_SIZE") + 7)
-    lines, scanned = L.scan_lines(spark, wrong)
+    lines, scanned, _ = L.scan_lines(spark, wrong)
     bad = L.size_check(wrong, scanned).collect()
     assert len(bad) == 1 and bad[0].DETAIL.startswith("Size mismatch: local=")
     out = run_load(spark, {"OCC": str(folder)}, str(tmp_path / "wh"), "2024-01-31 00:00:00", listing=wrong).collect()
