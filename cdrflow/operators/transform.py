@@ -132,15 +132,16 @@ def flag(
     passthrough += [c for c in keep if c not in passthrough]
     key = C.dedup_key(dedup_keys, _key_max_length(mapping, dedup_keys)) if dedup_keys else F.lit(None)
     # Filters on the flags (valid / rejected split) must read the computed
-    # columns, not be pushed below this projection with every check inlined
+    # column, not be pushed below this projection with every check inlined
     # (that evaluates each check twice per row).  A nondeterministic identity
-    # on the key (spark_partition_id() >= 0 is always true) keeps them above.
-    key = F.when(F.spark_partition_id() >= 0, key)
+    # on the reasons (spark_partition_id() >= 0 is always true) keeps them
+    # above; it sits on the column those filters read, so pruning keeps it.
+    reasons = F.when(F.spark_partition_id() >= 0, reject_reasons(mapping, dedup_keys, unit))
     return staging.select(
         *passthrough,
         key.cast(T.StringType()).alias("DEDUP_KEY"),
         *compile_mapping(mapping, unit),
-        reject_reasons(mapping, dedup_keys, unit).alias("REJECT_REASONS"),
+        reasons.alias("REJECT_REASONS"),
         constraint_violations(mapping).alias("CONSTRAINT_VIOLATIONS"),
     )
 
