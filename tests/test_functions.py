@@ -169,3 +169,34 @@ def test_quote_parity_and_count(spark):
     r = df.select(X.odd_quotes(F.col("l")), X.field_count(F.col("l"))).collect()
     assert [x[0] for x in r] == [False, True, False, False, False]
     assert [x[1] for x in r] == [2, 2, 3, 3, 1]
+
+
+# ---- whitelist modes (S8, D16, D17) ----------------------------------------
+def test_whitelist_modes(spark):
+    from cdrflow.sources.csv_ingest import validate_columns
+
+    mapping_keys = [s.source for s in OCC_MAPPING]
+    typical = ["AGGREGATION_GROUP", "A_IMSI", "A_MSISDN_ORIG", "APN", "CALL_TYPE", "CHARGING_ID",
+               "DATASOURCE", "EVENT_TYPE", "ORIG_START_TIME"]
+    staging = mapping_keys + ["AGGREGATION_GROUP", "A_IMSI", "A_MSISDN_ORIG"]
+    df = spark.createDataFrame([(typical,), (["DATASOURCE", "A_MSISDN", "UNKNOWN_FIELD_1", "INVALID_COL"],),
+                                (["DATASOURCE", "A_MSISDN", "SOURCE_FILE", "SOURCE_DIR", "LOAD_TS"],)], "h array<string>")
+
+    def run(mode, allowed):
+        return [list(r[0]) for r in df.select(validate_columns(F.col("h"), allowed, mode, mapping_keys)).collect()]
+
+    assert run("dynamic", staging) == [[], ["UNKNOWN_FIELD_1", "INVALID_COL"], []]
+    assert run("strict", staging) == [["AGGREGATION_GROUP", "A_IMSI", "A_MSISDN_ORIG"], ["UNKNOWN_FIELD_1", "INVALID_COL"], []]
+    assert run("permissive", staging) == [[], [], []]
+    assert run("dynamic", []) == [[], [], []]  # empty staging layout -> accept all
+
+
+def test_table_volume(spark, tmp_path):
+    from cdrflow.plans.monitor import table_volume
+
+    path = str(tmp_path / "t")
+    spark.range(1000).repartition(3).write.parquet(path)
+    r = table_volume(spark.read.parquet(path)).first()
+    files = [f for f in __import__("os").listdir(path) if f.endswith(".parquet")]
+    assert r.FILES == len(files) == 3
+    assert r.BYTES == sum(__import__("os").path.getsize(f"{path}/{f}") for f in files)

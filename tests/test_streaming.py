@@ -20,6 +20,8 @@ def test_incremental_picks_new_files_once(spark, tmp_path):
     q = start_incremental(spark, feeds, wh, ck, "availableNow", opts, clock=lambda: next(clock))
     q.awaitTermination(600)
     assert q.exception() is None
+    seen = [p["observedMetrics"]["landing"] for p in q.recentProgress if p.get("observedMetrics", {}).get("landing")]
+    assert sum(int(m["files"]) for m in seen) == 20
     cur = audit_latest(TB.read_audit_events(spark, f"{wh}/audit"))
     assert cur.count() == 20
     n_detail = spark.read.parquet(f"{wh}/detail").count()
