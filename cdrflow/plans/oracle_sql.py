@@ -26,7 +26,16 @@ def _pad(x: str, n: int) -> str:
     return f"lpad({_s(x)}, {n}, '0')"
 
 
-CDR_RAW = f"""
+SOURCES = {
+    "events": "events",
+    "lineitem": (
+        "(SELECT l_orderkey * 8 + l_linenumber AS event_id, l_shipdate AS ts, l_suppkey AS user_id, "
+        "l_returnflag || l_linestatus AS event_type, l_extendedprice AS value, "
+        "'{\"q\": ' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '}' AS props FROM lineitem)"
+    ),
+}
+
+CDR_RAW_TEMPLATE = f"""
 SELECT
   'CDR_OCC_' || {_pad('event_id % 20', 2)} || '.csv' AS SOURCE_FILE,
   'OCC' AS SOURCE_DIR,
@@ -67,10 +76,20 @@ SELECT
        ELSE ' kw' || {_s('event_id % 6')} END AS KEYWORD,
   'CR' || {_s('event_id')} AS CALL_REFERENCE,
   'R' || {_s('event_id')} AS RECORD_ID
-FROM events
+FROM __SOURCE__
 """
 
-DETAIL_EXISTING = f"SELECT 'CH' || {_s('event_id')} AS CHARGING_ID FROM events WHERE event_id % 7 = 0"
+
+def cdr_raw_sql(source: str = "events") -> str:
+    return CDR_RAW_TEMPLATE.replace("__SOURCE__", SOURCES[source])
+
+
+def detail_existing_sql(source: str = "events") -> str:
+    return f"SELECT 'CH' || {_s('event_id')} AS CHARGING_ID FROM {SOURCES[source]} WHERE event_id % 7 = 0"
+
+
+CDR_RAW = cdr_raw_sql("events")
+DETAIL_EXISTING = detail_existing_sql("events")
 
 LOAD_AUDIT = f"""
 SELECT
@@ -228,16 +247,17 @@ def detail_select(prefix: str = "", as_double: bool = False) -> str:
     return ", ".join(out)
 
 
-def base_ctes(unit: str = "seconds") -> str:
+def base_ctes(unit: str = "seconds", source: str = "events") -> str:
     """cdr_raw -> flagged -> valid -> keep_first inserted detail (CTEs)."""
     return f"""
-cdr_raw AS ({CDR_RAW}),
-detail_existing AS ({DETAIL_EXISTING}),
+cdr_raw AS ({cdr_raw_sql(source)}),
+detail_existing AS ({detail_existing_sql(source)}),
 flagged AS ({flagged_sql('cdr_raw', unit=unit)}),
 valid AS (SELECT * FROM flagged WHERE len(REJECT_REASONS) = 0),
 first_per_key AS (
   SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY DEDUP_KEY ORDER BY SOURCE_FILE, SOURCE_DIR, SOURCE_LINE) AS rn
+    SELECT *, row_number() OVER (PARTITION BY DEDUP_KEY ORDER BY SOURCE_FILE, SOURCE_DIR, SOURCE_LINE,
+                                 LOAD_TS, CHARGE_AMOUNT, A_MSISDN, FLEX_FLD3, EVENT_TYPE) AS rn
     FROM valid) WHERE rn = 1),
 inserted AS (
   SELECT * FROM first_per_key f
@@ -246,8 +266,8 @@ detail AS (SELECT {detail_select()}, SOURCE_FILE, SOURCE_DIR FROM inserted)
 """
 
 
-def with_base(body: str, unit: str = "seconds") -> str:
-    return f"WITH {base_ctes(unit)}\n{body}"
+def with_base(body: str, unit: str = "seconds", source: str = "events") -> str:
+    return f"WITH {base_ctes(unit, source)}\n{body}"
 
 
 # --------------------------------------------------------------------------
