@@ -25,8 +25,10 @@ from cdrflow.functions.csvtext import strip_eol
 
 CSV_GLOB = "*.[cC][sS][vV]"
 
-# Split tables up to this many rows are broadcast to the line scan.
-BROADCAST_SPLITS_MAX = 500_000
+# Split tables up to this many rows (~25 MB; ~25 TB of text at 128 MB splits)
+# are broadcast to the line scan.  Above, the join shuffles on (file, split):
+# every split holds a bounded number of rows, so no key is hot.
+BROADCAST_SPLITS_MAX = 200_000
 
 
 def list_landing(spark: SparkSession, feeds: dict[str, str], glob: str = CSV_GLOB) -> DataFrame:
