@@ -69,6 +69,7 @@ class LoadOptions:
     dialect: CI.CsvDialect = CI.CsvDialect()
     overflow: str = "fail_file"  # or "null"
     key_table: str | None = None  # bucketed catalog table for the keys
+    sequential: bool = False  # exact file-by-file merge (reference order) instead of one batch
 
 
 def _seq(load_ts: str, step: int) -> int:
@@ -86,6 +87,47 @@ def _staging_columns(spark: SparkSession, wh: Warehouse, feed: str, info: DataFr
     return [n for n in names if n not in TECHNICAL_COLUMNS], "permissive"
 
 
+def _transform_merge(spark: SparkSession, wh: Warehouse, feed: str, files: list[str], scratch: str,
+                     options: LoadOptions) -> tuple[dict, dict]:
+    """Transform + merge the staged rows of ``files``; append detail and keys.
+
+    Returns per-file (TMP, INSERTED, DUPLICATES, REJECTED) for the files that
+    passed and a TRANSFORM_ERROR message for those that failed.
+    """
+    ok: dict[str, tuple[int, int, int, int]] = {}
+    err: dict[str, str] = {}
+    stg = TB.read_staging(spark, wh.staging).where((F.col("SOURCE_DIR") == feed) & F.col("SOURCE_FILE").isin(files))
+    # the flag projection is the CPU-heavy step: computed once, written, then
+    # read by the overflow check, the merge and the stats
+    TR.flag(stg, MAPPINGS[feed], DEDUP_KEYS[feed], options.unit, keep=["SOURCE_LINE"]).write.mode(
+        "overwrite").parquet(f"{scratch}/flagged")
+    flagged = spark.read.parquet(f"{scratch}/flagged")
+    valid = flagged.where(TR.is_valid())
+    over = valid.where(F.size("CONSTRAINT_VIOLATIONS") > 0).select("SOURCE_DIR", "SOURCE_FILE").distinct()
+    over_files = [r[1] for r in over.collect()] if options.overflow == "fail_file" else []
+    if over_files:
+        valid = valid.where(~F.col("SOURCE_FILE").isin(over_files))
+    keys = TB.read_keys(spark, wh.keys, options.key_table)
+    to_insert, failed = MG.merge_insert_absent(valid, keys, "DEDUP_KEY", "DEDUP_KEY", options.on_duplicate, ("SOURCE_LINE",))
+    # cut lineage: the merge result is written once and every later step reads it
+    to_insert.select(*TR.detail_projection(MAPPINGS[feed], DEDUP_KEYS[feed]), "DEDUP_KEY",
+                     "SOURCE_DIR", "SOURCE_FILE").write.mode("overwrite").parquet(f"{scratch}/inserted")
+    inserted = spark.read.parquet(f"{scratch}/inserted")
+    detail_cols = [c for c in inserted.columns if c not in ("DEDUP_KEY", "SOURCE_DIR", "SOURCE_FILE")]
+    TB.append_detail(inserted.select(*detail_cols), wh.detail)
+    TB.append_keys(inserted.select("DEDUP_KEY"), wh.keys, options.key_table)
+    failed_files = {r[1] for r in failed.collect()}
+    for s in TR.transform_stats(flagged, inserted, failed).collect():
+        f = s["SOURCE_FILE"]
+        if f in over_files:
+            err[f] = "TRANSFORM_ERROR: numeric value out of range for the detail column"
+        elif f in failed_files:
+            err[f] = "TRANSFORM_ERROR: unique key violated (duplicate key inside the file)"
+        else:
+            ok[f] = (s["TMP_ROWS"], s["INSERTED"], s["DUPLICATES"], s["REJECTED_ROWS"])
+    return ok, err
+
+
 def run_load(
     spark: SparkSession,
     feeds: dict[str, str],
@@ -165,41 +207,13 @@ def run_load(
             for f in good:
                 transform_err[f] = f"TRANSFORM_ERROR: {feed} transformation not implemented yet"
         elif good:
-            stg = TB.read_staging(spark, wh.staging).where(
-                (F.col("SOURCE_DIR") == feed) & F.col("SOURCE_FILE").isin(good)
-            )
-            # the flag projection is the CPU-heavy step: computed once, written,
-            # then read by the overflow check, the merge and the stats
-            TR.flag(stg, MAPPINGS[feed], DEDUP_KEYS[feed], options.unit, keep=["SOURCE_LINE"]).write.mode(
-                "overwrite").parquet(f"{scratch}/flagged_{feed}")
-            flagged = spark.read.parquet(f"{scratch}/flagged_{feed}")
-            valid = flagged.where(TR.is_valid())
-            over = valid.where(F.size("CONSTRAINT_VIOLATIONS") > 0).select("SOURCE_DIR", "SOURCE_FILE").distinct()
-            over_files = [r[1] for r in over.collect()] if options.overflow == "fail_file" else []
-            if over_files:
-                valid = valid.where(~F.col("SOURCE_FILE").isin(over_files))
-            keys = TB.read_keys(spark, wh.keys, options.key_table)
-            to_insert, failed = MG.merge_insert_absent(
-                valid, keys, "DEDUP_KEY", "DEDUP_KEY", options.on_duplicate, ("SOURCE_LINE",)
-            )
-            # cut lineage: the merge result is written once to the run's scratch
-            # folder and every later step reads it back.
-            to_insert.select(*TR.detail_projection(MAPPINGS[feed], DEDUP_KEYS[feed]), "DEDUP_KEY",
-                             "SOURCE_DIR", "SOURCE_FILE").write.mode("overwrite").parquet(f"{scratch}/inserted_{feed}")
-            inserted = spark.read.parquet(f"{scratch}/inserted_{feed}")
-            detail_cols = [c for c in inserted.columns if c not in ("DEDUP_KEY", "SOURCE_DIR", "SOURCE_FILE")]
-            TB.append_detail(inserted.select(*detail_cols), wh.detail)
-            TB.append_keys(inserted.select("DEDUP_KEY"), wh.keys, options.key_table)
-            failed_files = {r[1] for r in failed.collect()}
-            stats = TR.transform_stats(flagged, inserted, failed).collect()
-            for s in stats:
-                f = s["SOURCE_FILE"]
-                if f in over_files:
-                    transform_err[f] = "TRANSFORM_ERROR: numeric value out of range for the detail column"
-                elif f in failed_files:
-                    transform_err[f] = "TRANSFORM_ERROR: unique key violated (duplicate key inside the file)"
-                else:
-                    transform_ok[f] = (s["TMP_ROWS"], s["INSERTED"], s["DUPLICATES"], s["REJECTED_ROWS"])
+            # batch mode: all files in one merge; sequential: file by file in
+            # name order, each seeing the keys the previous files inserted
+            groups = [sorted(good)] if not options.sequential else [[f] for f in sorted(good)]
+            for i, files in enumerate(groups):
+                ok, err = _transform_merge(spark, wh, feed, files, f"{scratch}/{feed}_{i}", options)
+                transform_ok.update(ok)
+                transform_err.update(err)
         for f, r in by_file.items():
             if r["STATUS"] != "SUCCESS":
                 results.append((feed, f, "ERROR", r["MESSAGE"], r["ROWS_CSV"], None, None, None))

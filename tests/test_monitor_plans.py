@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from conftest import SF001
 
+from pyspark.sql import functions as F
+
 from cdrflow.operators import audit as A
 from cdrflow.plans import fixtures as FX
 from cdrflow.plans import monitor as M
@@ -64,3 +66,37 @@ def test_day_filter_reaches_detail_scan(spark, tmp_path):
     scan = [l for l in plan.splitlines() if "ReadSchema" in l][0]
     assert "A_MSISDN" not in scan and "EVENT_TYPE" in scan
     assert q.count() > 0
+
+
+def test_orphans_not_in_with_null_vs_anti_join(spark):
+    """D21: NOT IN over a list holding a NULL keeps nothing; the anti join
+    used by ``orphans`` still finds the orphan files."""
+    from cdrflow.operators import maintain as MT
+
+    stg = spark.createDataFrame(
+        [("OCC", "a.csv", "2024-01-01 00:00:00"), ("OCC", "b.csv", "2024-01-01 00:00:00")],
+        "SOURCE_DIR string, SOURCE_FILE string, LOAD_TS string",
+    ).withColumn("LOAD_TS", F.col("LOAD_TS").cast("timestamp_ntz"))
+    aud = spark.createDataFrame(
+        [("OCC", "a.csv", "SUCCESS", "2024-01-30 12:00:00"), ("OCC", None, "SUCCESS", "2024-01-30 12:00:00")],
+        "SOURCE_DIR string, FILE_NAME string, STATUS string, LOAD_TS string",
+    ).withColumn("LOAD_TS", F.col("LOAD_TS").cast("timestamp_ntz"))
+    stg.createOrReplaceTempView("stg_d21")
+    aud.createOrReplaceTempView("aud_d21")
+    literal = spark.sql(
+        "SELECT * FROM stg_d21 WHERE SOURCE_FILE NOT IN (SELECT FILE_NAME FROM aud_d21 WHERE STATUS = 'SUCCESS')"
+    )
+    assert literal.count() == 0
+    keep, drop = MT.orphans(stg, aud, FX.AS_OF, 24)
+    assert [r.SOURCE_FILE for r in drop.collect()] == ["b.csv"]
+    assert [r.SOURCE_FILE for r in keep.collect()] == ["a.csv"]
+
+
+def test_audit_message_cut_and_latest(spark):
+    ev = spark.createDataFrame(
+        [("OCC", "f.csv", 10, 0, "x"), ("OCC", "f.csv", 10, 1, "y" * 5000)],
+        "SOURCE_DIR string, FILE_NAME string, FILE_SIZE bigint, SEQ int, M string",
+    )
+    events = A.audit_event(ev, "ERROR", FX.ntz(FX.AS_OF), A.error_message("LOAD_ERROR", F.col("M")), seq=F.col("SEQ"))
+    cur = A.audit_latest(events).first()
+    assert len(cur.MESSAGE) == 4000 and cur.MESSAGE.startswith("LOAD_ERROR: yyy")
