@@ -131,3 +131,48 @@ def q_row_reconcile(spark, sf_dir):
         F.coalesce(F.col("REJECTED_ROWS"), F.lit(0)).cast("bigint").alias("REJECTED"),
         ((F.col("STATUS") != "SUCCESS") | (staged_n == F.col("ROWS_CSV"))).alias("RECONCILED"),
     )
+
+
+# Messy header names per event type: case variants, blanks, a leading digit,
+# punctuation, an over-long name, a non-ASCII letter, an empty name, a repeat.
+def _messy_names(et):
+    return F.array(
+        et, F.upper(et), F.concat(F.lit(" "), et, F.lit(" ")), F.concat(F.lit("1"), et),
+        F.concat(et, F.lit("-x")), F.concat(et, F.lit("_x")), F.repeat(et, 8), F.lit("ß"), F.lit(""), et,
+    )
+
+
+_MESSY_SQL = """
+WITH RECURSIVE h AS (
+  SELECT DISTINCT event_type AS ET,
+    [event_type, upper(event_type), ' ' || event_type || ' ', '1' || event_type, event_type || '-x',
+     event_type || '_x', repeat(event_type, 8), 'ß', '', event_type] AS NAMES
+  FROM events),
+b AS (
+  SELECT ET, list_transform(NAMES, lambda x: substr(
+    CASE WHEN regexp_matches(regexp_replace(upper(regexp_replace(x, '[^A-Za-z0-9]+', '_', 'g')), '^_+|_+$', '', 'g'), '^[A-Z]')
+         THEN regexp_replace(upper(regexp_replace(x, '[^A-Za-z0-9]+', '_', 'g')), '^_+|_+$', '', 'g')
+         ELSE 'C_' || regexp_replace(upper(regexp_replace(x, '[^A-Za-z0-9]+', '_', 'g')), '^_+|_+$', '', 'g') END,
+    1, 30)) AS BASES
+  FROM h),
+r(ET, BASES, POS, USED) AS (
+  SELECT ET, BASES, 0, []::VARCHAR[] FROM b
+  UNION ALL
+  SELECT ET, BASES, POS + 1,
+    list_append(USED, list_filter(
+      list_transform(range(0, len(USED) + 1), lambda i: CASE WHEN i = 0 THEN BASES[POS + 1]
+        ELSE substr(BASES[POS + 1], 1, 30 - length(printf('_%02d', i))) || printf('_%02d', i) END),
+      lambda c: NOT list_contains(USED, c))[1])
+  FROM r WHERE POS < len(BASES))
+SELECT ET AS EVENT_TYPE, array_to_string(USED, ',') AS STORAGE_COLUMNS FROM r WHERE POS = len(BASES)
+"""
+
+
+@register("header_sanitize_messy", _MESSY_SQL)
+def q_header_sanitize_messy(spark, sf_dir):
+    from cdrflow.functions.csvtext import sanitize_columns
+
+    ets = FX.event_source(spark, sf_dir).select(F.col("event_type").alias("EVENT_TYPE")).distinct()
+    return ets.select(
+        "EVENT_TYPE", F.array_join(sanitize_columns(_messy_names(F.col("EVENT_TYPE"))), ",").alias("STORAGE_COLUMNS")
+    )
