@@ -95,7 +95,7 @@ CLEANUP_STRATEGIES = ("on_success", "on_error", "never")
 WHITELIST_MODES = ("dynamic", "permissive", "strict")
 DUPLICATE_POLICIES = ("fail_file", "keep_first")
 
-# Audit statuses and error classes (message prefixes), in pipeline order.
+# Audit statuses and error classes (message prefixes), in load-step order.
 STATUS_DOWNLOADED, STATUS_SUCCESS, STATUS_ERROR = "DOWNLOADED", "SUCCESS", "ERROR"
 ERROR_CLASSES = (
     "DOWNLOAD_ERROR",
