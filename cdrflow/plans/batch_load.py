@@ -160,18 +160,15 @@ def run_load(
 
     TB.append_audit(A.audit_event(pending, STATUS_DOWNLOADED, ts, seq=_seq(load_ts, 0)), wh.audit)
 
-    # 2. physical lines (the text is read twice in all: the per-split
-    #    aggregate here, the parse below), size check
     scratch = wh.scratch(run_id)
-    lines, scanned, headers = L.scan_lines(spark, pending, "\n", scratch)
-    size_err = L.size_check(pending, scanned).select(*FILE, F.col("DETAIL").alias("DOWNLOAD_ERROR"))
-
     outcomes = []
     staged_ok = []
     for feed in sorted({r["SOURCE_DIR"] for r in pending_rows}):
-        feed_lines = lines.where(F.col("SOURCE_DIR") == feed)
-        feed_headers = headers.where(F.col("SOURCE_DIR") == feed)
+        # 2. physical lines of this feed's files: the text is read twice in
+        #    all (the per-split aggregate, then the parse), plus size check
         feed_listing = pending.where(F.col("SOURCE_DIR") == feed)
+        feed_lines, scanned, feed_headers = L.scan_lines(spark, feed_listing, "\n", f"{scratch}/scan_{feed}")
+        size_err = L.size_check(feed_listing, scanned).select(*FILE, F.col("DETAIL").alias("DOWNLOAD_ERROR"))
         info0 = CI.header_info(feed_headers, None, "permissive", None, options.dialect)
         cols, mode = _staging_columns(spark, wh, feed, info0)
         mode = options.whitelist_mode if MAPPINGS.get(feed) else mode
