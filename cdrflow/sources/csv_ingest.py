@@ -174,6 +174,32 @@ def file_routing(info: DataFrame, parsed: DataFrame, listing: DataFrame | None =
     )
 
 
+def with_technical(df: DataFrame, load_ts: Column, source_dir: str | Column | None = None,
+                   source_file: Column | None = None) -> DataFrame:
+    """Add SOURCE_FILE, SOURCE_DIR and LOAD_TS (one value per load) to rows.
+
+    ``source_file`` defaults to the file name of the scanned file
+    (``_metadata.file_name``), ``source_dir`` to an existing column.
+    """
+    sf = source_file if source_file is not None else F.col("_metadata.file_name")
+    sd = F.lit(source_dir) if isinstance(source_dir, str) else (source_dir if source_dir is not None else F.col("SOURCE_DIR"))
+    return df.withColumns({
+        "SOURCE_FILE": sf.cast(T.StringType()),
+        "SOURCE_DIR": sd.cast(T.StringType()),
+        "LOAD_TS": load_ts.cast(T.TimestampNTZType()),
+    })
+
+
+def to_staging(frames: list[DataFrame], columns: list[str]) -> DataFrame:
+    """Merge frames with different layouts into one staging layout: columns a
+    frame lacks are NULL, columns outside ``columns`` are dropped."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    have = set(out.columns)
+    return out.select(*[F.col(c) if c in have else F.lit(None).cast(T.StringType()).alias(c) for c in columns])
+
+
 def staging_rows(parsed: DataFrame, routing: DataFrame, staging_columns: list[str],
                  load_ts: Column) -> DataFrame:
     """All-text staging rows of the files that passed, with technical columns."""

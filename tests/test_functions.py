@@ -200,3 +200,18 @@ def test_table_volume(spark, tmp_path):
     files = [f for f in __import__("os").listdir(path) if f.endswith(".parquet")]
     assert r.FILES == len(files) == 3
     assert r.BYTES == sum(__import__("os").path.getsize(f"{path}/{f}") for f in files)
+
+
+def test_with_technical_and_to_staging(spark, tmp_path):
+    from cdrflow.functions.cleaning import ntz
+    from cdrflow.sources.csv_ingest import to_staging, with_technical
+
+    a = spark.createDataFrame([("1", "x")], "A string, B string")
+    b = spark.createDataFrame([("2", "z")], "A string, C string")
+    st = to_staging([a, b], ["A", "B", "C", "D"])
+    assert sorted(tuple(r) for r in st.collect()) == [("1", "x", None, None), ("2", None, "z", None)]
+    path = str(tmp_path / "f.csv")
+    open(path, "w").write("v\n1\n")
+    df = with_technical(spark.read.text(path), ntz("2024-01-31 00:00:00"), "OCC")
+    r = df.first()
+    assert (r.SOURCE_FILE, r.SOURCE_DIR, str(r.LOAD_TS)) == ("f.csv", "OCC", "2024-01-31 00:00:00")
