@@ -87,6 +87,26 @@ def _staging_columns(spark: SparkSession, wh: Warehouse, feed: str, info: DataFr
     return [n for n in names if n not in TECHNICAL_COLUMNS], "permissive"
 
 
+def _existing_keys(spark: SparkSession, wh: Warehouse, feed: str, options: LoadOptions) -> DataFrame:
+    """Keys already loaded.
+
+    By default the detail table's own key column (parquet reads just that
+    column): one table is the only truth, so a run lost after its detail
+    append leaves nothing to re-insert.  With ``key_table`` the keys come from
+    the bucketed catalog table (no shuffle of the key side); it is appended
+    right after the detail, so a run lost between the two appends can insert
+    those rows once more on rerun.
+    """
+    if options.key_table is not None:
+        return TB.read_keys(spark, table=options.key_table)
+    key_col = DEDUP_KEYS[feed][0]
+    if TB.exists(spark, wh.detail):
+        # explicit one-column schema: only the key column is read, and a
+        # detail folder holding no rows yet reads as no keys
+        return spark.read.schema(f"{key_col} string").parquet(wh.detail).select(F.col(key_col).alias("DEDUP_KEY"))
+    return spark.createDataFrame([], "DEDUP_KEY string")
+
+
 def _transform_merge(spark: SparkSession, wh: Warehouse, feed: str, files: list[str], scratch: str,
                      options: LoadOptions) -> tuple[dict, dict]:
     """Transform + merge the staged rows of ``files``; append detail and keys.
@@ -107,7 +127,7 @@ def _transform_merge(spark: SparkSession, wh: Warehouse, feed: str, files: list[
     over_files = [r[1] for r in over.collect()] if options.overflow == "fail_file" else []
     if over_files:
         valid = valid.where(~F.col("SOURCE_FILE").isin(over_files))
-    keys = TB.read_keys(spark, wh.keys, options.key_table)
+    keys = _existing_keys(spark, wh, feed, options)
     to_insert, failed = MG.merge_insert_absent(valid, keys, "DEDUP_KEY", "DEDUP_KEY", options.on_duplicate, ("SOURCE_LINE",))
     # cut lineage: the merge result is written once and every later step reads it
     to_insert.select(*TR.detail_projection(MAPPINGS[feed], DEDUP_KEYS[feed]), "DEDUP_KEY",
@@ -115,7 +135,8 @@ def _transform_merge(spark: SparkSession, wh: Warehouse, feed: str, files: list[
     inserted = spark.read.parquet(f"{scratch}/inserted")
     detail_cols = [c for c in inserted.columns if c not in ("DEDUP_KEY", "SOURCE_DIR", "SOURCE_FILE")]
     TB.append_detail(inserted.select(*detail_cols), wh.detail)
-    TB.append_keys(inserted.select("DEDUP_KEY"), wh.keys, options.key_table)
+    if options.key_table is not None:
+        TB.append_keys(inserted.select("DEDUP_KEY"), table=options.key_table)
     failed_files = {r[1] for r in failed.collect()}
     for s in TR.transform_stats(flagged, inserted, failed).collect():
         f = s["SOURCE_FILE"]

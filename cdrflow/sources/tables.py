@@ -5,9 +5,8 @@
   deletes whole file partitions;
 * detail: append-only, partitioned by START_DAY (day of START_DATE) so the
   monitoring queries prune days;
-* keys: the narrow de-duplication key table (DEDUP_KEY, START_DAY), appended
-  with the detail rows; optionally a catalog table bucketed by key so the
-  merge's anti join does not shuffle it;
+* keys: by default the detail table's key column; optionally a catalog
+  table bucketed by key so the merge's anti join does not shuffle it;
 * audit: append-only event log; ``audit_latest`` gives the current state.
 """
 
