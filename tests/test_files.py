@@ -158,3 +158,37 @@ def test_sequential_mode_matches_file_by_file_order(spark, tmp_path):
     detail = spark.read.parquet(str(tmp_path / "wh_seq" / "detail"))
     assert detail.count() == sum(r.INSERTED for r in seq.values() if r.STATUS == "SUCCESS")
     assert detail.groupBy("CHARGING_ID").count().where("count > 1").count() == 0
+
+
+def test_rerun_after_crash_before_audit(spark, tmp_path, monkeypatch):
+    """A run lost after its detail append but before its audit rows is run
+    again: the files are reprocessed, nothing is inserted twice."""
+    import pytest
+
+    from cdrflow.plans import batch_load as BL
+
+    feeds = write_landing(spark, SF001, str(tmp_path / "landing"))
+    wh = str(tmp_path / "wh")
+    real = BL.TB.append_audit
+    calls = {"n": 0}
+
+    def flaky(events, path):
+        calls["n"] += 1
+        if calls["n"] == 2:  # the final SUCCESS / ERROR events
+            raise RuntimeError("driver lost")
+        return real(events, path)
+
+    monkeypatch.setattr(BL.TB, "append_audit", flaky)
+    with pytest.raises(RuntimeError):
+        run_load(spark, feeds, wh, "2024-01-31 00:00:00", LoadOptions(cleanup="never"))
+    monkeypatch.setattr(BL.TB, "append_audit", real)
+    n_first = spark.read.parquet(f"{wh}/detail").count()
+    assert n_first > 0
+    out = {r.FILE_NAME: r for r in run_load(spark, feeds, wh, "2024-01-31 01:00:00", LoadOptions(cleanup="never")).collect()}
+    assert len(out) == 20  # every file reprocessed
+    detail = spark.read.parquet(f"{wh}/detail")
+    assert detail.groupBy("CHARGING_ID").count().where("count > 1").count() == 0  # nothing inserted twice
+    # files loaded by the lost run insert nothing again; only file 11, which
+    # failed fail_file then, now loads its new keys (its repeat is matched)
+    assert {f: r.INSERTED for f, r in out.items() if r.STATUS == "SUCCESS" and r.INSERTED} == {
+        "CDR_OCC_11.csv": detail.count() - n_first}
