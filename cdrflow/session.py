@@ -63,8 +63,12 @@ def spread(df: DataFrame, min_splits: int | None = None) -> DataFrame:
     """
     from pyspark.sql import functions as F
 
-    want = min_splits or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_splits or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: no RDD view, keep the plan
+        return df
+    if have >= want:
         return df
     first = df.columns[0]
     wide = df.repartition(want)
@@ -79,11 +83,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
     Only when the session names none (tests) is ``fallback`` set as the
     checkpoint folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        d = d or spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext on the client (Spark Connect)
+        pass
     if d:
         return d
     if fallback:
-        spark.sparkContext.setCheckpointDir(fallback)
+        try:
+            spark.sparkContext.setCheckpointDir(fallback)
+        except Exception:
+            pass
         spark.conf.set("spark.checkpoint.dir", fallback)
         return fallback
     return None
