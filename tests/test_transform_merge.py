@@ -78,3 +78,45 @@ def test_mmg_transform_not_implemented(spark):
 
     with pytest.raises(NotImplementedError):
         TR.compile_mapping(MMG_MAPPING)
+
+
+# ---- merge against a Python model (hypothesis) -----------------------------
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+rows_st = st.lists(
+    st.tuples(st.sampled_from(["a.csv", "b.csv", "c.csv"]), st.integers(1, 40), st.sampled_from(["K1", "K2", "K3", "K4", None])),
+    min_size=1, max_size=30, unique_by=lambda r: (r[0], r[1]),
+)
+
+
+def model(rows, existing, policy):
+    new = [r for r in rows if r[2] is not None and r[2] not in existing]
+    failed = set()
+    if policy == "fail_file":
+        seen = {}
+        for f, _, k in new:
+            seen[(f, k)] = seen.get((f, k), 0) + 1
+        failed = {f for (f, k), n in seen.items() if n > 1}
+    first = {}
+    for f, line, k in sorted(r for r in new if r[0] not in failed):
+        first.setdefault(k, (f, line))
+    return {(k, f, line) for k, (f, line) in first.items()}, failed
+
+
+@settings(max_examples=12, deadline=None)
+@given(rows_st, st.sets(st.sampled_from(["K1", "K2", "K3", "K4"]), max_size=2), st.sampled_from(["keep_first", "fail_file"]))
+def test_merge_model(spark, rows, existing, policy):
+    df = spark.createDataFrame([("OCC", f, line, k) for f, line, k in rows],
+                               "SOURCE_DIR string, SOURCE_FILE string, SOURCE_LINE int, DEDUP_KEY string")
+    keys = spark.createDataFrame([(k,) for k in sorted(existing)], "DEDUP_KEY string")
+    ins, failed = MG.merge_insert_absent(df, keys, on_duplicate=policy, order_by=("SOURCE_LINE",))
+    got = {(r.DEDUP_KEY, r.SOURCE_FILE, r.SOURCE_LINE) for r in ins.collect()}
+    exp, exp_failed = model(rows, existing, policy)
+    assert got == exp
+    assert {r.SOURCE_FILE for r in failed.collect()} == exp_failed
+    # idempotence: with the inserted keys loaded, a rerun inserts nothing
+    again, _ = MG.merge_insert_absent(df, keys.unionByName(ins.select("DEDUP_KEY")), on_duplicate="keep_first",
+                                      order_by=("SOURCE_LINE",))
+    if policy == "keep_first":
+        assert again.count() == 0
