@@ -50,27 +50,24 @@ def merge_insert_absent(
     keys = existing_keys(key_table, key_table_column or key, key)
     spark = src.sparkSession
 
+    live = src.where(F.col(key).isNotNull())
+
+    def first_per_key(rows: DataFrame) -> DataFrame:
+        # one row per key, combined map-side before the shuffle, then the
+        # keys already loaded are dropped (one row per key on the join)
+        first = rows.groupBy(key).agg(F.min_by(payload, across).alias("_ROW"))
+        return first.join(keys, key, "left_anti").select("_ROW.*")
+
     if on_duplicate == "keep_first":
-        first = src.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(payload, across).alias("_ROW"))
-        to_insert = first.join(keys, key, "left_anti").select("_ROW.*")
         failed = spark.createDataFrame([], "SOURCE_DIR string, SOURCE_FILE string")
-        return to_insert, failed
-
-    per_file = (
-        src.where(F.col(key).isNotNull())
-        .groupBy(*FILE_KEYS, key)
-        .agg(F.count(F.lit(1)).alias("_N"), F.min_by(payload, across).alias("_ROW"))
-    )
-    new = per_file.join(keys, key, "left_anti")
-    failed = new.where(F.col("_N") > 1).select(*FILE_KEYS).distinct()
-    surviving = new.join(failed, FILE_KEYS, "left_anti")
-    to_insert = (
-        surviving.groupBy(key)
-        .agg(F.min_by(F.col("_ROW"), F.struct(F.col("_ROW.SOURCE_FILE"), F.col("_ROW.SOURCE_DIR"),
-                                               *[F.col(f"_ROW.{c}") for c in order_by if c not in FILE_KEYS])).alias("_ROW"))
-        .select("_ROW.*")
-    )
-    return to_insert, failed
+        return first_per_key(live), failed
+
+    # fail_file: the failing files come from a narrow (file, key) count; only
+    # the rows of the other files then go through the one payload shuffle.
+    counts = live.groupBy(*FILE_KEYS, key).agg(F.count(F.lit(1)).alias("_N")).where(F.col("_N") > 1)
+    failed = counts.join(keys, key, "left_anti").select(*FILE_KEYS).distinct()
+    surviving = live.join(failed, FILE_KEYS, "left_anti")
+    return first_per_key(surviving), failed
 
 
 def duplicate_files(src: DataFrame, key: str = "DEDUP_KEY") -> DataFrame:
