@@ -114,3 +114,17 @@ def read_audit_events(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(path)
     fields = AUDIT_SCHEMA.fields + [T.StructField("SEQ", T.LongType(), True)]
     return spark.createDataFrame([], T.StructType(fields))
+
+
+def analyze(spark: SparkSession, table: str, columns: list[str] | None = None) -> dict:
+    """Refresh optimizer statistics of a catalog table (row count, size and,
+    with ``columns``, column statistics) and return the table-level ones."""
+    cols = f" FOR COLUMNS {', '.join(columns)}" if columns else ""
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{cols}")
+    stats = {}
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if r[0] == "Statistics":
+            for part in r[1].split(","):
+                v, _, unit = part.strip().partition(" ")
+                stats[unit] = int(v)
+    return stats
