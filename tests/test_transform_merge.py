@@ -120,3 +120,20 @@ def test_merge_model(spark, rows, existing, policy):
                                       order_by=("SOURCE_LINE",))
     if policy == "keep_first":
         assert again.count() == 0
+
+
+def test_fixture_counts_sf01(spark):
+    """The FIXTURES.md counts at sf0.1 (100 000 staged rows)."""
+    sf = "/root/testdata/sf0.1"
+    f = R.flagged(spark, sf)
+    has = lambda p: F.exists("REJECT_REASONS", lambda r: r.startswith(p))
+    r = f.agg(
+        F.count(F.lit(1)), F.count_if(has("REQUIRED_BLANK")), F.count_if(has("BAD_TIMESTAMP")),
+        F.count_if(~TR.is_valid()), F.count_if(TR.is_valid()),
+        F.count_distinct(F.when(TR.is_valid(), F.col("DEDUP_KEY"))),
+    ).first()
+    assert tuple(r) == (100000, 1999, 2011, 3970, 96030, 86777)
+    assert R.merged(spark, sf, "keep_first")[0].count() == 74382
+    ins, failed = R.merged(spark, sf, "fail_file")
+    assert ins.count() == 74249
+    assert [tuple(x) for x in failed.collect()] == [("OCC", "CDR_OCC_11.csv")]
