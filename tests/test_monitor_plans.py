@@ -100,3 +100,22 @@ def test_audit_message_cut_and_latest(spark):
     events = A.audit_event(ev, "ERROR", FX.ntz(FX.AS_OF), A.error_message("LOAD_ERROR", F.col("M")), seq=F.col("SEQ"))
     cur = A.audit_latest(events).first()
     assert len(cur.MESSAGE) == 4000 and cur.MESSAGE.startswith("LOAD_ERROR: yyy")
+
+
+def test_flag_filters_read_the_computed_column(spark):
+    """The valid/rejected filter runs on the projected REJECT_REASONS, not on
+    a re-inlined copy of every check."""
+    plan = R.valid(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [l for l in plan.splitlines() if "Filter" in l]
+    assert any("size(REJECT_REASONS#" in l for l in filters)
+    assert not any("REQUIRED_BLANK" in l for l in filters)
+
+
+def test_spread_only_narrow_scans(spark):
+    from cdrflow.session import spread
+
+    wide = spark.range(0, 1000, 1, numPartitions=spark.sparkContext.defaultParallelism)
+    assert spread(wide) is wide
+    narrow = spark.range(0, 1000, 1, numPartitions=1)
+    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r[0] for r in spread(narrow).collect()) == list(range(1000))
