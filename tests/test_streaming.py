@@ -63,3 +63,4 @@ def test_archive_processed_files(spark, tmp_path):
     assert len(archived) + len(list(landing.glob("*.csv"))) == 3
     cur = audit_latest(TB.read_audit_events(spark, str(tmp_path / "wh" / "audit")))
     assert cur.count() == 3
+
