@@ -70,6 +70,9 @@ class LoadOptions:
     overflow: str = "fail_file"  # or "null"
     key_table: str | None = None  # bucketed catalog table for the keys
     sequential: bool = False  # exact file-by-file merge (reference order) instead of one batch
+    # staging layout (= dynamic whitelist) per feed beyond the mapping's
+    # source columns, e.g. {"OCC": ["AGGREGATION_GROUP", "A_IMSI", ...]}
+    staging_columns: dict | None = None
 
 
 def _seq(load_ts: str, step: int) -> int:
@@ -77,11 +80,13 @@ def _seq(load_ts: str, step: int) -> int:
     return int((t - dt.datetime(1970, 1, 1)).total_seconds()) * 10 + step
 
 
-def _staging_columns(spark: SparkSession, wh: Warehouse, feed: str, info: DataFrame) -> tuple[list[str], str]:
+def _staging_columns(spark: SparkSession, wh: Warehouse, feed: str, info: DataFrame,
+                     extra: list[str] | None = None) -> tuple[list[str], str]:
     """Whitelist / staging columns of a feed and the effective mode."""
     mapping = MAPPINGS.get(feed, ())
     if mapping:
-        return [s.source for s in mapping], "dynamic"
+        cols = [s.source for s in mapping]
+        return cols + [c for c in (extra or []) if c not in cols and c not in TECHNICAL_COLUMNS], "dynamic"
     # No mapping (e.g. MMG): the staging layout follows the headers.
     names = sorted({n for r in info.select(F.explode("HEADER_COLS")).distinct().collect() for n in r})
     return [n for n in names if n not in TECHNICAL_COLUMNS], "permissive"
@@ -191,7 +196,7 @@ def run_load(
         feed_lines, scanned, feed_headers = L.scan_lines(spark, feed_listing, "\n", f"{scratch}/scan_{feed}")
         size_err = L.size_check(feed_listing, scanned).select(*FILE, F.col("DETAIL").alias("DOWNLOAD_ERROR"))
         info0 = CI.header_info(feed_headers, None, "permissive", None, options.dialect)
-        cols, mode = _staging_columns(spark, wh, feed, info0)
+        cols, mode = _staging_columns(spark, wh, feed, info0, (options.staging_columns or {}).get(feed))
         mode = options.whitelist_mode if MAPPINGS.get(feed) else mode
         mapping_keys = [s.source for s in MAPPINGS.get(feed, ())]
         info = CI.header_info(feed_headers, cols, mode, mapping_keys, options.dialect)

@@ -194,3 +194,25 @@ def test_rerun_after_crash_before_audit(spark, tmp_path, monkeypatch):
     # failed fail_file then, now loads its new keys (its repeat is matched)
     assert {f: r.INSERTED for f, r in out.items() if r.STATUS == "SUCCESS" and r.INSERTED} == {
         "CDR_OCC_11.csv": detail.count() - n_first}
+
+
+def test_wider_staging_layout_and_strict_mode(spark, tmp_path):
+    """The typical OCC header (extra columns beyond the mapping) loads in
+    dynamic mode when the staging layout has them, and fails in strict mode."""
+    header = ["AGGREGATION_GROUP", "A_IMSI", "A_MSISDN_ORIG", "APN", "CALL_TYPE", "CHARGING_ID",
+              "DATASOURCE", "EVENT_TYPE", "ORIG_START_TIME", "A_MSISDN", "SERVICE_ID", "SUBSCRIBER_TYPE",
+              "ROAMING_TYPE", "PARTNER", "FILTER_CODE", "FLEX_FLD1", "FLEX_FLD2", "FLEX_FLD3"]
+    row = ["g1", "i1", "o1", "internet", "data", "CHX1", "OCC", "click", "1704067200", "21600000001", "S", "PRE",
+           "HOME", "P1", "F1", "x", "y", "z"]
+    folder = tmp_path / "OCC"
+    folder.mkdir()
+    (folder / "CDR_OCC_T.csv").write_text(",".join(header) + "\n" + ",".join(row) + "\n")
+    extra = {"OCC": ["AGGREGATION_GROUP", "A_IMSI", "A_MSISDN_ORIG"]}
+    ok = run_load(spark, {"OCC": str(folder)}, str(tmp_path / "wh1"), "2024-01-31 00:00:00",
+                  LoadOptions(cleanup="never", staging_columns=extra)).first()
+    assert ok.STATUS == "SUCCESS" and ok.MESSAGE == "TMP:1 DETAIL:1 REJECTED:0"
+    staged = TB.read_staging(spark, str(tmp_path / "wh1" / "staging")).first()
+    assert staged.AGGREGATION_GROUP == "g1" and staged.A_IMSI == "i1"
+    strict = run_load(spark, {"OCC": str(folder)}, str(tmp_path / "wh2"), "2024-01-31 00:00:00",
+                      LoadOptions(cleanup="never", staging_columns=extra, whitelist_mode="strict")).first()
+    assert strict.MESSAGE == "WHITELIST_ERROR: Unknown columns: AGGREGATION_GROUP, A_IMSI, A_MSISDN_ORIG"
