@@ -73,6 +73,7 @@ class LoadOptions:
     # staging layout (= dynamic whitelist) per feed beyond the mapping's
     # source columns, e.g. {"OCC": ["AGGREGATION_GROUP", "A_IMSI", ...]}
     staging_columns: dict | None = None
+    validate: str = "raw"  # whitelist the raw header names (reference) or the sanitized ones
 
 
 def _seq(load_ts: str, step: int) -> int:
@@ -199,7 +200,7 @@ def run_load(
         cols, mode = _staging_columns(spark, wh, feed, info0, (options.staging_columns or {}).get(feed))
         mode = options.whitelist_mode if MAPPINGS.get(feed) else mode
         mapping_keys = [s.source for s in MAPPINGS.get(feed, ())]
-        info = CI.header_info(feed_headers, cols, mode, mapping_keys, options.dialect)
+        info = CI.header_info(feed_headers, cols, mode, mapping_keys, options.dialect, options.validate)
         # parse once; routing and staging both read the written result
         CI.parse_lines(feed_lines, info, cols, options.dialect).write.mode("overwrite").parquet(f"{scratch}/parsed_{feed}")
         parsed = spark.read.parquet(f"{scratch}/parsed_{feed}")

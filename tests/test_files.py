@@ -216,3 +216,28 @@ def test_wider_staging_layout_and_strict_mode(spark, tmp_path):
     strict = run_load(spark, {"OCC": str(folder)}, str(tmp_path / "wh2"), "2024-01-31 00:00:00",
                       LoadOptions(cleanup="never", staging_columns=extra, whitelist_mode="strict")).first()
     assert strict.MESSAGE == "WHITELIST_ERROR: Unknown columns: AGGREGATION_GROUP, A_IMSI, A_MSISDN_ORIG"
+
+
+def test_validate_sanitized_names_and_overflow_policy(spark, tmp_path):
+    """D17: raw header names are whitelisted case-sensitively (reference);
+    validate='sanitized' checks the storage names instead.  D9: an
+    overflowing number fails the file by default, or becomes NULL."""
+    header = ["datasource", "a_msisdn", "orig_start_time", "apn", "call_type", "event_type", "charging_id",
+              "service_id", "subscriber_type", "roaming_type", "partner", "filter_code", "flex_fld1", "flex_fld2",
+              "flex_fld3", "charge_amount"]
+    row = ["OCC", "21600000001", "1704067200", "internet", "data", "click", "CHZ1", "S", "PRE", "HOME", "P1", "F1",
+           "x", "y", "z", "1" * 25]
+    folder = tmp_path / "OCC"
+    folder.mkdir()
+    (folder / "CDR_OCC_L.csv").write_text(",".join(header) + "\n" + ",".join(row) + "\n")
+    raw = run_load(spark, {"OCC": str(folder)}, str(tmp_path / "w1"), "2024-01-31 00:00:00",
+                   LoadOptions(cleanup="never")).first()
+    assert raw.MESSAGE.startswith("WHITELIST_ERROR: Unknown columns: datasource, a_msisdn")
+    ovf = run_load(spark, {"OCC": str(folder)}, str(tmp_path / "w2"), "2024-01-31 00:00:00",
+                   LoadOptions(cleanup="never", validate="sanitized")).first()
+    assert ovf.MESSAGE == "TRANSFORM_ERROR: numeric value out of range for the detail column"
+    ok = run_load(spark, {"OCC": str(folder)}, str(tmp_path / "w3"), "2024-01-31 00:00:00",
+                  LoadOptions(cleanup="never", validate="sanitized", overflow="null")).first()
+    assert ok.STATUS == "SUCCESS"
+    d = spark.read.parquet(str(tmp_path / "w3" / "detail")).first()
+    assert d.CHARGING_ID == "CHZ1" and d.CHARGE_AMOUNT is None
