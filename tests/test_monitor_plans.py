@@ -119,3 +119,19 @@ def test_spread_only_narrow_scans(spark):
     narrow = spark.range(0, 1000, 1, numPartitions=1)
     assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(r[0] for r in spread(narrow).collect()) == list(range(1000))
+
+
+def test_staging_counts_empty_feed_and_retention(spark):
+    occ = FX.cdr_raw(spark, SF001)
+    empty = spark.createDataFrame([], "SOURCE_FILE string, SOURCE_DIR string, LOAD_TS timestamp_ntz")
+    rows = {r.TABLE_NAME: (r.ROW_COUNT, r.FILE_COUNT) for r in M.m_staging_counts({"RA_T_TMP_OCC": occ, "RA_T_TMP_MMG": empty}).collect()}
+    assert rows == {"RA_T_TMP_OCC": (1000, 20), "RA_T_TMP_MMG": (0, 0)}
+
+    from cdrflow.operators import maintain as MT
+
+    a = FX.load_audit(spark, SF001)
+    keep, drop = MT.retain(a, FX.AS_OF, days=7)
+    assert keep.count() + drop.count() == a.count() and drop.count() > 0
+    assert drop.where(F.col("LOAD_TS") >= FX.ntz("2024-01-24 00:00:00")).count() == 0
+    keep90, drop90 = MT.retain(a, FX.AS_OF, days=90)
+    assert drop90.count() == 0
