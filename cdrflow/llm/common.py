@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
+def ship(module: str) -> None:
+    """Send a module's functions to the Python workers by value, so that they need not be able to import it."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors and the driver share (``spark.checkpoint.dir``).
 

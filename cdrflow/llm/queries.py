@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, quality, sharding, url_filter
+from . import byte_bpe, exact_dedup, language, packing, quality, sharding, url_filter
 from .common import materialize, table
 
 SHARDS = [f"shard-{i:02d}" for i in range(32)]
@@ -178,3 +179,46 @@ ORACLES = {
     "op8_exact_dedup": _OP8,
     "op9_bloom_cascade": _OP9,
 }
+
+
+def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096
+    )
+    return packed_columns(pieces)
+
+
+def packed_columns(pieces: DataFrame) -> DataFrame:
+    """Pieces with the CRC-32 of their ids in place of the ids."""
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "whole"
+    )
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.Vocabulary.load(
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.encode(docs, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(byte_bpe.packed(F.col("ids"), vocabulary), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
+    )
+
+
+def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    model = language.fit(docs.filter(~held_out))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected"
+    )
+
+
+QUERIES |= {
+    "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op10_zstd_language": op10_zstd_language,
+}
