@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language, packing, quality, sharding, url_filter
+from . import byte_bpe, exact_dedup, language, packing, quality, sharding, simhash, url_filter
 from .common import materialize, table
 
 SHARDS = [f"shard-{i:02d}" for i in range(32)]
@@ -222,3 +222,11 @@ QUERIES |= {
     "op6_byte_bpe": op6_byte_bpe,
     "op10_zstd_language": op10_zstd_language,
 }
+
+
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, tau=4)
+    return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id", "kept")
+
+
+QUERIES["op7_simhash_near_dedup"] = op7_simhash_near_dedup
