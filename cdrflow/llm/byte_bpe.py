@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Words whose ids are kept as a literal, about 40 bytes each.
-MAX_CACHED = 1 << 19
+#: Words whose ids are kept as a literal, about 25 bytes each; the literal is part of the plan.
+MAX_CACHED = 1 << 17
 #: Counts above are one class when the cut-off is sought.
 COUNT_LIMIT = 100_000
 #: Entries of a lookup bucket on average.
@@ -52,6 +53,11 @@ def _latin(piece: bytes) -> str:
     return piece.decode("latin-1")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _find(buckets: Column, n: int, key: Column) -> Column:
     """The value of ``key`` in a literal array of maps; null if it has none."""
     return F.get(buckets, F.pmod(F.crc32(key), F.lit(n)).cast("int"))[key]
@@ -125,9 +131,9 @@ def fold(word: Column, vocabulary: Vocabulary) -> Column:
                 end = F.array_min(r).isNull()
                 return F.struct(F.when(end, state["s"]).otherwise(merged).alias("s"), end.alias("end"))
 
-            return F.get(F.transform(F.array(pairs), best), F.lit(0))
+            return _let(pairs, best)
 
-        return F.when(state["end"], state).otherwise(F.get(F.transform(F.array(inside(state["s"])), merge), F.lit(0)))
+        return F.when(state["end"], state).otherwise(_let(inside(state["s"]), merge))
 
     steps = F.sequence(F.lit(1), F.greatest(F.char_length(data) - 1, F.lit(1)))
     folded = F.aggregate(
@@ -153,10 +159,13 @@ class Cache:
 
     def find(self, buckets: Column, word: Column) -> Column:
         """The word's ids, comma-joined; null if it isn't there."""
-        text = F.get(buckets, F.pmod(F.crc32(word), F.lit(len(self.texts))).cast("int"))
         entry = F.concat(F.lit(KEY), word, F.lit(VALUE))
-        value = F.substring_index(F.call_function("substring_index", text, entry, F.lit(-1)), KEY, 1)
-        return F.when(F.contains(text, entry) & ~F.contains(word, F.lit(VALUE)), value)
+
+        def value(text: Column) -> Column:
+            after = F.call_function("substring_index", text, entry, F.lit(-1))
+            return F.when(F.contains(text, entry) & ~F.contains(word, F.lit(VALUE)), F.substring_index(after, KEY, 1))
+
+        return _let(F.get(buckets, F.pmod(F.crc32(word), F.lit(len(self.texts))).cast("int")), value)
 
     def column(self) -> Column:
         return F.from_json(F.lit(json.dumps(self.texts)), "array<string>")

@@ -9,7 +9,6 @@ that is.  The dictionaries are the model: ``dict_bytes`` for each of
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,20 +22,26 @@ ship(__name__)
 
 UNKNOWN = "und"
 #: Labelled documents of each language at most, chosen by the hash of their id.
-SAMPLE_DOCS = 400
+SAMPLE_DOCS = 100
 #: Characters of a sampled document that go into the dictionary.
 SAMPLE_CHARS = 2000
-DICT_BYTES = 160_000
+DICT_BYTES = 60_000
 MAX_LANGUAGES = 200
-LEVEL = 3
+LEVEL = 12
+#: A margin of this or less is narrow.
+NARROW = 0.002
+#: Texts of fewer bytes give too little evidence for a rejection, as sizes are whole bytes.
+MIN_JUDGED = 200
 SCHEMA_TAIL = "lang_pred string, score double, margin double, rejected boolean"
 
 
 def letters(text: str | None) -> str:
-    """Lower-case letters of a text, with one space for each run of anything else."""
-    if not text:
+    """Lower-case letters and marks of a text, with one space for each run of anything else; '' if it has no letter."""
+    import regex
+
+    if not text or not regex.search(r"\p{L}", text):
         return ""
-    return " ".join("".join(c if c.isalpha() or unicodedata.category(c)[0] == "M" else " " for c in text.lower()).split())
+    return regex.sub(r"[^\p{L}\p{M}]+", " ", text.lower()).strip()
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
@@ -103,25 +108,27 @@ class Classifier:
         data = text.encode()
         return [len(p.compress(data)) for p in self.packers]
 
-    def __call__(self, text: str | None) -> tuple[str, float, float]:
-        """Language, score and margin; the margin is the share of bytes that the best saves over the second."""
+    def __call__(self, text: str | None) -> tuple[str, float, float, bool]:
+        """Language, score, margin, and whether the text is too short to be rejected by its margin.
+
+        The margin is the share of bytes that the best saves over the second.
+        """
         plain = letters(text)
         if not plain or not self.names:
-            return UNKNOWN, 0.0, 0.0
+            return UNKNOWN, 0.0, 0.0, False
         order = sorted(zip(self.sizes(plain), self.names))
         best = order[0]
-        if len(order) == 1:
-            return best[1], 1.0, 1.0
-        margin = (order[1][0] - best[0]) / order[1][0]
-        return best[1], min(1.0, 0.5 + margin / 2), margin
+        margin = (order[1][0] - best[0]) / order[1][0] if len(order) > 1 else 1.0
+        return best[1], min(1.0, 0.5 + margin / 2), margin, len(plain.encode()) < MIN_JUDGED
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", narrow: float = 0.0) -> DataFrame:
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", narrow: float = NARROW) -> DataFrame:
     """``docs`` plus lang_pred, score, margin and rejected.
 
-    ``rejected``: no letter to judge by, or a margin of ``narrow`` or less (so a
-    tie always is).  Null, empty and letterless texts are ``und`` with score 0;
-    without any dictionary all texts are.  ``docs`` must not have columns of
+    ``rejected``: no letter to judge by, or a margin of ``narrow`` or less in a
+    text of ``MIN_JUDGED`` bytes of letters or more.  Ties go to the first name.
+    Null, empty and letterless texts are ``und`` with score 0; without any
+    dictionary all texts are.  ``docs`` must not have columns of
     these four names.
     """
     names = docs.columns
@@ -133,8 +140,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
             for i in range(0, batch.num_rows, 1000):
                 part = batch.slice(i, 1000)
                 found = [judge(t) for t in part.column(at).to_pylist()]
-                extra = pd.DataFrame(found, columns=["lang_pred", "score", "margin"])
-                rejected = (extra["lang_pred"] == UNKNOWN) | (extra["margin"] <= narrow)
+                extra = pd.DataFrame(found, columns=["lang_pred", "score", "margin", "short"])
+                rejected = (extra["lang_pred"] == UNKNOWN) | (~extra["short"] & (extra["margin"] <= narrow))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *part.columns,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language, packing, quality, sharding, simhash, url_filter
+from . import byte_bpe, exact_dedup, html_extract, language, packing, quality, sharding, simhash, url_filter, warc_zip
 from .common import materialize, table
 
 SHARDS = [f"shard-{i:02d}" for i in range(32)]
@@ -230,3 +230,31 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_simhash_near_dedup"] = op7_simhash_near_dedup
+
+
+def op4_host_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "path")
+
+
+QUERIES["op4_host_path_extraction"] = op4_host_path_extraction
+
+
+def op5_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest, folder = warc_zip.archive_pages(table(spark, sf_dir, "pages"))
+    records = warc_zip.read_records(warc_zip.read_index(manifest, folder), folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES["op5_zip_warc"] = op5_zip_warc
+
+ORACLES["op5_zip_warc"] = """
+WITH p AS (SELECT row_number() OVER () AS r, page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT r, page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
+o AS (SELECT *, row_number() OVER w AS nr, first_value(page_id) OVER w AS head
+      FROM d WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, r))
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND nr > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND nr > 1 THEN head END AS refers_to
+FROM o
+"""
