@@ -29,21 +29,27 @@ class Fence:
     """Accepted: from q25 - reach * spread (if ``lower``) to q75 + reach * spread.
 
     ``spread`` is the interquartile range, ``floor`` at least; in thousandths
-    of the rate, so all arithmetic is on integers.
+    of the rate, so all arithmetic is on integers.  Texts of fewer than
+    ``min_words`` words have no such rate: it would be mostly noise.
     """
 
     count: str
     floor: int
     reach: int = 6
     lower: bool = False
+    min_words: int = 0
+
+    @property
+    def rate(self) -> Column:
+        return F.expr(f"if(n_words >= {max(1, self.min_words)}, 1000 * {self.count} div n_words, null)")
 
 
 #: Rates are 1000 * count div n_words.
 FENCES = {
-    "word_length": Fence("word_chars", floor=500, lower=True),
+    "word_length": Fence("word_chars", floor=500, lower=True, min_words=50),
     "symbol_rate": Fence("n_symbols", floor=20),
     "dup_line_rate": Fence("n_dup_lines", floor=15),
-    "repeat_rate": Fence("n_repeat_words", floor=30),
+    "repeat_rate": Fence("n_repeat_words", floor=35),
 }
 #: A group's own sketch needs so many documents; below, the merged one is used.
 MIN_GROUP = 200
@@ -139,12 +145,12 @@ def sketch(featured: DataFrame, groups: list[str]) -> DataFrame:
         F.explode(
             F.array(
                 *[
-                    F.struct(F.lit(m).alias("metric"), F.expr(f"1000 * {f.count} div n_words").alias("v"))
+                    F.struct(F.lit(m).alias("metric"), f.rate.alias("v"))
                     for m, f in FENCES.items()
                 ]
             )
         ).alias("r"),
-    )
+    ).filter("r.v is not null")
     shift = F.expr("greatest(length(bin(r.v)) - 7, 0)")
     return (
         rates.select(*groups, "r.metric", F.expr("r.v").alias("v"), shift.alias("s"))
@@ -221,9 +227,7 @@ def judge(featured: DataFrame, lang_col: str = "lang", source_col: str = "source
     broken = F.coalesce(
         *[
             F.when(
-                (F.expr(f"1000 * {f.count} div n_words") < F.col(f"lim.low_{m}"))
-                | (F.expr(f"1000 * {f.count} div n_words") > F.col(f"lim.high_{m}")),
-                F.lit(m),
+                (f.rate < F.col(f"lim.low_{m}")) | (f.rate > F.col(f"lim.high_{m}")), F.lit(m)
             )
             for m, f in FENCES.items()
         ]
