@@ -91,7 +91,7 @@ class Page:
             i = self.elements[i].parent
 
     def settle(self) -> None:
-        """Marks do not count on an element that holds the article: a heading or most of the page's text."""
+        """Marks do not count on an element that holds the article: its heading, or most text under a good name."""
         total = 0
         for b in self.blocks:
             total += len(b.text)
@@ -102,7 +102,7 @@ class Page:
                 for i in self.above(e.parent):
                     self.elements[i].leads = True
         for e in self.elements:
-            if e.marked and (e.tag in ("html", "body", "main", "article") or e.leads and e.tag != "header" or 2 * e.chars > total):
+            if e.marked and (e.tag in ("html", "body", "main", "article") or e.leads and e.tag != "header" or e.good and 2 * e.chars > total):
                 e.marked = False
 
     def dropped(self, block: Block, top: int = -1) -> bool:
@@ -237,7 +237,7 @@ def parse(source: str) -> Page:
                     f"{up.path}/{tag}{kind}" if tag != "html" else up.path,
                     up.skipped or tag in SKIPPED or hidden or a.get("role", "").lower() in ROLES,
                     bool(names.strip()) and _marked(names),
-                    bool(GOOD & {w.lower() for w in WORD.findall(names)}),
+                    "comment" not in names.lower() and bool(GOOD & {w.lower() for w in WORD.findall(names)}),
                 )
             )
             stack.append((tag, len(elements) - 1))
