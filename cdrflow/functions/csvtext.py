@@ -26,34 +26,12 @@ def odd_quotes(line, quote: str = '"') -> Column:
     return (quote_count(line, quote) % 2) != 0
 
 
-def field_count(line, delimiter: str = ",", quote: str = '"') -> Column:
-    """Number of fields: 1 + delimiters outside quoted sections.
-
-    A quoted section only opens at the start of a field (after optional
-    blanks); a doubled enclosure inside it is an escaped enclosure.  Linear
-    regex (possessive quantifiers), safe on long lines.
-    """
-    d, q = _hex(delimiter), _hex(quote)
-    quoted = rf"(\A|{d})[ \t]*+{q}(?:[^{q}]++|{q}{q})*+{q}"
-    stripped = F.regexp_replace(line, quoted, "$1")
-    return F.lit(1) + F.length(stripped) - F.length(F.replace(stripped, F.lit(delimiter), F.lit("")))
-
-
-def csv_options(delimiter: str = ",", quote: str = '"') -> dict[str, str]:
-    return {"sep": delimiter, "quote": quote, "escape": quote, "mode": "PERMISSIVE"}
-
-
-def parse_fields(line, width: int, delimiter: str = ",", quote: str = '"') -> Column:
-    """Parsed fields ``_c0 .. _c{width-1}`` as a struct (missing -> NULL)."""
-    schema = ", ".join(f"_c{i} string" for i in range(width))
-    return F.from_csv(line, schema, csv_options(delimiter, quote))
-
-
 def split_fields(line, delimiter: str = ",", quote: str = '"') -> Column:
     """All fields of a line as an array of strings, unquoted.
 
-    Same field rule as ``field_count``: a quoted section opens only at the
-    start of a field; inside it a doubled enclosure is one enclosure.
+    A quoted section opens only at the start of a field, after optional blanks,
+    which are dropped; inside it a doubled enclosure is one enclosure; text
+    after it stays.  Linear regex (possessive quantifiers), safe on long lines.
     """
     d, q = _hex(delimiter), _hex(quote)
     # every field is matched together with the delimiter in front of it (one
@@ -63,8 +41,13 @@ def split_fields(line, delimiter: str = ",", quote: str = '"') -> Column:
     opened = rf"\A[ \t]*+{q}((?:[^{q}]++|{q}{q})*+){q}"
 
     def unquote(t: Column) -> Column:
-        inner = F.regexp_replace(t, opened, "$1")
-        return F.when(t.rlike(rf"\A[ \t]*+{q}"), F.replace(inner, F.lit(quote * 2), F.lit(quote))).otherwise(t)
+        # almost every quoted field is just quote, text, quote: no pattern is needed
+        body = F.replace(F.substring(t, F.lit(2), F.length(t) - 2), F.lit(quote * 2), F.lit(""))
+        plain = F.startswith(t, F.lit(quote)) & F.endswith(t, F.lit(quote)) & (F.length(t) > 1) & ~F.contains(body, F.lit(quote))
+        inner = F.when(plain, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(F.regexp_replace(t, opened, "$1"))
+        return F.when(
+            F.contains(t, F.lit(quote)) & t.rlike(rf"\A[ \t]*+{q}"), F.replace(inner, F.lit(quote * 2), F.lit(quote))
+        ).otherwise(t)
 
     return F.transform(toks, unquote)
 
@@ -85,18 +68,22 @@ def sanitize_columns(names) -> Column:
     Each base name takes the first free candidate among ``base``,
     ``base[:27] + '_01'``, ``'_02'``, ... given the names already taken
     to its left (a left fold), so ``A, A_01, A`` gives ``A, A_01, A_02``.
+    A free base is taken at once; only a clash searches, among as many
+    candidates as there are taken names with the same beginning.
     """
     bases = F.transform(names, _base_name)
 
-    def candidate(b: Column, i: Column) -> Column:
-        suffix = F.format_string("_%02d", i)
-        return F.when(i == 0, b).otherwise(
-            F.concat(F.substring(b, 1, F.lit(COLUMN_NAME_MAX) - F.length(suffix)), suffix)
-        )
+    def numbered(b: Column, i: Column) -> Column:
+        suffix = F.concat(F.lit("_"), F.when(i < 100, F.lpad(i.cast("string"), 2, "0")).otherwise(i.cast("string")))
+        return F.concat(F.substring(b, F.lit(1), F.lit(COLUMN_NAME_MAX) - F.length(suffix)), suffix)
+
+    def next_free(acc: Column, b: Column) -> Column:
+        # a suffix shortens the base by at most as many characters as it has
+        begin = F.substring(b, 1, COLUMN_NAME_MAX - 8)
+        alike = F.size(F.filter(acc, lambda c: F.startswith(c, begin)))
+        return F.element_at(F.array_except(F.transform(F.sequence(F.lit(1), alike + 1), lambda i: numbered(b, i)), acc), 1)
 
     def step(acc: Column, b: Column) -> Column:
-        cands = F.transform(F.sequence(F.lit(0), F.size(acc)), lambda i: candidate(b, i))
-        free = F.filter(cands, lambda c: ~F.array_contains(acc, c))
-        return F.concat(acc, F.array(F.element_at(free, 1)))
+        return F.concat(acc, F.array(F.when(~F.array_contains(acc, b), b).otherwise(next_free(acc, b))))
 
     return F.aggregate(bases, F.array().cast("array<string>"), step)

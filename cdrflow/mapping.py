@@ -110,10 +110,6 @@ AUDIT_MESSAGE_MAX = 4000
 COLUMN_NAME_MAX = 30
 
 
-def mapping_for(feed: str) -> tuple[ColumnSpec, ...]:
-    return MAPPINGS[feed.upper()]
-
-
 def detail_columns(mapping) -> list[str]:
     """Detail column order: mapped targets, then START_HOUR, ORIG_START_TIME."""
     cols = [s.target for s in mapping if s.target is not None]
@@ -144,17 +140,6 @@ def detail_schema(mapping=OCC_MAPPING) -> T.StructType:
     return T.StructType(fields)
 
 
-def staging_schema(columns) -> T.StructType:
-    """All-text staging schema plus the technical columns."""
-    fields = [T.StructField(c, T.StringType(), True) for c in columns if c not in TECHNICAL_COLUMNS]
-    fields += [
-        T.StructField("SOURCE_FILE", T.StringType(), True),
-        T.StructField("SOURCE_DIR", T.StringType(), True),
-        T.StructField("LOAD_TS", T.TimestampNTZType(), True),
-    ]
-    return T.StructType(fields)
-
-
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("SOURCE_DIR", T.StringType(), True),

@@ -68,15 +68,3 @@ def merge_insert_absent(
     failed = counts.join(keys, key, "left_anti").select(*FILE_KEYS).distinct()
     surviving = live.join(failed, FILE_KEYS, "left_anti")
     return first_per_key(surviving), failed
-
-
-def duplicate_files(src: DataFrame, key: str = "DEDUP_KEY") -> DataFrame:
-    """Files holding some key two or more times (unique-index violations)."""
-    return (
-        src.where(F.col(key).isNotNull())
-        .groupBy(*FILE_KEYS, key)
-        .agg(F.count(F.lit(1)).alias("_N"))
-        .where(F.col("_N") > 1)
-        .groupBy(*FILE_KEYS)
-        .agg(F.count(F.lit(1)).alias("DUP_KEYS"), F.sum("_N").alias("DUP_ROWS"))
-    )

@@ -7,14 +7,15 @@ key tables -> audit SUCCESS / ERROR -> staging cleanup.
 
 All files of a run move together; file identity travels as columns.  Only
 file-level metadata (paths, file keys, outcome rows) reaches the driver.
-There are no transactions on parquet, so the write order is staging ->
-detail -> keys -> audit last: a run that dies before its audit rows is simply
-run again; the skip / reload / insert-if-absent steps make that harmless.
+There are no transactions on parquet, so the write order is staging -> pending
+keys -> detail -> keys -> audit last: a run that dies before its audit rows is
+simply run again; the skip / reload / insert-if-absent steps make that
+harmless, and pending keys whose rows reached the detail are added to the key
+table first.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
 from dataclasses import dataclass
 
@@ -28,7 +29,7 @@ from cdrflow.operators import audit as A
 from cdrflow.operators import maintain as MT
 from cdrflow.operators import merge as MG
 from cdrflow.operators import transform as TR
-from cdrflow.session import checkpoint_dir, configure
+from cdrflow.session import configure
 from cdrflow.sources import csv_ingest as CI
 from cdrflow.sources import landing as L
 from cdrflow.sources import tables as TB
@@ -49,8 +50,8 @@ class Warehouse:
         return f"{self.root}/detail"
 
     @property
-    def keys(self) -> str:
-        return f"{self.root}/keys"
+    def pending_keys(self) -> str:
+        return f"{self.root}/_pending_keys"
 
     @property
     def audit(self) -> str:
@@ -69,6 +70,7 @@ class LoadOptions:
     dialect: CI.CsvDialect = CI.CsvDialect()
     overflow: str = "fail_file"  # or "null"
     key_table: str | None = None  # bucketed catalog table for the keys
+    key_buckets: int = 64  # of a new key table: about its final size / 1 GB
     sequential: bool = False  # exact file-by-file merge (reference order) instead of one batch
     # staging layout (= dynamic whitelist) per feed beyond the mapping's
     # source columns, e.g. {"OCC": ["AGGREGATION_GROUP", "A_IMSI", ...]}
@@ -76,9 +78,28 @@ class LoadOptions:
     validate: str = "raw"  # whitelist the raw header names (reference) or the sanitized ones
 
 
-def _seq(load_ts: str, step: int) -> int:
-    t = dt.datetime.fromisoformat(load_ts)
-    return int((t - dt.datetime(1970, 1, 1)).total_seconds()) * 10 + step
+def _next_seq(events: DataFrame) -> int:
+    """Order of this run's audit events: after all that are there, whatever any clock says."""
+    last = events.agg(F.max("SEQ")).first()[0]
+    return 0 if last is None else int(last) + 1
+
+
+def recover_keys(spark: SparkSession, wh: Warehouse, feed: str, table: str, buckets: int) -> None:
+    """Add the keys of a run that was lost between its detail and its key append.
+
+    The run's pending keys are a written table; those that are in the detail,
+    but not in the key table, are added.
+    """
+    path = f"{wh.pending_keys}/{feed}"
+    if not TB.exists(spark, path):
+        return
+    if TB.exists(spark, wh.detail):
+        key_col = DEDUP_KEYS[feed][0]
+        loaded = spark.read.schema(f"{key_col} string").parquet(wh.detail).select(F.col(key_col).alias("DEDUP_KEY"))
+        pending = spark.read.schema("DEDUP_KEY string").parquet(path)
+        missing = pending.join(loaded, "DEDUP_KEY", "left_semi").join(TB.read_keys(spark, table), "DEDUP_KEY", "left_anti")
+        TB.append_keys(missing, table, buckets)
+    TB.delete_path(spark, path)
 
 
 def _staging_columns(spark: SparkSession, wh: Warehouse, feed: str, info: DataFrame,
@@ -99,12 +120,12 @@ def _existing_keys(spark: SparkSession, wh: Warehouse, feed: str, options: LoadO
     By default the detail table's own key column (parquet reads just that
     column): one table is the only truth, so a run lost after its detail
     append leaves nothing to re-insert.  With ``key_table`` the keys come from
-    the bucketed catalog table (no shuffle of the key side); it is appended
-    right after the detail, so a run lost between the two appends can insert
-    those rows once more on rerun.
+    the bucketed catalog table (no shuffle of the key side), after
+    ``recover_keys`` has completed it.
     """
     if options.key_table is not None:
-        return TB.read_keys(spark, table=options.key_table)
+        recover_keys(spark, wh, feed, options.key_table, options.key_buckets)
+        return TB.read_keys(spark, options.key_table)
     key_col = DEDUP_KEYS[feed][0]
     if TB.exists(spark, wh.detail):
         # explicit one-column schema: only the key column is read, and a
@@ -135,14 +156,20 @@ def _transform_merge(spark: SparkSession, wh: Warehouse, feed: str, files: list[
         valid = valid.where(~F.col("SOURCE_FILE").isin(over_files))
     keys = _existing_keys(spark, wh, feed, options)
     to_insert, failed = MG.merge_insert_absent(valid, keys, "DEDUP_KEY", "DEDUP_KEY", options.on_duplicate, ("SOURCE_LINE",))
-    # cut lineage: the merge result is written once and every later step reads it
+    # cut lineage: failed files and merge result are written once, before the
+    # keys they were decided by change, and every later step reads them
+    failed.write.mode("overwrite").parquet(f"{scratch}/failed")
+    failed = spark.read.schema(failed.schema).parquet(f"{scratch}/failed")
     to_insert.select(*TR.detail_projection(MAPPINGS[feed], DEDUP_KEYS[feed]), "DEDUP_KEY",
                      "SOURCE_DIR", "SOURCE_FILE").write.mode("overwrite").parquet(f"{scratch}/inserted")
     inserted = spark.read.parquet(f"{scratch}/inserted")
     detail_cols = [c for c in inserted.columns if c not in ("DEDUP_KEY", "SOURCE_DIR", "SOURCE_FILE")]
+    if options.key_table is not None:
+        inserted.select("DEDUP_KEY").write.mode("overwrite").parquet(f"{wh.pending_keys}/{feed}")
     TB.append_detail(inserted.select(*detail_cols), wh.detail)
     if options.key_table is not None:
-        TB.append_keys(inserted.select("DEDUP_KEY"), table=options.key_table)
+        TB.append_keys(inserted.select("DEDUP_KEY"), options.key_table, options.key_buckets)
+        TB.delete_path(spark, f"{wh.pending_keys}/{feed}")
     failed_files = {r[1] for r in failed.collect()}
     for s in TR.transform_stats(flagged, inserted, failed).collect():
         f = s["SOURCE_FILE"]
@@ -167,14 +194,15 @@ def run_load(
     outcome row of each file (audit columns + INSERTED / DUPLICATES)."""
     configure(spark)
     wh = Warehouse(warehouse.rstrip("/"))
-    checkpoint_dir(spark, f"{wh.root}/_checkpoints")
     run_id = uuid.uuid4().hex[:12]
     ts = ntz(load_ts)
 
     # 1. listing minus files already loaded; frozen (file metadata) so later
     #    steps see the same set even if new files land meanwhile.
     listed = listing if listing is not None else L.list_landing(spark, feeds)
-    current = A.audit_latest(TB.read_audit_events(spark, wh.audit))
+    events = TB.read_audit_events(spark, wh.audit)
+    seq = _next_seq(events)
+    current = A.audit_latest(events)
     pending_rows = (
         MT.skip_loaded(listed, current)
         .select("SOURCE_DIR", "FILE_NAME", "FILE_PATH", "FILE_SIZE", "MTIME")
@@ -185,14 +213,23 @@ def run_load(
     if not pending_rows:
         return spark.createDataFrame([], T.StructType(A.audit_event(pending, "X", ts).schema.fields))
 
-    TB.append_audit(A.audit_event(pending, STATUS_DOWNLOADED, ts, seq=_seq(load_ts, 0)), wh.audit)
+    TB.append_audit(A.audit_event(pending, STATUS_DOWNLOADED, ts, seq=seq), wh.audit)
 
     scratch = wh.scratch(run_id)
+    try:
+        return _load_pending(spark, wh, pending, pending_rows, scratch, options, ts, seq + 1)
+    finally:
+        TB.delete_path(spark, scratch)
+
+
+def _load_pending(
+    spark: SparkSession, wh: Warehouse, pending: DataFrame, pending_rows: list, scratch: str, options: LoadOptions, ts, seq: int
+) -> DataFrame:
+    """Scan, route, stage, transform and merge the pending files; audit rows get ``seq``."""
     outcomes = []
     staged_ok = []
     for feed in sorted({r["SOURCE_DIR"] for r in pending_rows}):
-        # 2. physical lines of this feed's files: the text is read twice in
-        #    all (the per-split aggregate, then the parse), plus size check
+        # 2. physical lines of this feed's files (the text is read once), plus size check
         feed_listing = pending.where(F.col("SOURCE_DIR") == feed)
         feed_lines, scanned, feed_headers = L.scan_lines(spark, feed_listing, "\n", f"{scratch}/scan_{feed}")
         size_err = L.size_check(feed_listing, scanned).select(*FILE, F.col("DETAIL").alias("DOWNLOAD_ERROR"))
@@ -205,14 +242,20 @@ def run_load(
         CI.parse_lines(feed_lines, info, cols, options.dialect).write.mode("overwrite").parquet(f"{scratch}/parsed_{feed}")
         parsed = spark.read.parquet(f"{scratch}/parsed_{feed}")
         routing = CI.file_routing(info, parsed, feed_listing)
-        # a size mismatch wins over every later check
-        routing = routing.join(size_err, FILE, "left").select(
+        # a size mismatch wins over every later check, and lines that do not
+        # number 1..n over a file that seemed well
+        count_err = L.line_count_errors(feed_lines, scanned).select(*FILE, F.col("DETAIL").alias("COUNT_ERROR"))
+        later = F.when(
+            (F.col("STATUS") == "SUCCESS") & F.col("COUNT_ERROR").isNotNull(), A.error_message("LOAD_ERROR", F.col("COUNT_ERROR"))
+        ).otherwise(F.col("MESSAGE"))
+        routing = routing.join(size_err, FILE, "left").join(count_err, FILE, "left").select(
             *FILE,
-            F.when(F.col("DOWNLOAD_ERROR").isNotNull(), F.lit("ERROR")).otherwise(F.col("STATUS")).alias("STATUS"),
             F.when(F.col("DOWNLOAD_ERROR").isNotNull(), A.error_message("DOWNLOAD_ERROR", F.col("DOWNLOAD_ERROR")))
-            .otherwise(F.col("MESSAGE")).alias("MESSAGE"),
+            .otherwise(later).alias("MESSAGE"),
             "ROWS_CSV",
-        )
+        ).withColumn("STATUS", F.when(F.col("MESSAGE").isNull(), F.lit("SUCCESS")).otherwise(F.lit("ERROR")))
+        routing.write.mode("overwrite").parquet(f"{scratch}/routing_{feed}")
+        routing = spark.read.schema(routing.schema).parquet(f"{scratch}/routing_{feed}")
         route_rows = routing.collect()  # one row per file
         good = [r["FILE_NAME"] for r in route_rows if r["STATUS"] == "SUCCESS"]
         if good:
@@ -257,12 +300,10 @@ def run_load(
     # 4. audit last, then cleanup of staging partitions
     TB.append_audit(
         A.audit_event(out, F.col("STATUS"), ts, F.col("MESSAGE"), F.col("ROWS_CSV"), F.col("ROWS_DB"),
-                      seq=_seq(load_ts, 1)),
+                      seq=seq),
         wh.audit,
     )
     drop = MT.cleanup_files(out.select(*FILE, "STATUS").withColumnRenamed("FILE_NAME", "SOURCE_FILE"), options.cleanup)
     if TB.exists(spark, wh.staging):
         TB.drop_staging_files(spark, wh.staging, drop)
-    out = spark.createDataFrame(out.collect(), out.schema)  # detach from the run's files
-    TB.delete_path(spark, scratch)
-    return out
+    return spark.createDataFrame(out.collect(), out.schema)  # detached from the run's files

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdrflow.functions.cleaning import ntz
+from cdrflow.mapping import OCC_MAPPING
 
 # Fixed clock of every time-window query (never the wall clock).
 AS_OF = "2024-01-31 00:00:00"
@@ -23,9 +24,7 @@ TODAY = "2024-01-30"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from cdrflow.session import spread
-
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c) -> Column:
@@ -195,12 +194,7 @@ def staging_mmg(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   13 lone CR inside FLEX_FLD1                  -> passes, CR kept in the value
 #   15 columns in reverse order                  -> passes
 #   17 no KEYWORD, CALL_REFERENCE, RECORD_ID     -> passes, those NULL
-CSV_COLUMNS = [
-    "DATASOURCE", "A_MSISDN", "B_MSISDN", "ORIG_START_TIME", "APN", "CALL_TYPE", "EVENT_TYPE",
-    "CHARGING_ID", "SERVICE_ID", "SUBSCRIBER_TYPE", "ROAMING_TYPE", "PARTNER", "FILTER_CODE",
-    "FLEX_FLD1", "FLEX_FLD2", "FLEX_FLD3", "EVENT_COUNT", "DATA_VOLUME", "EVENT_DURATION",
-    "CHARGE_AMOUNT", "DA_AMOUNT_CALC", "MA_AMNT_CALC", "KEYWORD", "CALL_REFERENCE", "RECORD_ID",
-]
+CSV_COLUMNS = [spec.source for spec in OCC_MAPPING]
 DROPPED_17 = ("KEYWORD", "CALL_REFERENCE", "RECORD_ID")
 
 
@@ -218,11 +212,8 @@ def _quoted(c: Column) -> Column:
     )
 
 
-def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Physical lines (SOURCE_DIR, FILE_NAME, LINE_NO, LINE) of the 20 OCC files,
-    trailing CR/LF removed as the line scanner does."""
-    from cdrflow.functions.csvtext import strip_eol
-
+def _physical_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Physical lines (SOURCE_DIR, FILE_NAME, n, t) of the 20 OCC files, CR and blank lines as they are."""
     raw = cdr_raw(spark, sf_dir).withColumn("FILE_NO", (F.col("SOURCE_LINE") % 20).cast("int"))
     raw = raw.withColumn(
         "FLEX_FLD1",
@@ -251,12 +242,36 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(F.array(F.struct(line_no.alias("n"), line.alias("t"))))
     data = raw.select("SOURCE_DIR", F.col("SOURCE_FILE").alias("FILE_NAME"), F.inline(entries))
 
-    heads = _header_rows(raw)
-    return heads.unionByName(data).select(
+    return _header_rows(raw).unionByName(data)
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered lines (SOURCE_DIR, FILE_NAME, LINE_NO, LINE) as the line scan gives them."""
+    from cdrflow.functions.csvtext import strip_eol
+
+    return _physical_lines(spark, sf_dir).select(
         "SOURCE_DIR", "FILE_NAME", F.col("n").cast("bigint").alias("LINE_NO"), strip_eol(F.col("t")).alias("LINE")
     )
 
 
+def csv_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files as a scan reads them, before any numbering: file, split, row id and raw text.
+
+    Splits of a file hold 97 lines each; row ids grow by one inside a split, from a
+    start that says nothing about its place in the file.
+    """
+    n = F.col("n").cast("bigint")
+    block = F.call_function("div", n - 1, F.lit(97))
+    return _physical_lines(spark, sf_dir).select(
+        "SOURCE_DIR",
+        "FILE_NAME",
+        F.concat(F.lit("file:/landing/"), "FILE_NAME").alias("FILE_PATH"),
+        (block * 4096).alias("BLOCK"),
+        (F.pmod(F.xxhash64("FILE_NAME", block), F.lit(1 << 40)) + n).alias("ROW_ID"),
+        F.col("t").alias("RAW"),
+    )
+
+
 def _header(no: int) -> str:
     cols = file_columns(no)
     if no == 9:

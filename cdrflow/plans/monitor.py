@@ -36,8 +36,7 @@ def _minus(as_of: str, days: int = 0, hours: int = 0) -> str:
 def pct2(num: Column, den: Column) -> Column:
     """round(100 * num / den, 2), half away from zero, exact; NULL when den = 0."""
     n, d = num.cast("bigint"), F.nullif(den.cast("bigint"), F.lit(0))
-    mag = (F.lit(20000) * F.abs(n) + d) / (F.lit(2) * d)
-    cents = F.floor(mag).cast("bigint")
+    cents = F.call_function("div", F.lit(20000) * F.abs(n) + d, F.lit(2) * d)  # whole numbers throughout
     return (F.signum(n) * cents / F.lit(100.0)).cast(T.DoubleType())
 
 

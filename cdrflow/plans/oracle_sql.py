@@ -273,12 +273,7 @@ def with_base(body: str, unit: str = "seconds", source: str = "events") -> str:
 # --------------------------------------------------------------------------
 # Strict-ingest fixture (SQL twin of fixtures.csv_lines) and expected staging
 # --------------------------------------------------------------------------
-CSV_COLUMNS = [
-    "DATASOURCE", "A_MSISDN", "B_MSISDN", "ORIG_START_TIME", "APN", "CALL_TYPE", "EVENT_TYPE",
-    "CHARGING_ID", "SERVICE_ID", "SUBSCRIBER_TYPE", "ROAMING_TYPE", "PARTNER", "FILTER_CODE",
-    "FLEX_FLD1", "FLEX_FLD2", "FLEX_FLD3", "EVENT_COUNT", "DATA_VOLUME", "EVENT_DURATION",
-    "CHARGE_AMOUNT", "DA_AMOUNT_CALC", "MA_AMNT_CALC", "KEYWORD", "CALL_REFERENCE", "RECORD_ID",
-]
+CSV_COLUMNS = [spec.source for spec in OCC_MAPPING]
 DROPPED_17 = ("KEYWORD", "CALL_REFERENCE", "RECORD_ID")
 
 

@@ -12,6 +12,7 @@ from cdrflow.plans import fixtures as FX
 from cdrflow.plans import oracle_sql as O
 from cdrflow.plans.registry import register
 from cdrflow.sources import csv_ingest as CI
+from cdrflow.sources.landing import number_lines
 
 STAGING_COLUMNS = [s.source for s in OCC_MAPPING]
 
@@ -21,8 +22,13 @@ def ingested(spark: SparkSession, sf_dir: str):
     return CI.ingest(lines, STAGING_COLUMNS, FX.ntz(FX.AS_OF), headers=FX.csv_headers(spark, sf_dir))
 
 
-register("csv_lines", "SELECT * FROM (" + O.CSV_LINES + ") WHERE LINE <> ''")(
-    lambda spark, d: FX.csv_lines(spark, d).where(F.col("LINE") != "")
+def numbered(spark: SparkSession, sf_dir: str):
+    """The scan's own numbering over raw lines: (lines, per-file facts, headers)."""
+    return number_lines(FX.csv_raw_lines(spark, sf_dir))
+
+
+register("csv_lines", O.CSV_LINES)(
+    lambda spark, d: numbered(spark, d)[0].select("SOURCE_DIR", "FILE_NAME", "LINE_NO", "LINE")
 )
 
 register(
@@ -30,7 +36,7 @@ register(
     "WITH raw13 AS (" + O.RAW13 + ") SELECT DISTINCT SOURCE_DIR, SOURCE_FILE AS FILE_NAME, "
     "CAST(len(string_split(" + O._HEADER + ", ',')) AS INTEGER) AS N_COLS, " + O._HEADER + " AS HEADER_COLUMNS FROM raw13",
 )(
-    lambda spark, d: ingested(spark, d)[0].select(
+    lambda spark, d: CI.header_info(numbered(spark, d)[2], STAGING_COLUMNS).select(
         "SOURCE_DIR", "FILE_NAME", "N_COLS", F.array_join("HEADER_RAW", ",").alias("HEADER_COLUMNS")
     )
 )
@@ -39,7 +45,11 @@ register(
     "header_sanitize",
     "WITH raw13 AS (" + O.RAW13 + ") SELECT DISTINCT SOURCE_DIR, SOURCE_FILE AS FILE_NAME, "
     + O._HEADER + " AS STORAGE_COLUMNS FROM raw13",
-)(lambda spark, d: ingested(spark, d)[0].select("SOURCE_DIR", "FILE_NAME", F.array_join("HEADER_COLS", ",").alias("STORAGE_COLUMNS")))
+)(
+    lambda spark, d: CI.header_info(numbered(spark, d)[2], None, "permissive").select(
+        "SOURCE_DIR", "FILE_NAME", F.array_join("HEADER_COLS", ",").alias("STORAGE_COLUMNS")
+    )
+)
 
 register(
     "whitelist_check",

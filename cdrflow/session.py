@@ -1,4 +1,4 @@
-"""Session settings the engine relies on, and the shared checkpoint folder.
+"""Session settings the engine relies on.
 
 The mapping compiles to one wide projection in which many output columns
 (and the reject-reason array) derive from the same source columns.  Catalyst's
@@ -9,7 +9,7 @@ off; every filter it needs is written explicitly and still reaches the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 ENGINE_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
@@ -45,56 +45,3 @@ def build_session(
         b = b.config(k, v)
     spark = b.getOrCreate()
     return configure(spark)
-
-
-def spread(df: DataFrame, min_splits: int | None = None) -> DataFrame:
-    """Spread a scan over all cores when it yields fewer splits than cores.
-
-    A single large row group (or a single small file) would otherwise run a
-    CPU-heavy projection in one task.  Wide scans, the normal case on a
-    cluster, are returned unchanged: no extra shuffle, and every filter still
-    reaches the parquet scan.
-
-    For a narrow scan, filters above this point must stay above it, or
-    Catalyst pushes them (with every expression they reference) below the
-    repartition into the single scan task.  One column is therefore passed
-    through a nondeterministic identity (``spark_partition_id() >= 0`` is
-    always true), which stops predicate pushdown at the spread.
-    """
-    from pyspark.sql import functions as F
-
-    try:
-        want = min_splits or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: no RDD view, keep the plan
-        return df
-    if have >= want:
-        return df
-    first = df.columns[0]
-    wide = df.repartition(want)
-    return wide.select(
-        F.when(F.spark_partition_id() >= 0, F.col(first)).alias(first), *[F.col(c) for c in df.columns[1:]]
-    )
-
-
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
-
-    Only when the session names none (tests) is ``fallback`` set as the
-    checkpoint folder.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        d = d or spark.sparkContext.getCheckpointDir()
-    except Exception:  # no SparkContext on the client (Spark Connect)
-        pass
-    if d:
-        return d
-    if fallback:
-        try:
-            spark.sparkContext.setCheckpointDir(fallback)
-        except Exception:
-            pass
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        return fallback
-    return None

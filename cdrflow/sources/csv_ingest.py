@@ -6,8 +6,8 @@ with LINE_NO starting at 1 (the header) and trailing CR/LF already removed;
 driver tables.  Output: per-file header info, per-file outcome (first failing
 check wins) and the all-text staging rows of the files that passed.
 
-Only file-level metadata ever reaches the driver: the widest header and the
-distinct header layouts, used to build one parse plan for every file.
+Only file-level metadata ever reaches the driver: the distinct header layouts
+of the accepted files, used to build one parse plan for every file.
 """
 
 from __future__ import annotations
@@ -24,10 +24,6 @@ from cdrflow.operators.audit import error_message
 
 FILE = ["SOURCE_DIR", "FILE_NAME"]
 
-# Files with at most this many rows in the per-file info table are broadcast
-# to the line scan; above it the join shuffles and AQE splits hot files.
-BROADCAST_FILES_MAX = 200_000
-
 
 @dataclass(frozen=True)
 class CsvDialect:
@@ -69,9 +65,14 @@ def header_info(
     """Per file: raw and sanitized header names, count, whitelist result (lazy)."""
     raw = X.split_fields(F.col("HEADER_LINE"), dialect.delimiter, dialect.quote)
     info = headers.withColumn("HEADER_RAW", raw).withColumn("N_COLS", F.size("HEADER_RAW").cast("int"))
-    info = info.withColumn("HEADER_COLS", X.sanitize_columns(F.col("HEADER_RAW")))
-    checked = F.col("HEADER_RAW") if validate == "raw" else F.col("HEADER_COLS")
-    info = info.withColumn("UNKNOWN_COLUMNS", validate_columns(checked, allowed, mode, mapping_keys))
+    storage = X.sanitize_columns(F.col("HEADER_RAW"))
+    if validate == "raw":  # only headers that pass the whitelist are turned into storage names
+        info = info.withColumn("UNKNOWN_COLUMNS", validate_columns(F.col("HEADER_RAW"), allowed, mode, mapping_keys))
+        rejected = F.size("UNKNOWN_COLUMNS") > 0
+        info = info.withColumn("HEADER_COLS", F.when(rejected, F.array().cast("array<string>")).otherwise(storage))
+    else:
+        info = info.withColumn("HEADER_COLS", storage)
+        info = info.withColumn("UNKNOWN_COLUMNS", validate_columns(F.col("HEADER_COLS"), allowed, mode, mapping_keys))
     bad_store = (
         F.filter("HEADER_COLS", lambda x: ~F.array_contains(F.array(*[F.lit(a) for a in allowed]), x))
         if allowed
@@ -80,16 +81,15 @@ def header_info(
     return info.withColumn("NOT_IN_STAGING", bad_store)
 
 
-def layouts(info: DataFrame) -> tuple[list[list[str]], int, int]:
-    """Distinct sanitized header layouts, widest header, number of files.
+def layouts(info: DataFrame) -> list[list[str]]:
+    """Distinct sanitized header layouts of the accepted files.
 
-    One small aggregate over file metadata: the set of layouts is bounded by
-    the number of distinct headers, not by the data.
+    One small aggregate over file metadata: bounded by the number of distinct
+    accepted headers, not by the data, and not by what rejected files hold.
     """
-    r = info.agg(F.collect_set("HEADER_COLS").alias("L"), F.count(F.lit(1)).alias("N")).first()
-    lays = sorted([list(x) for x in (r["L"] or [])])
-    width = max([len(x) for x in lays] + [1])
-    return lays, width, int(r["N"])
+    accepted = info.where((F.size("UNKNOWN_COLUMNS") == 0) & (F.size("NOT_IN_STAGING") == 0))
+    r = accepted.agg(F.collect_set("HEADER_COLS").alias("L")).first()
+    return sorted([list(x) for x in (r["L"] or [])])
 
 
 def parse_lines(
@@ -103,36 +103,36 @@ def parse_lines(
     Blank lines are skipped (still counted in LINE_NO).  Checks, in order:
     odd number of enclosures, then field count vs the header's.
     """
-    lays, width, n_files = layouts(info)
+    lays = layouts(info)
     key = F.concat_ws("\u0001", F.col("HEADER_COLS"))
+    accepted = (F.size("UNKNOWN_COLUMNS") == 0) & (F.size("NOT_IN_STAGING") == 0)
     layout_idx = F.lit(None).cast("int")
     for i, names in enumerate(lays):
-        layout_idx = F.when(key == F.lit("\u0001".join(names)), F.lit(i)).otherwise(layout_idx)
+        layout_idx = F.when(accepted & (key == F.lit("\u0001".join(names))), F.lit(i)).otherwise(layout_idx)
     small = info.select(*FILE, "N_COLS", layout_idx.alias("LAYOUT"))
-    if n_files <= BROADCAST_FILES_MAX:
-        small = F.broadcast(small)
     data = lines.where((F.col("LINE_NO") > 1) & (F.col("LINE") != "")).join(small, FILE, "inner")
 
-    got = X.field_count(F.col("LINE"), dialect.delimiter, dialect.quote)
-    odd = X.odd_quotes(F.col("LINE"), dialect.quote)
-    err = (
-        F.when(odd, F.format_string("Broken line (unbalanced quotes) at data line %d", F.col("LINE_NO")))
+    # values and count come from one split of the line, done once; lines of
+    # rejected files are only counted
+    fields = F.when(F.col("LAYOUT").isNotNull(), X.split_fields(F.col("LINE"), dialect.delimiter, dialect.quote))
+    parsed = data.select(
+        *FILE, "LINE_NO", "N_COLS", "LAYOUT", X.odd_quotes(F.col("LINE"), dialect.quote).alias("_ODD"), fields.alias("_F")
+    )
+    got = F.size("_F")
+    err = F.when(
+        F.col("LAYOUT").isNotNull(),
+        F.when(F.col("_ODD"), F.format_string("Broken line (unbalanced quotes) at data line %d", F.col("LINE_NO")))
         .when(got != F.col("N_COLS"),
               F.format_string("Wrong column count at data line %d got=%d expected=%d",
-                              F.col("LINE_NO"), got, F.col("N_COLS")))
-    )
-    # parse once into a struct column; the staging columns read its fields in
-    # the next projection (the parser is never repeated per column)
-    parsed = data.select(
-        *FILE, "LINE_NO", "LAYOUT", err.alias("LINE_ERROR"),
-        X.parse_fields(F.col("LINE"), width, dialect.delimiter, dialect.quote).alias("_F"),
+                              F.col("LINE_NO"), got, F.col("N_COLS"))),
     )
+    parsed = parsed.withColumn("LINE_ERROR", err)
     values = []
     for col in staging_columns:
         e = F.lit(None).cast(T.StringType())
         for i, names in enumerate(lays):
             if col in names:
-                e = F.when(F.col("LAYOUT") == i, F.col("_F").getField(f"_c{names.index(col)}")).otherwise(e)
+                e = F.when(F.col("LAYOUT") == i, F.get("_F", F.lit(names.index(col)))).otherwise(e)
         values.append(F.nullif(e, F.lit("")).alias(col))
     return parsed.select(*FILE, "LINE_NO", "LINE_ERROR", *values)
 
@@ -174,32 +174,6 @@ def file_routing(info: DataFrame, parsed: DataFrame, listing: DataFrame | None =
     )
 
 
-def with_technical(df: DataFrame, load_ts: Column, source_dir: str | Column | None = None,
-                   source_file: Column | None = None) -> DataFrame:
-    """Add SOURCE_FILE, SOURCE_DIR and LOAD_TS (one value per load) to rows.
-
-    ``source_file`` defaults to the file name of the scanned file
-    (``_metadata.file_name``), ``source_dir`` to an existing column.
-    """
-    sf = source_file if source_file is not None else F.col("_metadata.file_name")
-    sd = F.lit(source_dir) if isinstance(source_dir, str) else (source_dir if source_dir is not None else F.col("SOURCE_DIR"))
-    return df.withColumns({
-        "SOURCE_FILE": sf.cast(T.StringType()),
-        "SOURCE_DIR": sd.cast(T.StringType()),
-        "LOAD_TS": load_ts.cast(T.TimestampNTZType()),
-    })
-
-
-def to_staging(frames: list[DataFrame], columns: list[str]) -> DataFrame:
-    """Merge frames with different layouts into one staging layout: columns a
-    frame lacks are NULL, columns outside ``columns`` are dropped."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    have = set(out.columns)
-    return out.select(*[F.col(c) if c in have else F.lit(None).cast(T.StringType()).alias(c) for c in columns])
-
-
 def staging_rows(parsed: DataFrame, routing: DataFrame, staging_columns: list[str],
                  load_ts: Column) -> DataFrame:
     """All-text staging rows of the files that passed, with technical columns."""

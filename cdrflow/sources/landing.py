@@ -3,12 +3,14 @@
 ``list_landing`` lists files without reading their bytes (only path, length
 and modification time are selected from the binary-file source).
 
-``scan_lines`` reads files as text split on LF only, and numbers every
-physical line of every file exactly, without a window over the whole file:
+``scan_lines`` reads the text once, split on LF only, and writes the raw lines
+with their file, split and row id to the run's folder.  Everything else comes
+from that written table, so split offsets and lines can't disagree, whatever
+the number of cores or splits at either time:
 
 * rows of one file split are contiguous within a task, and
   ``monotonically_increasing_id`` grows by one per row inside a task, so
-  ``id - min(id of the split) `` is the line's offset inside its split;
+  ``id - min(id of the split)`` is the line's offset inside its split;
 * one small aggregate per split (count, min id, first line) plus a running
   sum over the splits of each file gives every split's starting line.
 
@@ -18,17 +20,16 @@ to split offsets has no hot key even when one file holds a third of the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cdrflow.functions.csvtext import strip_eol
 
 CSV_GLOB = "*.[cC][sS][vV]"
-
-# Split tables up to this many rows (~25 MB; ~25 TB of text at 128 MB splits)
-# are broadcast to the line scan.  Above, the join shuffles on (file, split):
-# every split holds a bounded number of rows, so no key is hot.
-BROADCAST_SPLITS_MAX = 200_000
+RAW_SCHEMA = "SOURCE_DIR string, FILE_NAME string, FILE_PATH string, BLOCK bigint, ROW_ID bigint, RAW string"
 
 
 def list_landing(spark: SparkSession, feeds: dict[str, str], glob: str = CSV_GLOB) -> DataFrame:
@@ -56,93 +57,119 @@ def list_landing(spark: SparkSession, feeds: dict[str, str], glob: str = CSV_GLO
     return out
 
 
-def _raw_lines(spark: SparkSession, paths: list[str], line_sep: str) -> DataFrame:
-    return spark.read.option("lineSep", line_sep).text(paths).select(
-        F.col("_metadata.file_path").alias("FILE_PATH"),
-        F.col("_metadata.file_size").alias("SCANNED_SIZE"),
+def plain_path(path) -> Column:
+    """A path as the file listing writes it, from the URL-encoded ``_metadata.file_path``."""
+    c = F.col(path) if isinstance(path, str) else path
+    plain = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
+
+
+def _literal_path(path: str) -> str:
+    """A path in which no character is read as a wildcard."""
+    return "".join(f"\\{ch}" if ch in "\\*?[]{}" else ch for ch in path)
+
+
+def _readable(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that are there: one check for all, each alone only if that fails."""
+
+    def there(some: list[str]) -> bool:
+        try:
+            spark.read.text(some)
+            return True
+        except AnalysisException:
+            return False
+
+    return paths if there(paths) else [p for p in paths if there([p])]
+
+
+def read_raw(spark: SparkSession, listing: DataFrame, line_sep: str = "\n") -> DataFrame:
+    """Raw lines of the listed files, with file, split and row id.
+
+    A file that is gone or can't be read gives no lines, or fewer than it has;
+    ``size_check`` finds it by its bytes, and no other file is affected.
+    """
+    paths = _readable(spark, [_literal_path(r[0]) for r in listing.select("FILE_PATH").distinct().collect()])
+    if not paths:
+        return spark.createDataFrame([], RAW_SCHEMA)
+    reader = spark.read.option("lineSep", line_sep).option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
+    raw = reader.text(paths).select(
+        plain_path("_metadata.file_path").alias("_PATH"),
         F.col("_metadata.file_block_start").alias("BLOCK"),
         F.monotonically_increasing_id().alias("ROW_ID"),
         F.col("value").alias("RAW"),
     )
+    names = listing.select("SOURCE_DIR", "FILE_NAME", "FILE_PATH", F.regexp_replace("FILE_PATH", "^file:/+", "file:/").alias("_PATH"))
+    return raw.join(names, "_PATH").select("SOURCE_DIR", "FILE_NAME", "FILE_PATH", "BLOCK", "ROW_ID", "RAW")
 
 
-def scan_lines(
-    spark: SparkSession, listing: DataFrame, line_sep: str = "\n", scratch: str | None = None
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Numbered physical lines of the listed files, per-file scan facts, and
-    the header line of every file.
-
-    Returns ``lines`` (SOURCE_DIR, FILE_NAME, FILE_PATH, LINE_NO, LINE) with
-    trailing CR/LF removed, ``scanned`` (FILE_PATH, SCANNED_SIZE, LINES) and
-    ``headers`` (SOURCE_DIR, FILE_NAME, HEADER_LINE).  The text is read once
-    for the per-split aggregate (which also yields each file's first line);
-    with ``scratch`` that small table is written there, so later steps never
-    re-read the text for it.  The list of paths is file metadata.
-    """
-    files = listing.select("SOURCE_DIR", "FILE_NAME", "FILE_PATH").collect()
-    if not files:
-        empty = spark.createDataFrame([], "SOURCE_DIR string, FILE_NAME string, FILE_PATH string, LINE_NO bigint, LINE string")
-        return (
-            empty,
-            spark.createDataFrame([], "FILE_PATH string, SCANNED_SIZE bigint, LINES bigint"),
-            spark.createDataFrame([], "SOURCE_DIR string, FILE_NAME string, HEADER_LINE string"),
-        )
-    raw = _raw_lines(spark, [r["FILE_PATH"] for r in files], line_sep)
+def number_lines(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lines, per-file facts and headers of raw lines (a written table of ``RAW_SCHEMA``).
 
-    splits = raw.groupBy("FILE_PATH", "BLOCK").agg(
+    ``lines`` (SOURCE_DIR, FILE_NAME, FILE_PATH, LINE_NO, LINE) have trailing
+    CR / LF removed; ``scanned`` is (FILE_PATH, READ_BYTES, LINES), with an LF
+    counted for every line; ``headers`` is (SOURCE_DIR, FILE_NAME, HEADER_LINE).
+    """
+    file = ["SOURCE_DIR", "FILE_NAME", "FILE_PATH"]
+    splits = raw.groupBy(*file, "BLOCK").agg(
         F.count(F.lit(1)).alias("N"),
         F.min("ROW_ID").alias("MIN_ID"),
-        F.max("SCANNED_SIZE").alias("SCANNED_SIZE"),
+        F.sum(F.octet_length("RAW") + 1).alias("BYTES"),
         F.min_by("RAW", "ROW_ID").alias("FIRST_RAW"),
     )
-    w = Window.partitionBy("FILE_PATH").orderBy("BLOCK").rowsBetween(Window.unboundedPreceding, -1)
-    names = spark.createDataFrame(
-        [(r["SOURCE_DIR"], r["FILE_NAME"], r["FILE_PATH"]) for r in files],
-        "SOURCE_DIR string, FILE_NAME string, FILE_PATH string",
-    )
-    split_info = splits.select(
-        "FILE_PATH", "BLOCK", "MIN_ID", "SCANNED_SIZE", "N", "FIRST_RAW",
-        F.coalesce(F.sum("N").over(w), F.lit(0)).alias("OFFSET"),
-    ).join(names, "FILE_PATH")
-    if scratch is not None:
-        split_info.write.mode("overwrite").parquet(f"{scratch}/splits")
-        split_info = spark.read.parquet(f"{scratch}/splits")
-    headers = split_info.where(F.col("OFFSET") == 0).select(
+    w = Window.partitionBy(*file).orderBy("BLOCK").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("OFFSET", F.coalesce(F.sum("N").over(w), F.lit(0)))
+    headers = splits.where(F.col("OFFSET") == 0).select(
         "SOURCE_DIR", "FILE_NAME", strip_eol(F.col("FIRST_RAW")).alias("HEADER_LINE")
     )
-    scanned = split_info.groupBy("FILE_PATH").agg(
-        F.max("SCANNED_SIZE").cast("bigint").alias("SCANNED_SIZE"), F.sum("N").cast("bigint").alias("LINES")
+    scanned = splits.groupBy("FILE_PATH").agg(
+        F.sum("BYTES").cast("bigint").alias("READ_BYTES"), F.sum("N").cast("bigint").alias("LINES")
     )
-    join_side = split_info.select("FILE_PATH", "BLOCK", "MIN_ID", "OFFSET", "SOURCE_DIR", "FILE_NAME")
-    if split_info.count() <= BROADCAST_SPLITS_MAX:
-        join_side = F.broadcast(join_side)
-    lines = raw.join(join_side, ["FILE_PATH", "BLOCK"]).select(
-        "SOURCE_DIR",
-        "FILE_NAME",
-        "FILE_PATH",
+    lines = raw.join(splits.select("FILE_PATH", "BLOCK", "MIN_ID", "OFFSET"), ["FILE_PATH", "BLOCK"]).select(
+        *file,
         (F.col("OFFSET") + F.col("ROW_ID") - F.col("MIN_ID") + 1).alias("LINE_NO"),
         strip_eol(F.col("RAW")).alias("LINE"),
     )
     return lines, scanned, headers
 
 
+def scan_lines(
+    spark: SparkSession, listing: DataFrame, line_sep: str = "\n", scratch: str | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``number_lines`` of the listed files: the text is read once and written to ``scratch``.
+
+    Without ``scratch`` a folder of its own is made in the warehouse.
+    """
+    where = scratch or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scan-{uuid.uuid4().hex}"
+    raw = read_raw(spark, listing, line_sep)
+    raw.write.mode("overwrite").parquet(f"{where}/raw")
+    return number_lines(spark.read.schema(RAW_SCHEMA).parquet(f"{where}/raw"))
+
+
+def line_count_errors(lines: DataFrame, scanned: DataFrame) -> DataFrame:
+    """(SOURCE_DIR, FILE_NAME, DETAIL) of files whose numbered lines are not 1..LINES (LOAD_ERROR)."""
+    counted = lines.groupBy("SOURCE_DIR", "FILE_NAME", "FILE_PATH").agg(
+        F.count(F.lit(1)).alias("N"), F.min("LINE_NO").alias("FIRST"), F.max("LINE_NO").alias("LAST")
+    )
+    wrong = (F.col("N") != F.col("LINES")) | (F.col("FIRST") != 1) | (F.col("LAST") != F.col("LINES"))
+    return (
+        counted.join(scanned, "FILE_PATH")
+        .where(wrong)
+        .select("SOURCE_DIR", "FILE_NAME", F.format_string("Line count mismatch: numbered=%d read=%d", F.col("N"), F.col("LINES")).alias("DETAIL"))
+    )
+
+
 def size_check(listing: DataFrame, scanned: DataFrame) -> DataFrame:
-    """Files whose scanned size differs from the listed size (DOWNLOAD_ERROR)."""
+    """Files of which not all listed bytes were read (DOWNLOAD_ERROR).
+
+    The last line may lack its LF, and the reader drops a byte order mark.
+    """
+    read = F.coalesce(F.col("READ_BYTES"), F.lit(0))
+    lost = F.col("FILE_SIZE") - read
     return (
         listing.join(scanned, "FILE_PATH", "left")
-        .where(F.coalesce(F.col("SCANNED_SIZE"), F.lit(0)) != F.col("FILE_SIZE"))
+        .where(~lost.isin(0, -1, 2, 3))
         .select(
             "SOURCE_DIR", "FILE_NAME", "FILE_PATH", "FILE_SIZE",
-            F.format_string("Size mismatch: local=%d expected=%d",
-                            F.coalesce(F.col("SCANNED_SIZE"), F.lit(0)), F.col("FILE_SIZE")).alias("DETAIL"),
+            F.format_string("Size mismatch: local=%d expected=%d", read, F.col("FILE_SIZE")).alias("DETAIL"),
         )
     )
-
-
-def table_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files and bytes of a file-based table (for the volume report)."""
-    return (
-        spark.read.parquet(path)
-        .select(F.col("_metadata.file_path").alias("FILE_PATH"), F.col("_metadata.file_size").alias("FILE_SIZE"))
-        .distinct()
-    )

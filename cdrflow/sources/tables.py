@@ -79,29 +79,33 @@ def drop_staging_files(spark: SparkSession, path: str, files: DataFrame) -> int:
 
 
 def append_detail(df: DataFrame, path: str) -> None:
+    """Append, one day after the other: few files a day, and a large day in several of bounded size."""
     (
         df.withColumn("START_DAY", F.col("START_DATE").cast(T.DateType()))
+        .hint("rebalance", "START_DAY")
         .write.mode("append")
         .partitionBy("START_DAY")
         .parquet(path)
     )
 
 
-def append_keys(keys: DataFrame, path: str | None = None, table: str | None = None, buckets: int = 64) -> None:
-    """Append new keys to the narrow key table (path or bucketed catalog table)."""
+def append_keys(keys: DataFrame, table: str, buckets: int = 64) -> None:
+    """Append new keys to the bucketed key table; ``buckets`` is that of a table not yet there."""
     k = keys.select(F.col("DEDUP_KEY").cast(T.StringType()))
-    if table is not None:
-        k.write.mode("append").bucketBy(buckets, "DEDUP_KEY").sortBy("DEDUP_KEY").saveAsTable(table)
-    else:
-        k.write.mode("append").parquet(path)
+    k.write.mode("append").bucketBy(_buckets(keys.sparkSession, table, buckets), "DEDUP_KEY").sortBy("DEDUP_KEY").saveAsTable(table)
 
 
-def read_keys(spark: SparkSession, path: str | None = None, table: str | None = None) -> DataFrame:
-    if table is not None:
-        if spark.catalog.tableExists(table):
-            return spark.table(table)
-    elif path is not None and exists(spark, path):
-        return spark.read.parquet(path)
+def _buckets(spark: SparkSession, table: str, default: int) -> int:
+    """An existing table keeps its bucket count."""
+    if not spark.catalog.tableExists(table):
+        return default
+    found = [r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r[0] == "Num Buckets"]
+    return int(found[0]) if found else default
+
+
+def read_keys(spark: SparkSession, table: str) -> DataFrame:
+    if spark.catalog.tableExists(table):
+        return spark.table(table)
     return spark.createDataFrame([], "DEDUP_KEY string")
 
 

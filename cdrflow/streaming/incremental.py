@@ -17,6 +17,8 @@ through ``foreachBatch``:
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -85,4 +87,4 @@ def start_incremental(
         w = w.trigger(availableNow=True)
     else:
         w = w.trigger(processingTime=trigger)
-    return w.queryName(f"cdr_incremental_{abs(hash(checkpoint)) % 10_000}").start()
+    return w.queryName(f"cdr_incremental_{hashlib.sha256(checkpoint.encode()).hexdigest()[:8]}").start()

@@ -13,7 +13,7 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from cdrflow.session import build_session, checkpoint_dir
+    from cdrflow.session import build_session
 
     s = build_session(
         app="cdrflow-tests",
@@ -22,10 +22,10 @@ def spark(tmp_path_factory):
         extra={
             "spark.driver.memory": "6g",
             "spark.sql.session.timeZone": "America/New_York",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
     s.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(s, str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()

@@ -241,3 +241,131 @@ def test_validate_sanitized_names_and_overflow_policy(spark, tmp_path):
     assert ok.STATUS == "SUCCESS"
     d = spark.read.parquet(str(tmp_path / "w3" / "detail")).first()
     assert d.CHARGING_ID == "CHZ1" and d.CHARGE_AMOUNT is None
+
+
+HEADER = ["DATASOURCE", "A_MSISDN", "ORIG_START_TIME", "APN", "CALL_TYPE", "EVENT_TYPE", "CHARGING_ID", "SERVICE_ID",
+          "SUBSCRIBER_TYPE", "ROAMING_TYPE", "PARTNER", "FILTER_CODE", "FLEX_FLD1", "FLEX_FLD2", "FLEX_FLD3"]
+
+
+def _row(key: str) -> str:
+    return f"OCC,21600000001,1704067200,internet,data,click,{key},S,PRE,HOME,P1,F1,x,y,z"
+
+
+def _file(folder, name: str, keys) -> None:
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join([",".join(HEADER), *map(_row, keys)]) + "\n")
+
+
+def test_lines_do_not_depend_on_the_parallelism(spark, tmp_path):
+    """The number of splits when the lines are read may differ from that when they were scanned."""
+    folder = tmp_path / "OCC"
+    _file(folder, "a.csv", [f"A{i}" for i in range(3000)])
+    _file(folder, "b.csv", [f"B{i}" for i in range(50)])
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+        lines, scanned, _ = L.scan_lines(spark, L.list_landing(spark, {"OCC": str(folder)}), scratch=str(tmp_path / "s"))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "16")
+        got = {}
+        for r in lines.collect():
+            got.setdefault(r.FILE_NAME, []).append((r.LINE_NO, r.LINE))
+        assert [n for n, _ in sorted(got["a.csv"])] == list(range(1, 3002))
+        assert sorted(got["a.csv"])[3000][1] == _row("A2999") and len(got["b.csv"]) == 51
+        assert L.line_count_errors(lines, scanned).count() == 0
+        lost = lines.where("LINE_NO <> 17")
+        assert [r.DETAIL for r in L.line_count_errors(lost, scanned).orderBy("FILE_NAME").collect()] == [
+            "Line count mismatch: numbered=3000 read=3001", "Line count mismatch: numbered=50 read=51"]
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_any_file_name_and_a_missing_file(spark, tmp_path):
+    folder = tmp_path / "OCC"
+    names = ["a b.csv", "a%20b.csv", "x[1].csv", "y{1,2}.csv", "p+q.csv", "é*?.csv", "h#1.csv"]
+    for i, name in enumerate(names):
+        _file(folder, name, [f"K{i}_{j}" for j in range(3)])
+    _file(folder, "gone.csv", ["G1"])
+    listing = spark.createDataFrame(L.list_landing(spark, {"OCC": str(folder)}).collect())
+    (folder / "gone.csv").unlink()
+    (folder / ".gone.csv.crc").unlink(missing_ok=True)
+    out = {r.FILE_NAME: r for r in run_load(spark, {"OCC": str(folder)}, str(tmp_path / "wh"), "2024-01-31 00:00:00",
+                                            LoadOptions(cleanup="never"), listing=listing).collect()}
+    assert out.pop("gone.csv").MESSAGE.startswith("DOWNLOAD_ERROR: Size mismatch: local=0")
+    assert {f: r.MESSAGE for f, r in out.items()} == {n: "TMP:3 DETAIL:3 REJECTED:0" for n in names}
+    again = run_load(spark, {"OCC": str(folder)}, str(tmp_path / "wh"), "2024-01-31 01:00:00")
+    assert again.count() == 0
+
+
+def test_values_do_not_shift(spark, tmp_path):
+    folder = tmp_path / "OCC"
+    folder.mkdir()
+    (folder / "q.csv").write_text('DATASOURCE,APN,PARTNER\nOCC, "x,y",P1\n"O"CC,"a""b",P2\n')
+    run_load(spark, {"OCC": str(folder)}, str(tmp_path / "wh"), "2024-01-31 00:00:00", LoadOptions(cleanup="never"))
+    rows = TB.read_staging(spark, str(tmp_path / "wh" / "staging")).orderBy("SOURCE_LINE").collect()
+    assert [(r.DATASOURCE, r.APN, r.PARTNER) for r in rows] == [("OCC", "x,y", "P1"), ("OCC", 'a"b', "P2")]
+
+
+def test_a_rejected_wide_file_changes_nothing_for_others(spark, tmp_path):
+    from cdrflow.sources import csv_ingest as CI
+
+    heads = spark.createDataFrame([("OCC", "ok.csv", "DATASOURCE,APN"), ("OCC", "wide.csv", ",".join(f"c{i}" for i in range(3000)))],
+                                  "SOURCE_DIR string, FILE_NAME string, HEADER_LINE string")
+    info = CI.header_info(heads, ["DATASOURCE", "APN"])
+    assert CI.layouts(info) == [["DATASOURCE", "APN"]]
+    assert [r[0] for r in info.where("FILE_NAME = 'wide.csv'").selectExpr("size(HEADER_COLS)").collect()] == [0]
+
+
+def test_key_table_gives_the_outcomes_of_path_mode(spark, tmp_path):
+    """With a key table that already has other keys: a file with a repeated key fails as a whole."""
+    feeds = write_landing(spark, SF001, str(tmp_path / "landing"))
+    _file(tmp_path / "before" / "OCC", "first.csv", ["ZZ1", "ZZ2"])
+    out, rows = [], []
+    for n, table in enumerate((None, "cdr_keys_outcomes")):
+        wh, opts = str(tmp_path / f"wh{n}"), LoadOptions(cleanup="never", key_table=table, key_buckets=4)
+        run_load(spark, {"OCC": str(tmp_path / "before" / "OCC")}, wh, "2024-01-30 00:00:00", opts)
+        out.append(sorted((r.FILE_NAME, r.STATUS, r.MESSAGE, r.DUPLICATES) for r in run_load(spark, feeds, wh, "2024-01-31 00:00:00", opts).collect()))
+        rows.append(sorted(r[0] for r in spark.read.parquet(f"{wh}/detail").select("CHARGING_ID").collect()))
+    assert out[0] == out[1] and rows[0] == rows[1]
+    assert [x[2] for x in out[1] if x[0] == "CDR_OCC_11.csv"][0].startswith("TRANSFORM_ERROR")
+
+
+def test_a_run_lost_between_detail_and_keys(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from cdrflow.plans import batch_load as BL
+
+    folder, wh = tmp_path / "OCC", str(tmp_path / "wh")
+    opts = LoadOptions(cleanup="never", key_table="cdr_keys_crash", key_buckets=4)
+    _file(folder, "a.csv", ["C1", "C2"])
+    real = BL.TB.append_keys
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(BL.TB, "append_keys", lost)
+    with pytest.raises(RuntimeError):
+        run_load(spark, {"OCC": str(folder)}, wh, "2024-01-31 00:00:00", opts)
+    monkeypatch.setattr(BL.TB, "append_keys", real)
+    assert not list((tmp_path / "wh" / "_runs").glob("*"))  # a failed run leaves no scratch
+    row = run_load(spark, {"OCC": str(folder)}, wh, "2024-01-31 01:00:00", opts).first()
+    assert row.MESSAGE == "TMP:2 DETAIL:0 REJECTED:0" and row.DUPLICATES == 2
+    assert sorted(r[0] for r in spark.read.parquet(f"{wh}/detail").select("CHARGING_ID").collect()) == ["C1", "C2"]
+    assert sorted(r[0] for r in spark.table("cdr_keys_crash").collect()) == ["C1", "C2"]
+
+
+def test_audit_order_does_not_follow_the_clock(spark, tmp_path):
+    folder, wh = tmp_path / "OCC", str(tmp_path / "wh")
+    folder.mkdir()
+    good = ",".join(HEADER) + "\n" + _row("T1") + "\n"
+    (folder / "t.csv").write_text(good.replace("z\n", "\"\n"))  # same size, broken
+    first = run_load(spark, {"OCC": str(folder)}, wh, "2024-01-31 00:00:10").first()
+    assert first.STATUS == "ERROR"
+    (folder / "t.csv").write_text(good)
+    assert run_load(spark, {"OCC": str(folder)}, wh, "2024-01-31 00:00:00").first().STATUS == "SUCCESS"
+    cur = audit_latest(TB.read_audit_events(spark, f"{wh}/audit")).collect()
+    assert [(r.FILE_NAME, r.STATUS) for r in cur] == [("t.csv", "SUCCESS")]
+    assert run_load(spark, {"OCC": str(folder)}, wh, "2024-01-31 00:00:05").count() == 0

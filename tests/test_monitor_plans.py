@@ -111,16 +111,6 @@ def test_flag_filters_read_the_computed_column(spark):
     assert not any("REQUIRED_BLANK" in l for l in filters)
 
 
-def test_spread_only_narrow_scans(spark):
-    from cdrflow.session import spread
-
-    wide = spark.range(0, 1000, 1, numPartitions=spark.sparkContext.defaultParallelism)
-    assert spread(wide) is wide
-    narrow = spark.range(0, 1000, 1, numPartitions=1)
-    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(r[0] for r in spread(narrow).collect()) == list(range(1000))
-
-
 def test_staging_counts_empty_feed_and_retention(spark):
     occ = FX.cdr_raw(spark, SF001)
     empty = spark.createDataFrame([], "SOURCE_FILE string, SOURCE_DIR string, LOAD_TS timestamp_ntz")
