@@ -27,8 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="cdrflow-shared-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cdrflow-shared-"))
+        d = spark.sparkContext.getCheckpointDir()
     return d.rstrip("/")
 
 
