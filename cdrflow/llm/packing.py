@@ -214,3 +214,10 @@ def pack_documents(
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+
+
+def with_checksums(pieces: DataFrame) -> DataFrame:
+    """Pieces with the CRC-32 of their packed ids in place of the ids."""
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "whole"
+    )

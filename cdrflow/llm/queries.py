@@ -83,7 +83,10 @@ _SYMBOL = "[#*$%&|<>]"
 
 def _fence_sql() -> tuple[str, str]:
     """The rates of a document, and the conditions that break a fence."""
-    rates = ", ".join(f"('{m}', 1000 * {f.count} // n_words)" for m, f in quality.FENCES.items())
+    rates = ", ".join(
+        f"{{'m': '{m}', 'v': CASE WHEN n_words >= {f.min_words} THEN 1000 * {f.count} // n_words END}}"
+        for m, f in quality.FENCES.items()
+    )
     limits = []
     for m, f in quality.FENCES.items():
         spread = f"{f.reach} * greatest(q75 - q25, {f.floor})"
@@ -120,9 +123,9 @@ f AS (SELECT r, doc_id, lang, source, len(ws)::BIGINT AS n_words,
              coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
       FROM w LEFT JOIN covered USING (r)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f),
-rates AS (SELECT r, lang, source, unnest([{rates.replace("('", "{'m': '").replace("', 1000", "', 'v': 1000").replace("n_words)", "n_words}")}], recursive := true)
+rates AS (SELECT r, lang, source, unnest([{rates}], recursive := true)
           FROM b WHERE NOT base_failed),
-v AS (SELECT r, lang, source, m AS metric, v FROM rates),
+v AS (SELECT r, lang, source, m AS metric, v FROM rates WHERE v IS NOT NULL),
 sketch AS (SELECT lang, source, metric, (v >> s) << s AS bin, count(*) AS n
            FROM (SELECT *, greatest(length(bin(v)) - 7, 0)::BIGINT AS s FROM v) GROUP BY ALL),
 {quartiles("own", "lang, source")}, {quartiles("by_lang", "lang")}, {quartiles("of_all", "")},
@@ -185,14 +188,7 @@ def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096
     )
-    return packed_columns(pieces)
-
-
-def packed_columns(pieces: DataFrame) -> DataFrame:
-    """Pieces with the CRC-32 of their ids in place of the ids."""
-    return pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "whole"
-    )
+    return packing.with_checksums(pieces)
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
