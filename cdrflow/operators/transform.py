@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdrflow.functions import cleaning as C
-from cdrflow.mapping import OCC_DEDUP_KEYS, OCC_MAPPING, TECHNICAL_COLUMNS, ColumnSpec
+from cdrflow.mapping import OCC_DEDUP_KEYS, OCC_MAPPING, TECHNICAL_COLUMNS, ColumnSpec, detail_schema
 
 FILE_KEYS = ["SOURCE_DIR", "SOURCE_FILE"]
 
@@ -32,13 +32,19 @@ def _key_max_length(mapping, keys) -> int | None:
     return first.max_length if first is not None else None
 
 
+def source_text(spec: ColumnSpec) -> Column:
+    """The source text that a number or timestamp entry converts, after the user's ``extra`` function."""
+    src = F.col(spec.source)
+    return spec.extra(src) if spec.extra is not None else src
+
+
 def column_expr(spec: ColumnSpec, unit: str = "seconds") -> Column:
     """Typed detail value of one mapping entry."""
     src = F.col(spec.source)
     if spec.kind == "number":
-        return C.safe_number(src, spec.precision or 38, spec.scale or 0)
+        return C.safe_number(source_text(spec), spec.precision or 38, spec.scale or 0)
     if spec.kind == "timestamp":
-        return C.epoch_to_ntz(C.apply_transform(src, spec.transform), unit)
+        return C.epoch_to_ntz(C.apply_transform(source_text(spec), spec.transform), unit)
     if spec.kind == "string":
         return C.clean_string(src, spec)
     raise ValueError(f"unknown column type {spec.kind!r}")
@@ -90,7 +96,7 @@ def reject_reasons(mapping=OCC_MAPPING, dedup_keys=OCC_DEDUP_KEYS, unit: str = "
                     )
                 )
         if spec.kind == "timestamp":
-            checks.append(F.when(~C.valid_epoch(src, unit), F.lit(f"{BAD_TIMESTAMP}:{spec.source}")))
+            checks.append(F.when(~C.valid_epoch(source_text(spec), unit), F.lit(f"{BAD_TIMESTAMP}:{spec.source}")))
     if dedup_keys:
         checks.append(F.when(C.dedup_key(dedup_keys).isNull(), F.lit(NO_DEDUP_KEY)))
     return _non_null_array(checks)
@@ -110,7 +116,7 @@ def _non_null_array(items: list[Column]) -> Column:
 def constraint_violations(mapping=OCC_MAPPING) -> Column:
     """Number columns whose value overflows the detail DECIMAL(p, s)."""
     checks = [
-        F.when(C.overflows(F.col(s.source), s.precision or 38, s.scale or 0), F.lit(s.target))
+        F.when(C.overflows(source_text(s), s.precision or 38, s.scale or 0), F.lit(s.target))
         for s in mapping
         if s.kind == "number" and s.target is not None
     ]
@@ -136,6 +142,7 @@ def flag(
     # (that evaluates each check twice per row).  A nondeterministic identity
     # on the reasons (spark_partition_id() >= 0 is always true) keeps them
     # above; it sits on the column those filters read, so pruning keeps it.
+    # Filters on files belong before this step, where they prune partitions.
     reasons = F.when(F.spark_partition_id() >= 0, reject_reasons(mapping, dedup_keys, unit))
     return staging.select(
         *passthrough,
@@ -150,6 +157,10 @@ def is_valid() -> Column:
     return F.size("REJECT_REASONS") == 0
 
 
+def valid_rows(flagged: DataFrame) -> DataFrame:
+    return flagged.where(is_valid())
+
+
 def detail_projection(mapping=OCC_MAPPING, dedup_keys=OCC_DEDUP_KEYS) -> list[Column]:
     """Detail column list; the key column receives DEDUP_KEY."""
     from cdrflow.mapping import detail_columns
@@ -166,24 +177,41 @@ def transform(
 ) -> DataFrame:
     """Valid rows only, as detail columns (no de-duplication)."""
     flagged = flag(staging, mapping, dedup_keys, unit)
-    return flagged.where(is_valid()).select(*detail_projection(mapping, dedup_keys))
+    return valid_rows(flagged).select(*detail_projection(mapping, dedup_keys))
 
 
 def rejects(flagged: DataFrame) -> DataFrame:
+    """One row per rejected staging row, with all its reasons."""
     return flagged.where(~is_valid())
 
 
+def reject_rows(flagged: DataFrame) -> DataFrame:
+    """Rejected rows as a table to read: file, line and the reasons, ``; `` between them."""
+    return rejects(flagged).select(*FILE_KEYS, "SOURCE_LINE", F.array_join("REJECT_REASONS", "; ").alias("REASONS"))
+
+
 def reject_report(flagged: DataFrame) -> DataFrame:
     """Counts of rejected rows per file and reason (a row may count under
     several reasons)."""
     return (
-        flagged.where(~is_valid())
+        rejects(flagged)
         .select(*FILE_KEYS, F.explode_outer("REJECT_REASONS").alias("REASON"))
         .groupBy(*FILE_KEYS, "REASON")
         .agg(F.count(F.lit(1)).alias("REJECTED_ROWS"))
     )
 
 
+def null_violations(typed: DataFrame, mapping=OCC_MAPPING) -> DataFrame:
+    """Per file and NOT NULL detail column: rows whose typed value is NULL.
+
+    ``typed`` has the detail columns and the file keys.  For valid rows of a
+    plain mapping there are none; an ``extra`` function may empty a value.
+    """
+    needed = [f.name for f in detail_schema(mapping).fields if not f.nullable and f.name in typed.columns]
+    counts = typed.groupBy(*FILE_KEYS).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in needed])
+    return counts.unpivot(FILE_KEYS, needed, "COLUMN_NAME", "NULLS").where("NULLS > 0")
+
+
 def check_constraints(flagged: DataFrame) -> DataFrame:
     """Per file and column: count of values that overflow the detail type."""
     return (

@@ -49,6 +49,11 @@ class Warehouse:
     def detail(self) -> str:
         return f"{self.root}/detail"
 
+    @property
+    def rejects(self) -> str:
+        """Rejected rows of the latest load of each file, with all their reasons."""
+        return f"{self.root}/rejects"
+
     @property
     def pending_keys(self) -> str:
         return f"{self.root}/_pending_keys"
@@ -149,7 +154,8 @@ def _transform_merge(spark: SparkSession, wh: Warehouse, feed: str, files: list[
     TR.flag(stg, MAPPINGS[feed], DEDUP_KEYS[feed], options.unit, keep=["SOURCE_LINE"]).write.mode(
         "overwrite").parquet(f"{scratch}/flagged")
     flagged = spark.read.parquet(f"{scratch}/flagged")
-    valid = flagged.where(TR.is_valid())
+    valid = TR.valid_rows(flagged)
+    TB.write_staging(TR.reject_rows(flagged), wh.rejects)  # a file's earlier rejects are replaced
     over = valid.where(F.size("CONSTRAINT_VIOLATIONS") > 0).select("SOURCE_DIR", "SOURCE_FILE").distinct()
     over_files = [r[1] for r in over.collect()] if options.overflow == "fail_file" else []
     if over_files:
@@ -307,3 +313,20 @@ def _load_pending(
     if TB.exists(spark, wh.staging):
         TB.drop_staging_files(spark, wh.staging, drop)
     return spark.createDataFrame(out.collect(), out.schema)  # detached from the run's files
+
+
+def clean_up(spark: SparkSession, warehouse: str, as_of: str, retention_days: int = 90, orphan_hours: int = 24) -> None:
+    """Apply audit retention and drop the staging partitions of orphaned files on storage.
+
+    A file is an orphan when all its staging rows are older than
+    ``orphan_hours`` and it had no success since.
+    """
+    wh = Warehouse(warehouse.rstrip("/"))
+    events = TB.read_audit_events(spark, wh.audit)
+    if TB.exists(spark, wh.staging):
+        staged = TB.read_staging(spark, wh.staging).select(*MT.STAGING_KEYS, "LOAD_TS")
+        keep, drop = MT.orphans(staged, A.audit_latest(events), as_of, orphan_hours)
+        files = drop.select(*MT.STAGING_KEYS).distinct().join(keep.select(*MT.STAGING_KEYS), MT.STAGING_KEYS, "left_anti")
+        TB.drop_staging_files(spark, wh.staging, files)
+    if TB.exists(spark, wh.audit):
+        TB.replace(spark, MT.retain(events, as_of, retention_days)[0], wh.audit)

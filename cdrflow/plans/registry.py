@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdrflow.session import configure
-from cdrflow.mapping import OCC_DEDUP_KEYS, OCC_MAPPING, ColumnSpec
+from cdrflow.mapping import OCC_DEDUP_KEYS, OCC_MAPPING, ColumnSpec, detail_schema
 from cdrflow.operators import audit as A
 from cdrflow.operators import merge as MG
 from cdrflow.operators import transform as TR
@@ -58,7 +58,7 @@ def flagged(spark, sf_dir, unit="seconds", source="events") -> DataFrame:
 
 
 def valid(spark, sf_dir, source="events") -> DataFrame:
-    return flagged(spark, sf_dir, source=source).where(TR.is_valid())
+    return TR.valid_rows(flagged(spark, sf_dir, source=source))
 
 
 # "First" inside a file: the line, then the row's own values, so rows of a
@@ -228,6 +228,29 @@ register(
 )(lambda spark, d: TR.reject_report(flagged(spark, d)))
 
 
+register(
+    "reject_rows",
+    O.with_base(
+        "SELECT SOURCE_DIR, SOURCE_FILE, SOURCE_LINE, array_to_string(REJECT_REASONS, '; ') AS REASONS "
+        "FROM flagged WHERE len(REJECT_REASONS) > 0"
+    ),
+)(lambda spark, d: TR.reject_rows(flagged(spark, d)))
+
+_NOT_NULL = [f.name for f in detail_schema().fields if not f.nullable]
+
+register(
+    "not_null_check",
+    O.with_base(
+        "SELECT SOURCE_DIR, SOURCE_FILE, COLUMN_NAME, NULLS FROM ("
+        + " UNION ALL ".join(
+            f"SELECT SOURCE_DIR, SOURCE_FILE, '{c}' AS COLUMN_NAME, COUNT(*) AS NULLS FROM flagged WHERE {c} IS NULL GROUP BY ALL"
+            for c in _NOT_NULL
+        )
+        + ")"
+    ),
+)(lambda spark, d: TR.null_violations(flagged(spark, d)))
+
+
 # Overflow variant of the staging rows: every 61st charge gets 15 extra digits.
 _OVF_SPARK = "CASE WHEN SOURCE_LINE % 61 = 0 THEN concat(cast(SOURCE_LINE as string), '000000000000000') ELSE CHARGE_AMOUNT END"
 _OVF_DUCK = "CASE WHEN SOURCE_LINE % 61 = 0 THEN CAST(SOURCE_LINE AS VARCHAR) || '000000000000000' ELSE CHARGE_AMOUNT END"

@@ -12,6 +12,7 @@ from cdrflow.plans import fixtures as FX
 from cdrflow.plans import oracle_sql as O
 from cdrflow.plans.registry import register
 from cdrflow.sources import csv_ingest as CI
+from cdrflow.sources import tables as TB
 from cdrflow.sources.landing import number_lines
 
 STAGING_COLUMNS = [s.source for s in OCC_MAPPING]
@@ -111,36 +112,64 @@ register(
 )
 
 _RECON_SQL = (
-    "WITH " + O.load_ctes(O.staged_sql()) + ", r AS (" + O.FILE_ROUTING + ") "
-    "SELECT r.SOURCE_DIR, r.FILE_NAME, r.STATUS, r.ROWS_CSV, CAST(COALESCE(s.N, 0) AS BIGINT) AS ROWS_STAGED, "
-    "CAST(COALESCE(i.N, 0) AS BIGINT) AS INSERTED, CAST(COALESCE(s.VALID, 0) - COALESCE(i.N, 0) AS BIGINT) AS DUPLICATES, "
-    "CAST(COALESCE(s.REJ, 0) AS BIGINT) AS REJECTED, "
-    "(r.STATUS <> 'SUCCESS' OR (COALESCE(s.N, 0) = r.ROWS_CSV)) AS RECONCILED "
-    "FROM r LEFT JOIN (SELECT SOURCE_FILE, COUNT(*) AS N, COUNT(*) FILTER (WHERE len(REJECT_REASONS) = 0) AS VALID, "
-    "COUNT(*) FILTER (WHERE len(REJECT_REASONS) > 0) AS REJ FROM flagged GROUP BY SOURCE_FILE) s ON s.SOURCE_FILE = r.FILE_NAME "
-    "LEFT JOIN (SELECT SOURCE_FILE, COUNT(*) AS N FROM inserted GROUP BY SOURCE_FILE) i ON i.SOURCE_FILE = r.FILE_NAME"
+    "WITH " + O.load_ctes(O.staged_sql()) + ", r AS (" + O.FILE_ROUTING + "), "
+    "n AS (SELECT SOURCE_DIR, FILE_NAME, COUNT(*) AS LINES_DATA FROM (" + O.CSV_LINES + ") WHERE LINE_NO > 1 AND LINE <> '' GROUP BY ALL), "
+    "s AS (SELECT SOURCE_FILE, COUNT(*) AS N, COUNT(*) FILTER (WHERE len(REJECT_REASONS) > 0) AS REJ FROM flagged GROUP BY SOURCE_FILE), "
+    "i AS (SELECT SOURCE_FILE, COUNT(*) AS N FROM inserted GROUP BY SOURCE_FILE), "
+    "d AS (SELECT SOURCE_FILE, COUNT(*) AS N FROM flagged f WHERE len(REJECT_REASONS) = 0 AND NOT EXISTS "
+    "(SELECT 1 FROM inserted j WHERE j.SOURCE_FILE = f.SOURCE_FILE AND j.SOURCE_LINE = f.SOURCE_LINE) GROUP BY SOURCE_FILE) "
+    "SELECT SOURCE_DIR, FILE_NAME, STATUS, LINES_DATA, ROWS_CSV, ROWS_STAGED, INSERTED, DUPLICATES, REJECTED, "
+    "LINES_DATA = ROWS_CSV AND (STATUS <> 'SUCCESS' AND ROWS_STAGED = 0 OR ROWS_STAGED = ROWS_CSV "
+    "AND ROWS_STAGED = INSERTED + DUPLICATES + REJECTED) AS RECONCILED FROM ("
+    "SELECT r.SOURCE_DIR, r.FILE_NAME, r.STATUS, CAST(n.LINES_DATA AS BIGINT) AS LINES_DATA, r.ROWS_CSV, "
+    "CAST(COALESCE(s.N, 0) AS BIGINT) AS ROWS_STAGED, CAST(COALESCE(i.N, 0) AS BIGINT) AS INSERTED, "
+    "CAST(COALESCE(d.N, 0) AS BIGINT) AS DUPLICATES, CAST(COALESCE(s.REJ, 0) AS BIGINT) AS REJECTED "
+    "FROM r JOIN n USING (SOURCE_DIR, FILE_NAME) LEFT JOIN s ON s.SOURCE_FILE = r.FILE_NAME "
+    "LEFT JOIN i ON i.SOURCE_FILE = r.FILE_NAME LEFT JOIN d ON d.SOURCE_FILE = r.FILE_NAME)"
 )
 
 
+def reconcile(lines, routing, staged, flagged, inserted):
+    """Per file: physical data lines, parsed, staged, inserted, duplicate and rejected rows, each counted on its own.
+
+    Duplicates are the valid rows that are not among the inserted ones, found
+    row by row.  RECONCILED: parsed = physical, and for a good file staged =
+    parsed = inserted + duplicates + rejected; of another file nothing is staged.
+    """
+    def per_file(rows, name):
+        return rows.groupBy("SOURCE_DIR", F.col("SOURCE_FILE").alias("FILE_NAME")).agg(F.count(F.lit(1)).alias(name))
+
+    place = ["SOURCE_DIR", "SOURCE_FILE", "SOURCE_LINE"]
+    data = lines.where((F.col("LINE_NO") > 1) & (F.col("LINE") != ""))
+    duplicates = TR.valid_rows(flagged).select(*place).join(inserted.select(*place), place, "left_anti")
+    out = routing.join(data.groupBy("SOURCE_DIR", "FILE_NAME").agg(F.count(F.lit(1)).alias("LINES_DATA")), CI.FILE, "left")
+    names = ["ROWS_STAGED", "INSERTED", "DUPLICATES", "REJECTED"]
+    for rows, name in zip((staged, inserted, duplicates, TR.rejects(flagged)), names):
+        out = out.join(per_file(rows, name), CI.FILE, "left")
+    out = out.select(
+        *CI.FILE, "STATUS", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("LINES_DATA", "ROWS_CSV", *names)]
+    )
+    whole = (F.col("ROWS_STAGED") == F.col("ROWS_CSV")) & (
+        F.col("ROWS_STAGED") == F.col("INSERTED") + F.col("DUPLICATES") + F.col("REJECTED")
+    )
+    none = (F.col("STATUS") != "SUCCESS") & (F.col("ROWS_STAGED") == 0)
+    return out.withColumn("RECONCILED", (F.col("LINES_DATA") == F.col("ROWS_CSV")) & (none | whole))
+
+
 @register("row_reconcile", _RECON_SQL)
 def q_row_reconcile(spark, sf_dir):
-    info, parsed, routing, staged = ingested(spark, sf_dir)
-    flagged = TR.flag(staged, keep=["SOURCE_LINE"])
-    ins, failed = MG.merge_insert_absent(
-        flagged.where(TR.is_valid()), FX.detail_existing(spark, sf_dir), "DEDUP_KEY", "CHARGING_ID",
-        "keep_first", ("SOURCE_LINE",),
-    )
-    stats = TR.transform_stats(flagged, ins, failed).withColumnRenamed("SOURCE_FILE", "FILE_NAME")
-    out = routing.join(stats, ["SOURCE_DIR", "FILE_NAME"], "left")
-    staged_n = F.coalesce(F.col("TMP_ROWS"), F.lit(0)).cast("bigint")
-    return out.select(
-        "SOURCE_DIR", "FILE_NAME", "STATUS", "ROWS_CSV",
-        staged_n.alias("ROWS_STAGED"),
-        F.coalesce(F.col("INSERTED"), F.lit(0)).cast("bigint").alias("INSERTED"),
-        F.coalesce(F.col("DUPLICATES"), F.lit(0)).cast("bigint").alias("DUPLICATES"),
-        F.coalesce(F.col("REJECTED_ROWS"), F.lit(0)).cast("bigint").alias("REJECTED"),
-        ((F.col("STATUS") != "SUCCESS") | (staged_n == F.col("ROWS_CSV"))).alias("RECONCILED"),
+    """Lines, parsed and flagged rows are written once, as in a load run, and all counts read them."""
+    lines = TB.shared_copy(FX.csv_lines(spark, sf_dir), "reconcile-lines")
+    info = CI.header_info(CI.file_headers(lines), STAGING_COLUMNS)
+    parsed = TB.shared_copy(CI.parse_lines(lines, info, STAGING_COLUMNS), "reconcile-parsed")
+    routing = TB.shared_copy(CI.file_routing(info, parsed), "reconcile-routing")
+    staged = CI.staging_rows(parsed, routing, STAGING_COLUMNS, FX.ntz(FX.AS_OF))
+    flagged = TB.shared_copy(TR.flag(staged, keep=["SOURCE_LINE"]), "reconcile-flagged")
+    inserted, _ = MG.merge_insert_absent(
+        TR.valid_rows(flagged), FX.detail_existing(spark, sf_dir), "DEDUP_KEY", "CHARGING_ID", "keep_first", ("SOURCE_LINE",)
     )
+    inserted = TB.shared_copy(inserted.select("SOURCE_DIR", "SOURCE_FILE", "SOURCE_LINE"), "reconcile-inserted")
+    return reconcile(lines, routing, staged, flagged, inserted)
 
 
 # Messy header names per event type: case variants, blanks, a leading digit,

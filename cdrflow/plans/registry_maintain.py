@@ -78,18 +78,25 @@ def q_cleanup_strategy(spark, sf_dir):
     return out
 
 
-@register(
-    "audit_archive",
-    "WITH load_audit AS (" + O.LOAD_AUDIT + ") SELECT STATUS, CASE WHEN LOAD_TS < "
-    + O.AS_OF + " - INTERVAL 90 DAY THEN 'DROP' ELSE 'KEEP' END AS ACTION, COUNT(*) AS FILES "
-    "FROM load_audit GROUP BY ALL",
-)
-def q_audit_archive(spark, sf_dir):
-    keep, drop = MT.retain(FX.load_audit(spark, sf_dir), AS_OF, 90)
+def _archive_sql(days: int) -> str:
+    return (
+        "WITH load_audit AS (" + O.LOAD_AUDIT + ") SELECT STATUS, CASE WHEN LOAD_TS < "
+        + O.AS_OF + f" - INTERVAL {days} DAY THEN 'DROP' ELSE 'KEEP' END AS ACTION, COUNT(*) AS FILES "
+        "FROM load_audit GROUP BY ALL"
+    )
+
+
+def _archive(spark, sf_dir, days: int) -> DataFrame:
+    keep, drop = MT.retain(FX.load_audit(spark, sf_dir), AS_OF, days)
     both = keep.withColumn("ACTION", F.lit("KEEP")).unionByName(drop.withColumn("ACTION", F.lit("DROP")))
     return both.groupBy("STATUS", "ACTION").agg(F.count(F.lit(1)).alias("FILES"))
 
 
+register("audit_archive", _archive_sql(90))(lambda spark, d: _archive(spark, d, 90))
+# the audit fixture spans 30 days: with 14 there are rows to drop
+register("audit_archive_14d", _archive_sql(14))(lambda spark, d: _archive(spark, d, 14))
+
+
 def listing(spark, sf_dir) -> DataFrame:
     """Landing listing derived from the orders: every 10th file changed size."""
     o = FX.load_audit(spark, sf_dir)

@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,33 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def replace(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Put ``df``, which may read ``path``, in its place: written beside it, then renamed.
+
+    The old folder stays until the new one is whole; a run lost in between
+    leaves it as ``path`` or as ``path.old``.
+    """
+    df.write.mode("overwrite").parquet(f"{path}.new")
+    delete_path(spark, f"{path}.old")
+    fs, p = _fs(spark, path)
+    new, old = (_fs(spark, f"{path}.{x}")[1] for x in ("new", "old"))
+    if not (fs.rename(p, old) and fs.rename(new, p)):
+        raise OSError(f"could not replace {path}")
+    delete_path(spark, f"{path}.old")
+
+
+def shared_copy(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the cluster's shared folder and read back.
+
+    The folder is ``spark.checkpoint.dir``, or the warehouse where none is named.
+    """
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/cdrflow/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_staging(df: DataFrame, path: str) -> None:
     """Replace the staging partitions of the files present in ``df``."""
     (

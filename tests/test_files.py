@@ -66,6 +66,8 @@ def test_load_job_end_to_end(spark, tmp_path):
     assert n_detail == sum(r.INSERTED for r in ok)
     assert detail.groupBy("CHARGING_ID").count().where("count > 1").count() == 0
     assert "START_DAY" in detail.columns
+    rejects = spark.read.parquet(f"{wh}/rejects").where("SOURCE_FILE = 'CDR_OCC_00.csv'").collect()
+    assert len(rejects) == int(out["CDR_OCC_00.csv"].MESSAGE.split(":")[-1]) and all(r.REASONS for r in rejects)
     staged_files = {r.SOURCE_FILE for r in TB.read_staging(spark, f"{wh}/staging").select("SOURCE_FILE").distinct().collect()}
     assert "CDR_OCC_00.csv" in staged_files and "CDR_OCC_03.csv" not in staged_files
 

@@ -125,3 +125,77 @@ def test_staging_counts_empty_feed_and_retention(spark):
     assert drop.where(F.col("LOAD_TS") >= FX.ntz("2024-01-24 00:00:00")).count() == 0
     keep90, drop90 = MT.retain(a, FX.AS_OF, days=90)
     assert drop90.count() == 0
+
+
+def test_a_file_filter_before_the_flags_prunes(spark, tmp_path):
+    from cdrflow.operators import transform as TR
+    from cdrflow.sources import tables as TB
+
+    TB.write_staging(FX.cdr_raw(spark, SF001), str(tmp_path / "staging"))
+    rows = TB.read_staging(spark, str(tmp_path / "staging")).where(F.col("SOURCE_FILE") == "CDR_OCC_04.csv")
+    one = TR.valid_rows(TR.flag(rows, keep=["SOURCE_LINE"]))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "CDR_OCC_04.csv" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert one.count() > 0
+
+
+def test_reconciliation_can_fail(spark):
+    """A row lost between any two steps, or staged twice, shows."""
+    from cdrflow.operators import transform as TR
+    from cdrflow.plans.registry_ingest import reconcile
+
+    staged = FX.cdr_raw(spark, SF001).where("SOURCE_FILE = 'CDR_OCC_04.csv'")
+    flagged = TR.flag(staged, keep=["SOURCE_LINE"]).cache()
+    n = staged.count()
+    lines = spark.range(n + 1).selectExpr("'OCC' AS SOURCE_DIR", "'CDR_OCC_04.csv' AS FILE_NAME", "id + 1 AS LINE_NO", "'x' AS LINE")
+    routing = spark.createDataFrame([("OCC", "CDR_OCC_04.csv", "SUCCESS", n)], "SOURCE_DIR string, FILE_NAME string, STATUS string, ROWS_CSV bigint")
+    inserted = TR.valid_rows(flagged).where("SOURCE_LINE % 3 = 0")
+
+    def result(**change):
+        frames = {"lines": lines, "routing": routing, "staged": staged, "flagged": flagged, "inserted": inserted} | change
+        return reconcile(**frames).first()
+
+    good = result()
+    assert good.RECONCILED and good.DUPLICATES > 0 and good.REJECTED > 0
+    assert not result(lines=lines.limit(n)).RECONCILED
+    assert not result(staged=staged.where("SOURCE_LINE <> 24")).RECONCILED
+    assert not result(flagged=flagged.where("SOURCE_LINE <> 44")).RECONCILED
+    assert not result(inserted=inserted.union(inserted)).RECONCILED
+
+
+def test_extra_functions_of_every_kind(spark):
+    """The mapping's user function sees number and timestamp text too."""
+    from cdrflow.mapping import ColumnSpec
+    from cdrflow.operators import transform as TR
+
+    mapping = (
+        ColumnSpec("T", "START_DATE", True, "timestamp", "trim", extra=lambda c: F.replace(c, F.lit("s"), F.lit(""))),
+        ColumnSpec("N", "N", False, "number", precision=5, scale=1, extra=lambda c: F.replace(c, F.lit(","), F.lit("."))),
+        ColumnSpec("K", "K", True, "string", "trim", 10, extra=lambda c: F.nullif(F.lower(c), F.lit("none"))),
+    )
+    df = spark.createDataFrame([("1704067200s", "1,5", "AB"), ("1704067200", "123456,0", "none"), ("x", "2", "C")], "T string, N string, K string")
+    df = df.withColumns({"SOURCE_FILE": F.lit("f"), "SOURCE_DIR": F.lit("d")})
+    flagged = TR.flag(df, mapping, ("K",))
+    rows = flagged.collect()
+    assert [str(r.START_DATE) for r in rows] == ["2024-01-01 00:00:00", "2024-01-01 00:00:00", "None"]
+    assert [r.N and float(r.N) for r in rows] == [1.5, None, 2.0] and [r.K for r in rows] == ["ab", None, "c"]
+    assert [list(r.CONSTRAINT_VIOLATIONS) for r in rows] == [[], ["N"], []]
+    found = {r.COLUMN_NAME: r.NULLS for r in TR.null_violations(flagged, mapping).collect()}
+    assert found == {"START_DATE": 1, "K": 1}
+
+
+def test_retention_and_orphans_on_storage(spark, tmp_path):
+    from cdrflow.plans.batch_load import clean_up
+    from cdrflow.sources import tables as TB
+
+    wh = str(tmp_path / "wh")
+    files = spark.createDataFrame([("OCC", f"{x}.csv", 1) for x in "abc"], "SOURCE_DIR string, FILE_NAME string, FILE_SIZE bigint")
+    for n, (name, ts) in enumerate([("a", "2023-09-01 00:00:00"), ("b", "2024-01-30 12:00:00"), ("c", "2024-01-01 00:00:00")]):
+        status = "ERROR" if name == "c" else "SUCCESS"
+        TB.append_audit(A.audit_event(files.where(F.col("FILE_NAME") == f"{name}.csv"), status, FX.ntz(ts), seq=n), f"{wh}/audit")
+    rows = [("v", "a.csv", "OCC", "2024-01-01"), ("v", "b.csv", "OCC", "2024-01-01"), ("v", "c.csv", "OCC", "2024-01-30 23:00:00")]
+    stage = spark.createDataFrame(rows, "X string, SOURCE_FILE string, SOURCE_DIR string, T string")
+    TB.write_staging(stage.select("X", "SOURCE_FILE", "SOURCE_DIR", F.col("T").cast("timestamp_ntz").alias("LOAD_TS")), f"{wh}/staging")
+    clean_up(spark, wh, "2024-01-31 00:00:00", retention_days=90, orphan_hours=24)
+    assert sorted(r.SOURCE_FILE for r in TB.read_staging(spark, f"{wh}/staging").collect()) == ["b.csv", "c.csv"]
+    assert sorted(r.FILE_NAME for r in TB.read_audit_events(spark, f"{wh}/audit").collect()) == ["b.csv", "c.csv"]

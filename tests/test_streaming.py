@@ -64,3 +64,28 @@ def test_archive_processed_files(spark, tmp_path):
     cur = audit_latest(TB.read_audit_events(spark, str(tmp_path / "wh" / "audit")))
     assert cur.count() == 3
 
+
+def test_replayed_and_overlapping_batches_insert_nothing_twice(spark, tmp_path):
+    """I3, I4: the same files again, after a lost checkpoint, and a later file with keys that are loaded."""
+    feeds = write_landing(spark, SF001, str(tmp_path / "landing"))
+    src = tmp_path / "landing" / "OCC"
+    for f in src.glob("*.csv"):
+        if f.name not in ("CDR_OCC_00.csv", "CDR_OCC_02.csv"):
+            f.unlink()
+    wh = str(tmp_path / "wh")
+    opts = LoadOptions(cleanup="never", on_duplicate="keep_first")
+
+    def batch(name):
+        q = start_incremental(spark, feeds, wh, str(tmp_path / name), "availableNow", opts, clock=lambda: "2024-01-31 00:00:00")
+        q.awaitTermination(600)
+        assert q.exception() is None
+        return spark.read.parquet(f"{wh}/detail").count()
+
+    n = batch("ck1")
+    (src / "CDR_OCC_20.csv").write_text((src / "CDR_OCC_00.csv").read_text())
+    assert batch("ck1") == n  # another file, the same keys
+    assert batch("ck2") == n  # every file is listed again
+    events = TB.read_audit_events(spark, f"{wh}/audit")
+    assert events.where(F.col("FILE_NAME") == "CDR_OCC_00.csv").count() == 2
+    row = audit_latest(events).where(F.col("FILE_NAME") == "CDR_OCC_20.csv").first()
+    assert row.STATUS == "SUCCESS" and "DETAIL:0" in row.MESSAGE
