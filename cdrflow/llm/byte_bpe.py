@@ -107,16 +107,13 @@ def fold(word: Column, vocabulary: Vocabulary) -> Column:
     One step merges every occurrence of the best pair, left to right; a merged
     piece ranks after its parts, so this is the order of merging one by one.
     """
-    ranks, n = vocabulary.ranks(), vocabulary.buckets
-    data = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
-    rank = lambda piece: _find(ranks, n, piece)
-    start = F.concat(F.lit(OPEN), F.array_join(F.split(data, ""), CLOSE + OPEN), F.lit(CLOSE))
+    n = vocabulary.buckets
 
     def inside(s: Column) -> Column:
-        """Without the first and the last edge."""
+        """The pieces, without the first and the last edge."""
         return F.split(F.substring(s, F.lit(2), F.char_length(s) - 2), CLOSE + OPEN)
 
-    def step(state: Column, _: Column) -> Column:
+    def step(state: Column, rank: Callable[[Column], Column]) -> Column:
         def merge(pieces: Column) -> Column:
             pairs = F.zip_with(
                 pieces, F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda a, b: rank(F.concat(a, b))
@@ -125,9 +122,8 @@ def fold(word: Column, vocabulary: Vocabulary) -> Column:
             def best(r: Column) -> Column:
                 at = F.array_position(r, F.array_min(r)).cast("int")
                 a, b = F.get(pieces, at - 1), F.get(pieces, at)
-                merged = F.replace(
-                    state["s"], F.concat(F.lit(OPEN), a, F.lit(CLOSE + OPEN), b, F.lit(CLOSE)), F.concat(F.lit(OPEN), a, b, F.lit(CLOSE))
-                )
+                apart = F.concat(F.lit(OPEN), a, F.lit(CLOSE + OPEN), b, F.lit(CLOSE))
+                merged = F.replace(state["s"], apart, F.concat(F.lit(OPEN), a, b, F.lit(CLOSE)))
                 end = F.array_min(r).isNull()
                 return F.struct(F.when(end, state["s"]).otherwise(merged).alias("s"), end.alias("end"))
 
@@ -135,16 +131,21 @@ def fold(word: Column, vocabulary: Vocabulary) -> Column:
 
         return F.when(state["end"], state).otherwise(_let(inside(state["s"]), merge))
 
-    steps = F.sequence(F.lit(1), F.greatest(F.char_length(data) - 1, F.lit(1)))
-    folded = F.aggregate(
-        steps,
-        F.struct(start.alias("s"), (F.char_length(data) < 2).alias("end")),
-        step,
-        lambda state: F.transform(inside(state["s"]), rank),
-    )
-    whole = rank(data)
-    empty = F.array().cast("array<int>")
-    return F.when(F.char_length(word) == 0, empty).when(whole.isNotNull(), F.array(whole)).otherwise(folded)
+    def ids(data: Column, ranks: Column) -> Column:
+        rank = lambda piece: _find(ranks, n, piece)
+        start = F.concat(F.lit(OPEN), F.array_join(F.split(data, ""), CLOSE + OPEN), F.lit(CLOSE))
+        folded = F.aggregate(
+            F.sequence(F.lit(1), F.greatest(F.char_length(data) - 1, F.lit(1))),
+            F.struct(start.alias("s"), (F.char_length(data) < 2).alias("end")),
+            lambda state, _: step(state, rank),
+            lambda state: F.transform(inside(state["s"]), rank),
+        )
+        whole = _let(rank(data), lambda r: F.when(r.isNotNull(), F.array(r)))
+        return F.when(F.char_length(data) == 0, F.array().cast("array<int>")).otherwise(F.coalesce(whole, folded))
+
+    # the ranks stand once in the plan, whatever looks them up
+    data = F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
+    return _let(vocabulary.ranks(), lambda ranks: _let(data, lambda d: ids(d, ranks)))
 
 
 def words_of(text: Column, vocabulary: Vocabulary) -> Column:
@@ -215,9 +216,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", most
         words_of(docs[text_col], vocabulary),
         lambda w: F.coalesce(cache.find(known, w), F.concat_ws(",", fold(w, vocabulary).cast("array<string>"))),
     )
-    joined = F.array_join(by_word, ",")
-    ids = F.when(joined == "", F.array().cast("array<int>")).otherwise(F.split(joined, ",").cast("array<int>"))
-    return docs.withColumn("ids", ids)
+    numbers = F.filter(F.split(F.array_join(by_word, ","), ","), lambda x: x != "")
+    return docs.withColumn("ids", numbers.cast("array<int>"))
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
