@@ -27,6 +27,13 @@ def op1_maglev_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", SHARDS, SLOTS, ["doc_id", "source", "n_chars"])
 
 
+def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096
+    )
+    return packing.with_checksums(pieces)
+
+
 def op3_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counts = quality.with_counts(docs, keep=["doc_id", "lang", "source"])
@@ -34,6 +41,35 @@ def op3_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "failed")
 
 
+def op4_host_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "path")
+
+
+def op5_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest, folder = warc_zip.archive_pages(table(spark, sf_dir, "pages"))
+    records = warc_zip.read_records(warc_zip.read_index(manifest, folder), folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.Vocabulary.load(
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.encode(docs, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(byte_bpe.packed(F.col("ids"), vocabulary), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
+    )
+
+
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, tau=4)
+    return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id", "kept")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return exact_dedup.exact_duplicates(docs, keep="largest").drop("row_id")
@@ -47,12 +83,27 @@ def op9_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages.select("page_id", "url"), listed, URL_RULES).drop("url")
 
 
-QUERIES = {
-    "op1_maglev_sharding": op1_maglev_sharding,
-    "op3_adaptive_quality": op3_adaptive_quality,
-    "op8_exact_dedup": op8_exact_dedup,
-    "op9_bloom_cascade": op9_bloom_cascade,
-}
+def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    model = language.fit(docs.filter(~held_out))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected"
+    )
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_maglev_sharding,
+    op2_sum_of_squares_packing,
+    op3_adaptive_quality,
+    op4_host_path_extraction,
+    op5_zip_warc,
+    op6_byte_bpe,
+    op7_simhash_near_dedup,
+    op8_exact_dedup,
+    op9_bloom_cascade,
+    op10_zstd_language,
+)}
 
 _MD5_NUMBER = "('0x' || substr(md5({}), 1, 15))::BIGINT"
 
@@ -176,75 +227,7 @@ SELECT page_id, host, path, {_rule_case("text")} AS rule,
 FROM p LEFT JOIN listed l ON l.key = p.host || p.path
 """
 
-ORACLES = {
-    "op1_maglev_sharding": _OP1,
-    "op3_adaptive_quality": _op3_sql(),
-    "op8_exact_dedup": _OP8,
-    "op9_bloom_cascade": _OP9,
-}
-
-
-def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack_documents(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096
-    )
-    return packing.with_checksums(pieces)
-
-
-def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = byte_bpe.Vocabulary.load(
-        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    )
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return byte_bpe.encode(docs, vocabulary).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(byte_bpe.packed(F.col("ids"), vocabulary), 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
-    )
-
-
-def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
-    model = language.fit(docs.filter(~held_out))
-    return language.identify(docs.select("doc_id", "text"), model).select(
-        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected"
-    )
-
-
-QUERIES |= {
-    "op2_sum_of_squares_packing": op2_sum_of_squares_packing,
-    "op6_byte_bpe": op6_byte_bpe,
-    "op10_zstd_language": op10_zstd_language,
-}
-
-
-def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, tau=4)
-    return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id", "kept")
-
-
-QUERIES["op7_simhash_near_dedup"] = op7_simhash_near_dedup
-
-
-def op4_host_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = html_extract.main_text(table(spark, sf_dir, "pages"))
-    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "path")
-
-
-QUERIES["op4_host_path_extraction"] = op4_host_path_extraction
-
-
-def op5_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest, folder = warc_zip.archive_pages(table(spark, sf_dir, "pages"))
-    records = warc_zip.read_records(warc_zip.read_index(manifest, folder), folder)
-    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-
-
-QUERIES["op5_zip_warc"] = op5_zip_warc
-
-ORACLES["op5_zip_warc"] = """
+_OP5 = """
 WITH p AS (SELECT row_number() OVER () AS r, page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT r, page_id, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_digest FROM p),
 o AS (SELECT *, row_number() OVER w AS nr, first_value(page_id) OVER w AS head
@@ -254,3 +237,11 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND nr > 1 THEN head END AS refers_to
 FROM o
 """
+
+ORACLES = {
+    "op1_maglev_sharding": _OP1,
+    "op3_adaptive_quality": _op3_sql(),
+    "op5_zip_warc": _OP5,
+    "op8_exact_dedup": _OP8,
+    "op9_bloom_cascade": _OP9,
+}
