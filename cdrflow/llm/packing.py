@@ -14,6 +14,7 @@ as from a written table.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +29,7 @@ from .common import ship
 ship(__name__)
 
 #: Tokenized chunks that a Python worker keeps at most.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 1_500_000
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, whole boolean"
 )
@@ -133,11 +134,16 @@ def pack(pieces: Iterator[Piece], capacity: int) -> Iterator[list[Piece]]:
     yield from state.close()
 
 
+#: A word of ASCII and Latin-1 letters (its UTF-8), lower-cased A-Z, and punctuation after it.
+PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([,.;:!?]*)")
+
+
 class ChunkEncoder:
     """Ids of a text as packed integers, each chunk between ASCII white space encoded once.
 
-    For tokenizers that drop white space and never join what it parts: then a
-    text's ids are those of its chunks.
+    For tokenizers that drop white space and case, and that take a run of
+    letters, and one of punctuation after it, for a unit each: then a text's ids
+    are those of its chunks, and a plain chunk's are those of its two runs.
     """
 
     def __init__(self, path: str):
@@ -147,15 +153,39 @@ class ChunkEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[bytes, bytes] = {}
 
+    def _encode(self, chunks: list[bytes]) -> Iterator[bytes]:
+        for e in self.tokenizer.encode_batch([c.decode() for c in chunks], add_special_tokens=False):
+            yield np.asarray(e.ids, dtype="<u4").tobytes()
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        """Runs of letters: many at once in a line, where each is one unit."""
+        for i in range(0, len(words), 2000):
+            some = words[i : i + 2000]
+            line = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
+            ids, unit = np.asarray(line.ids, dtype="<u4"), np.asarray(line.word_ids)
+            ends = np.concatenate([[0], np.flatnonzero(np.diff(unit)) + 1, [len(ids)]]) * 4
+            if len(ends) != len(some) + 1:
+                raise ValueError("this tokenizer does not take a run of letters for a unit")
+            packed, at = ids.tobytes(), ends.tolist()
+            self.known.update((w, packed[a:b]) for w, a, b in zip(some, at, at[1:]))
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        known, plain, odd = self.known, [], []
+        for c in chunks:
+            if m := PLAIN.fullmatch(c):
+                plain.append((c, m[1], m[2]))
+            else:
+                odd.append(c)
+        runs = [mark for mark in {mark for _, _, mark in plain} if mark and mark not in known]
+        known.update(zip([*odd, *runs], self._encode([*odd, *runs])))
+        self._learn_words([word for word in {word for _, word, _ in plain} if word not in known])
+        known.update((c, known[word] + known[mark] if mark else known[word]) for c, word, mark in plain)
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        chunks = [(t or "").encode().split() for t in texts]
+        chunks = [(t or "").encode().lower().split() for t in texts]  # A-Z, as the tokenizer does itself
         if len(self.known) > CACHE_CHUNKS:
             self.known.clear()
-        new = list({c for cs in chunks for c in cs} - self.known.keys())
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            encoded = self.tokenizer.encode_batch([c.decode() for c in some], add_special_tokens=False)
-            self.known.update((c, np.asarray(e.ids, dtype="<u4").tobytes()) for c, e in zip(some, encoded, strict=True))
+        self._learn([c for c in set().union(*chunks) if c not in self.known])
         return [b"".join(map(self.known.__getitem__, cs)) for cs in chunks]
 
 
