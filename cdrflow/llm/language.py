@@ -1,9 +1,9 @@
 """Language identification by compression with per-language dictionaries.
 
 A sample of labelled documents of each language is a raw-content Zstandard
-dictionary.  A text is compressed with each of them; the one that leaves the
-fewest bytes names the language, and the margin over the second says how sure
-that is.  The dictionaries are the model: ``dict_bytes`` for each of
+dictionary.  A text is compressed with each of them, in equal chunks so that
+all its parts count alike; the one that leaves the fewest bytes names the
+language, and the margin over the second says how sure that is.  The dictionaries are the model: ``dict_bytes`` for each of
 ``max_languages`` at most, however large the corpus is.
 """
 
@@ -28,6 +28,8 @@ SAMPLE_CHARS = 2000
 DICT_BYTES = 60_000
 MAX_LANGUAGES = 200
 LEVEL = 12
+#: Bytes of letters in a chunk at most: in a longer frame the text's own history would stand in for the dictionary.
+CHUNK = 2000
 #: A margin of this or less is narrow.
 NARROW = 0.002
 #: Texts of fewer bytes give too little evidence for a rejection, as sizes are whole bytes.
@@ -91,6 +93,11 @@ def _dictionary(texts: list[str], size: int) -> bytes:
     return head + b" " + tail.encode() + b" "
 
 
+def chunk_bytes(n: int) -> int:
+    """Length of the equal chunks that a text of ``n`` bytes is cut into, so that none is a short rest."""
+    return -(-n // max(1, -(-n // CHUNK))) or 1
+
+
 class Classifier:
     def __init__(self, dictionaries: dict[str, bytes], level: int = LEVEL):
         import zstandard as zstd
@@ -104,19 +111,22 @@ class Classifier:
                 zstd.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
             )
 
-    def sizes(self, text: str) -> list[int]:
-        data = text.encode()
-        return [len(p.compress(data)) for p in self.packers]
+    def sizes(self, data: bytes) -> list[int]:
+        """Compressed bytes by each dictionary: the sum over all chunks."""
+        step = chunk_bytes(len(data))
+        chunks = [data[i : i + step] for i in range(0, len(data), step)]
+        return [sum(len(p.compress(c)) for c in chunks) for p in self.packers]
 
     def __call__(self, text: str | None) -> tuple[str, float, float, bool]:
         """Language, score, margin, and whether the text is too short to be rejected by its margin.
 
-        The margin is the share of bytes that the best saves over the second.
+        The margin is the share of bytes that the best saves over the second,
+        in all chunks together, so it does not depend on the text's length.
         """
         plain = letters(text)
         if not plain or not self.names:
             return UNKNOWN, 0.0, 0.0, False
-        order = sorted(zip(self.sizes(plain), self.names))
+        order = sorted(zip(self.sizes(plain.encode()), self.names))
         best = order[0]
         margin = (order[1][0] - best[0]) / order[1][0] if len(order) > 1 else 1.0
         return best[1], min(1.0, 0.5 + margin / 2), margin, len(plain.encode()) < MIN_JUDGED

@@ -1,5 +1,6 @@
 import zlib
 
+import pytest
 from conftest import SF01
 
 from cdrflow.llm import language as L
@@ -42,3 +43,27 @@ def test_the_sample_is_bounded(spark):
     df = spark.range(500).selectExpr("id as doc_id", "repeat('hello world ', 500) as text", "'aa' as lang")
     model = L.fit(df, sample_docs=5, dict_bytes=3000)
     assert len(model["aa"]) <= 3001
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    """The model of sf0.01, and the letters of all texts of a language."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text", "lang")
+    texts = {}
+    for r in docs.orderBy("doc_id").collect():
+        texts.setdefault(r.lang, []).append(L.letters(r.text))
+    return L.fit(docs), texts
+
+
+def long_text(texts, n):
+    joined = " ".join(texts)
+    return (joined * (1 + n // len(joined)))[:n]
+
+
+def test_every_part_of_a_long_text_counts(corpus):
+    """A head in another language does not decide."""
+    model, texts = corpus
+    judge = L.Classifier(model)
+    for head, tail in ((50_000, 500_000), (130_000, 1_500_000)):
+        assert judge(long_text(texts["de"], head) + " " + long_text(texts["en"], tail))[0] == "en"
+        assert judge(long_text(texts["en"], head) + " " + long_text(texts["de"], tail))[0] == "de"
