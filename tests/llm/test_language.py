@@ -67,3 +67,13 @@ def test_every_part_of_a_long_text_counts(corpus):
     for head, tail in ((50_000, 500_000), (130_000, 1_500_000)):
         assert judge(long_text(texts["de"], head) + " " + long_text(texts["en"], tail))[0] == "en"
         assert judge(long_text(texts["en"], head) + " " + long_text(texts["de"], tail))[0] == "de"
+
+
+def test_clean_long_texts_stay(spark, corpus):
+    """The margin of a clean text does not fall with its length."""
+    model, texts = corpus
+    rows = [(n, lang, long_text(texts[lang], n)) for lang in ("en", "de", "es") for n in (20_000, 1_000_000, 4_000_000)]
+    docs = spark.createDataFrame(rows, "n long, lang string, text string")
+    out = {(r.lang, r.n): r for r in L.identify(docs, model).drop("text").collect()}
+    assert all(r.lang_pred == lang and not r.rejected for (lang, _), r in out.items())
+    assert all(out[lang, n].margin > 0.7 * out[lang, 20_000].margin for lang, n in out)
