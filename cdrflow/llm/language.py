@@ -3,8 +3,11 @@
 A sample of labelled documents of each language is a raw-content Zstandard
 dictionary.  A text is compressed with each of them, in equal chunks so that
 all its parts count alike; the one that leaves the fewest bytes names the
-language, and the margin over the second says how sure that is.  The dictionaries are the model: ``dict_bytes`` for each of
-``max_languages`` at most, however large the corpus is.
+language, and the margin over the second says how sure that is.  Labelled
+documents left out of the dictionaries tell what margin is typical of clean
+texts of a language and length; much less than that is narrow.  The model is
+the dictionaries, ``dict_bytes`` for each of ``max_languages`` at most, and a
+few typical margins for each, however large the corpus is.
 """
 
 from __future__ import annotations
@@ -30,10 +33,18 @@ MAX_LANGUAGES = 200
 LEVEL = 12
 #: Bytes of letters in a chunk at most: in a longer frame the text's own history would stand in for the dictionary.
 CHUNK = 2000
-#: A margin of this or less is narrow.
-NARROW = 0.002
-#: Texts of fewer bytes give too little evidence for a rejection, as sizes are whole bytes.
-MIN_JUDGED = 200
+#: A margin is narrow if it is this share of the typical one or less.
+NARROW = 0.25
+#: One document in so many of a language's sample is left out of its dictionary, to learn the typical margins from.
+LEAVE_OUT = 5
+#: Such documents at most, of all languages together (two of each at least).
+LEFT_OUT_DOCS = 1000
+#: Bytes of letters from which a typical margin counts, up to the next one.
+LENGTHS = (25, 50, 100, 200, 400, 800, 1600)
+#: A typical margin needs so many left-out texts.
+MIN_TEXTS = 5
+#: Where too few are left out: the typical share of bytes saved, and the bytes of letters that a text needs to be judged by it.
+UNMEASURED, MIN_JUDGED = 0.16, 200
 SCHEMA_TAIL = "lang_pred string, score double, margin double, rejected boolean"
 
 
@@ -46,9 +57,20 @@ def letters(text: str | None) -> str:
     return regex.sub(r"[^\p{L}\p{M}]+", " ", text.lower()).strip()
 
 
+class Model(dict):
+    """{language: dictionary}; ``typical``: {language: its typical margins, see ``_typical``}."""
+
+    def __init__(self, dictionaries: dict[str, bytes], typical: dict[str, list[float | None]] | None = None):
+        super().__init__(dictionaries)
+        self.typical = typical or {}
+
+    def __reduce__(self):
+        return Model, (dict(self), self.typical)
+
+
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-        sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES, max_languages: int = MAX_LANGUAGES) -> dict[str, bytes]:
-    """{language: dictionary} of the most frequent labelled languages.
+        sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES, max_languages: int = MAX_LANGUAGES) -> Model:
+    """{language: dictionary} of the most frequent labelled languages, and their typical margins.
 
     The sample is bounded (``sample_docs`` of a language), deterministic, and
     cut per partition before any shuffle, so a language that most rows have
@@ -73,7 +95,9 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     for row in sample.orderBy("lang", "nr").collect():  # sample_docs * max_languages short texts at most
         if row["lang"] in texts:
             texts[row["lang"]].append(letters(row["text"]))
-    return {lang: _dictionary(t, dict_bytes) for lang, t in texts.items() if any(t)}
+    learnt = {lang: [x for i, x in enumerate(t, 1) if i % LEAVE_OUT] for lang, t in texts.items()}
+    dictionaries = {lang: _dictionary(t, dict_bytes) for lang, t in learnt.items() if any(t)}
+    return Model(dictionaries, _typical(dictionaries, {lang: texts[lang][LEAVE_OUT - 1 :: LEAVE_OUT] for lang in dictionaries}))
 
 
 def _dictionary(texts: list[str], size: int) -> bytes:
@@ -93,6 +117,38 @@ def _dictionary(texts: list[str], size: int) -> bytes:
     return head + b" " + tail.encode() + b" "
 
 
+def _typical(dictionaries: dict[str, bytes], left_out: dict[str, list[str]]) -> dict[str, list[float | None]]:
+    """For each language and each of ``LENGTHS``: the median share of bytes that the label saves over the best other.
+
+    It is 0 where clean texts can't be told from narrow ones by whole bytes, so
+    that nothing is rejected there.  Too few texts of a language: those of all
+    languages count; still too few: as for the length before; else None.
+    """
+    from statistics import median
+
+    if len(dictionaries) < 2:
+        return {}
+    judge, each = Classifier(dictionaries), max(2, LEFT_OUT_DOCS // len(dictionaries))
+    out: dict[str, list[float | None]] = {lang: [] for lang in dictionaries}
+    for n in LENGTHS:
+        found: dict[str, list[tuple[int, float]]] = {}
+        for lang, texts in left_out.items():
+            found[lang] = []
+            for data in (t.encode()[:n] for t in texts[:each]):
+                if len(data) == n:
+                    sizes = dict(zip(judge.names, judge.sizes(data)))
+                    own, other = sizes.pop(lang), min(sizes.values())
+                    found[lang].append((other - own, (other - own) / max(other, own)))
+        of_all = [x for v in found.values() for x in v]
+        for lang, margins in out.items():
+            used = found[lang] if len(found[lang]) >= MIN_TEXTS else of_all
+            if len(used) < MIN_TEXTS:
+                margins.append(margins[-1] if margins else None)
+            else:
+                margins.append(median(m for _, m in used) if NARROW * median(b for b, _ in used) >= 1 else 0.0)
+    return out
+
+
 def chunk_bytes(n: int) -> int:
     """Length of the equal chunks that a text of ``n`` bytes is cut into, so that none is a short rest."""
     return -(-n // max(1, -(-n // CHUNK))) or 1
@@ -103,6 +159,7 @@ class Classifier:
         import zstandard as zstd
 
         self.names = sorted(dictionaries)
+        self.learnt = getattr(dictionaries, "typical", {})
         self.packers = []
         for name in self.names:
             d = zstd.ZstdCompressionDict(dictionaries[name], dict_type=zstd.DICT_TYPE_RAWCONTENT)
@@ -117,26 +174,41 @@ class Classifier:
         chunks = [data[i : i + step] for i in range(0, len(data), step)]
         return [sum(len(p.compress(c)) for c in chunks) for p in self.packers]
 
+    def typical(self, name: str, n: int) -> float:
+        """The typical margin of texts of ``n`` bytes in a language; 0 if such texts are not to be judged."""
+        if n < LENGTHS[0]:
+            return 0.0
+        known = [m for size, m in zip(LENGTHS, self.learnt.get(name, ())) if size <= chunk_bytes(n)]
+        if known and known[-1] is not None:
+            return known[-1]
+        return UNMEASURED if n >= MIN_JUDGED else 0.0
+
     def __call__(self, text: str | None) -> tuple[str, float, float, bool]:
         """Language, score, margin, and whether the text is too short to be rejected by its margin.
 
         The margin is the share of bytes that the best saves over the second,
-        in all chunks together, so it does not depend on the text's length.
+        in all chunks together, so it does not depend on the text's length; 1
+        is typical of clean texts in that language.
         """
         plain = letters(text)
         if not plain or not self.names:
             return UNKNOWN, 0.0, 0.0, False
         order = sorted(zip(self.sizes(plain.encode()), self.names))
         best = order[0]
-        margin = (order[1][0] - best[0]) / order[1][0] if len(order) > 1 else 1.0
-        return best[1], min(1.0, 0.5 + margin / 2), margin, len(plain.encode()) < MIN_JUDGED
+        n = len(plain.encode())
+        if len(order) == 1:
+            return best[1], 1.0, 1.0, n < MIN_JUDGED
+        typical = self.typical(best[1], n)
+        margin = (order[1][0] - best[0]) / order[1][0] / (typical or UNMEASURED)
+        return best[1], min(1.0, 0.5 + margin / 2), margin, not typical
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", narrow: float = NARROW) -> DataFrame:
     """``docs`` plus lang_pred, score, margin and rejected.
 
-    ``rejected``: no letter to judge by, or a margin of ``narrow`` or less in a
-    text of ``MIN_JUDGED`` bytes of letters or more.  Ties go to the first name.
+    ``rejected``: no letter to judge by, or a margin of ``narrow`` or less (of
+    the typical one) in a text long enough to be judged: whole bytes must tell
+    clean texts of its length in that language from narrow ones.  Ties go to the first name.
     Null, empty and letterless texts are ``und`` with score 0; without any
     dictionary all texts are.  ``docs`` must not have columns of
     these four names.

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -77,3 +78,29 @@ def test_clean_long_texts_stay(spark, corpus):
     out = {(r.lang, r.n): r for r in L.identify(docs, model).drop("text").collect()}
     assert all(r.lang_pred == lang and not r.rejected for (lang, _), r in out.items())
     assert all(out[lang, n].margin > 0.7 * out[lang, 20_000].margin for lang, n in out)
+
+
+def test_mixed_and_unlearned_languages_go_and_clean_texts_stay(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text", "lang").orderBy("doc_id").collect()
+    learnt = [r for r in docs if zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    clean = [r for r in docs if zlib.crc32(str(r.doc_id).encode()) % 4 == 2 and len(L.letters(r.text)) >= 100]
+
+    def judged(without, texts):
+        judge = L.Classifier(L.fit(spark.createDataFrame([r for r in learnt if r.lang != without], "doc_id long, text string, lang string")))
+        found = [judge(t) for t in texts]
+        return sum(not short and margin <= L.NARROW for _, _, margin, short in found) / len(found)
+
+    assert judged(None, [r.text for r in clean]) < 0.01
+    rnd = random.Random(5)
+    for n in (100, 400, 1000):
+        mixed = []
+        while len(mixed) < 100:
+            a, b = rnd.choice(clean), rnd.choice(clean)
+            if a.lang != b.lang:
+                a, b = long_text([L.letters(a.text)], n // 2), long_text([L.letters(b.text)], n // 2)
+                mixed.append(a + " " + b)
+        assert judged(None, mixed) > 0.4
+        assert judged(None, ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(n)) for _ in range(50)]) > 0.95
+    for lang in ("de", "en", "es", "fr"):
+        assert judged(lang, [r.text for r in clean if r.lang == lang]) > 0.8
+    assert judged(None, ["zqx vkw xqz jjq kzx wqk zxv qqj xzk vvq"]) == 1
