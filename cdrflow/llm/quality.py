@@ -6,7 +6,9 @@ the others, four rates are summarised per (language, source) by a mergeable
 quantile sketch: a log-linear histogram (exact below 128, then 7 significant
 bits, so within 1/64 of the value), whose merge is the sum of its counts.  The
 sketches of small groups are replaced by the merged sketch of their language,
-or of the whole corpus.  Fences around the quartiles are then joined back.
+or of the whole corpus.  Fences around the quartiles are then joined back; where
+one side of a group is far wider than the other, as with much junk, its fences
+are held to those of most groups.
 
 All of it is built-in SQL functions; nothing leaves the JVM.
 """
@@ -161,7 +163,7 @@ def sketch(featured: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def _quartiles(counts: DataFrame, groups: list[str]) -> DataFrame:
-    """n, q25 and q75 of each group and metric; a group has at most some thousand bins."""
+    """n, q25, q50 and q75 of each group and metric; a group has at most some thousand bins."""
     from pyspark.sql import Window
 
     w = Window.partitionBy(*groups, "metric")
@@ -172,43 +174,83 @@ def _quartiles(counts: DataFrame, groups: list[str]) -> DataFrame:
         .agg(
             F.max("total").alias("n"),
             F.min(F.expr("if(4 * upto >= total, bin, null)")).alias("q25"),
+            F.min(F.expr("if(2 * upto >= total, bin, null)")).alias("q50"),
             F.min(F.expr("if(4 * upto >= 3 * total, bin, null)")).alias("q75"),
         )
     )
 
 
 def thresholds(counts: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """One row per (lang, source): ``low_<metric>`` and ``high_<metric>``, in thousandths."""
+    """One row per (lang, source): ``low_<metric>`` and ``high_<metric>``, in thousandths.
+
+    A fence may lie beyond the one that the narrower side of the median gives
+    (as for a symmetric distribution), but then not beyond the median of all
+    groups' own fences, one vote for each (lang, source).  So up to half of a
+    group can be junk without its fence giving way, while most groups are clean.
+    """
     merged = counts.groupBy("lang", "metric", "bin").agg(F.sum("n").alias("n"))
     whole = merged.groupBy("metric", "bin").agg(F.sum("n").alias("n"))
-    own = _quartiles(counts, ["lang", "source"])
+    quartiles = F.struct("n", "q25", "q50", "q75")
+    own = materialize(_quartiles(counts, ["lang", "source"]), "quality-quartiles")
     by_lang = _quartiles(merged, ["lang"]).select(
-        F.col("lang").alias("l"), F.col("metric").alias("m"), F.struct("n", "q25", "q75").alias("of_lang")
+        F.col("lang").alias("l"), F.col("metric").alias("m"), quartiles.alias("of_lang")
+    )
+    of_all = _quartiles(whole, []).select(F.col("metric").alias("am"), quartiles.alias("of_all"))
+    # of an even number of groups, the stricter of the two in the middle
+    middle = "cast(percentile_disc(0.5) within group (order by {}) as bigint)"
+    peers = (
+        _fences(own)
+        .groupBy(F.col("metric").alias("pm"))
+        .agg(F.expr(middle.format("low desc")).alias("peer_low"), F.expr(middle.format("high")).alias("peer_high"))
     )
-    of_all = _quartiles(whole, []).select(F.col("metric").alias("am"), F.struct("n", "q25", "q75").alias("of_all"))
     used = (
         own.join(by_lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("metric") == F.col("m")))
         .join(of_all, F.col("metric") == F.col("am"))
+        .join(peers, F.col("metric") == F.col("pm"))
         .select(
             "lang",
             "source",
             "metric",
-            F.when(F.col("n") >= min_group, F.struct("n", "q25", "q75"))
+            F.when(F.col("n") >= min_group, quartiles)
             .when(F.col("of_lang.n") >= min_group, F.col("of_lang"))
             .otherwise(F.col("of_all"))
             .alias("q"),
+            "peer_low",
+            "peer_high",
         )
-        .select("lang", "source", "metric", "q.q25", "q.q75")
+        .select("lang", "source", "metric", "q.q25", "q.q50", "q.q75", "peer_low", "peer_high")
+    )
+    bounded = _fences(used).select(
+        "lang",
+        "source",
+        "metric",
+        F.expr("greatest(low, least(inner_low, peer_low))").alias("low"),
+        F.expr("least(high, greatest(inner_high, peer_high))").alias("high"),
     )
     out = []
     for m, f in FENCES.items():
-        spread = f"{f.reach} * greatest(q75 - q25, {f.floor})"
-        low = f"q25 - {spread}" if f.lower else "cast(-1 as bigint)"
+        low = "low" if f.lower else "cast(-1 as bigint)"
         out += [
             F.max(F.expr(f"if(metric = '{m}', {low}, null)")).alias(f"low_{m}"),
-            F.max(F.expr(f"if(metric = '{m}', q75 + {spread}, null)")).alias(f"high_{m}"),
+            F.max(F.expr(f"if(metric = '{m}', high, null)")).alias(f"high_{m}"),
         ]
-    return used.groupBy("lang", "source").agg(*out)
+    return bounded.groupBy("lang", "source").agg(*out)
+
+
+def _fences(quartiles: DataFrame) -> DataFrame:
+    """``quartiles`` plus the fences around them, and the ones that the narrower side of the median gives."""
+    floor = "case metric " + " ".join(f"when '{m}' then {f.floor}" for m, f in FENCES.items()) + " end"
+    reach = "case metric " + " ".join(f"when '{m}' then {f.reach}" for m, f in FENCES.items()) + " end"
+    spread = f"({reach}) * greatest(q75 - q25, {floor})"
+    # q75 + reach * spread, if the other side were as wide as the narrower one
+    inner = f"(2 * ({reach}) + 1) * greatest(2 * least(q50 - q25, q75 - q50), {floor}) div 2"
+    return quartiles.select(
+        "*",
+        F.expr(f"q25 - {spread}").alias("low"),
+        F.expr(f"q75 + {spread}").alias("high"),
+        F.expr(f"q50 - {inner}").alias("inner_low"),
+        F.expr(f"q50 + {inner}").alias("inner_high"),
+    )
 
 
 def judge(featured: DataFrame, lang_col: str = "lang", source_col: str = "source", min_group: int = MIN_GROUP) -> DataFrame:

@@ -59,3 +59,20 @@ def test_sketches_merge(spark):
 def test_stays_in_the_jvm(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert "Python" not in Q.with_counts(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_source_with_much_junk_keeps_its_filter(spark):
+    """A third of the hot source is symbol junk of many rates; the other sources are clean."""
+    rnd = random.Random(3)
+
+    def doc(symbols=0):
+        words = ["".join(rnd.choice("abcdef") for _ in range(rnd.randint(3, 7))) for _ in range(80)]
+        return " ".join(w + "#" * (symbols * (i + 1) // 80 - symbols * i // 80) for i, w in enumerate(words))
+
+    for languages, others in ((["en", "de"], 4), (["en"], 1)):
+        rows = [(f"c{lang}{s}{i}", doc(), lang, f"s{s}") for lang in languages for s in range(others) for i in range(220)]
+        rows += [(f"ch{i}", doc(), "en", "hot") for i in range(400)] + [(f"j{i}", doc(12 + i), "en", "hot") for i in range(200)]
+        df = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")
+        out = Q.judge(Q.with_counts(df, keep=["doc_id", "lang", "source"]).cache()).collect()
+        assert all(r.failed == ("symbol_rate" if r.doc_id[0] == "j" else None) for r in out)
+        assert len(out) == len(rows)
