@@ -2,9 +2,11 @@
 
 Each page's containers are scored by the text they hold outside links; the best
 one's generalised tag-class path (numbers masked) is the page's vote.  Spark
-counts the votes of each host.  Every page is then extracted again with its
-host's winning paths, so that a page whose own layout misleads follows the
-others.  A page that has none of them uses its own best container.
+counts the votes of each host.  Every page is then extracted again by its own
+path if other pages vote for it too, else by the winning path of its host with
+the most text on it, so that a page whose own layout misleads follows the
+others.  A page that has none of them, or next to no text there, uses its own
+best container.
 """
 
 from __future__ import annotations
@@ -25,6 +27,10 @@ ship(__name__)
 
 #: Paths of a host that are kept: the most voted, with this share of its pages at least.
 PATHS, MIN_SHARE = 5, 0.1
+#: Pages that must vote for a path before it stands for a template.
+MIN_VOTES = 2
+#: A winning path with less than this share of the text of the page's own container holds next to nothing.
+SMALL = 0.1
 
 # fixed values: HTML element names by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -131,14 +137,32 @@ class Page:
         weight = lambda i: 1.5 if self.elements[i].tag in ("article", "main") else 1.2 if self.elements[i].good else 1.0
         return max(((i, s * weight(i)) for i, s in scores.items()), key=lambda x: (x[1], -x[0]), default=(0, 0.0))
 
+    def holders(self) -> set[str]:
+        """The paths of the containers that text stands in directly."""
+        return {
+            self.elements[next(i for i in self.above(b.element) if i == 0 or self.elements[i].tag in CONTAINERS)].path
+            for b in self.blocks
+            if not self.dropped(b)
+        }
+
+    def tops(self, path: str) -> set[int]:
+        return {i for i, e in enumerate(self.elements) if e.path == path}
+
     def text(self, tops: set[int]) -> str:
         """The blocks below any of the containers, joined by blank lines."""
+        return "\n\n".join(b.text for b in self.below(tops))
+
+    def chars(self, tops: set[int]) -> int:
+        """Characters of that text outside links."""
+        return sum(len(b.text) - b.link_chars for b in self.below(tops))
+
+    def below(self, tops: set[int]) -> list[Block]:
         out = []
         for b in self.blocks:
             top = next((i for i in self.above(b.element) if i in tops), None)
             if top is not None and not self.dropped(b, top) and not any(self.elements[i].skipped for i in self.above(top)):
-                out.append(b.text)
-        return "\n\n".join(out)
+                out.append(b)
+        return out
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -254,48 +278,75 @@ def vote(source: str | None) -> tuple[str, float] | None:
 
 
 def extract(source: str | None, paths: list[str]) -> tuple[str, str | None]:
-    """The main text by the first of ``paths`` that gives any, else by the page's own best container; and the path."""
-    page = parse(source or "")
-    for path in paths:
-        tops = {i for i, e in enumerate(page.elements) if e.path == path}
-        if tops and (text := page.text(tops)):
-            return text, path
-    i, score = page.best()
-    return (page.text({i}), page.elements[i].path) if score > 0 else ("", None)
+    """The main text and its path: the page's own best one if it is among ``paths``, else the one of them with the most text.
 
+    Without text by any of ``paths``, the page's own best container is used.
+    """
+    return _candidates(source, paths)[:2]
 
-def host_paths(pages: DataFrame, paths: int = PATHS, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, paths): each host's winning paths, most votes first; ``pages`` has host and html.
 
-    Votes are counted before any shuffle, and a host's ranking is cut in every
-    task, so a host with most of the pages is no more work than another.
+def _candidates(source: str | None, paths: list[str]) -> tuple[str, str | None, str | None, str | None, bool]:
+    """``extract``, and if it doesn't follow the page's own path: the text by that one, the path, and whether the former is small."""
+    page = parse(source or "")
+    i, score = page.best()
+    own = page.elements[i].path if score > 0 else None
+    by_path = [(path, page.tops(path)) for path in ([own] if own is not None and own in paths else paths)]
+    found = [(-page.chars(tops), nr, path, text) for nr, (path, tops) in enumerate(by_path) if tops and (text := page.text(tops))]
+    if not found:
+        return (page.text({i}) if score > 0 else "", own, None, None, False)
+    chars, _, path, text = min(found)
+    if own is None or own == path:
+        return text, path, None, None, False
+    tops = page.tops(own)
+    return text, path, page.text(tops), own, -chars < SMALL * page.chars(tops)
+
+
+def path_votes(pages: DataFrame) -> DataFrame:
+    """(host, path, votes, held, score): pages that vote for a path, and those that vote for it or have text standing in it.
+
+    Votes are counted before any shuffle, so a host with most of the pages is
+    no more work than another.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                rows = [(h, *v) for h, s in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) if (v := vote(s))]
+                rows = []
+                for h, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    page = parse(source or "")
+                    top, score = page.best()
+                    if score > 0:
+                        own = page.elements[top].path
+                        rows.append((h, own, 1, round(score)))
+                        rows += [(h, path, 0, 0) for path in page.holders() if path != own]
                 if rows:
-                    host, path, score = zip(*rows)
+                    host, path, voted, score = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array([round(s) for s in score], pa.int64())],
-                        names=["host", "path", "score"],
+                        [pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(voted, pa.int64()), pa.array(score, pa.int64())],
+                        names=["host", "path", "voted", "score"],
                     )
 
-    votes = (
+    return (
         pages.select("host", "html")
-        .mapInArrow(run, "host string, path string, score long")
+        .mapInArrow(run, "host string, path string, voted long, score long")
         .groupBy("host", "path")
-        .agg(F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score"))
+        .agg(F.sum("voted").alias("votes"), F.count(F.lit(1)).alias("held"), F.sum("score").alias("score"))
+        .filter("votes > 0")
     )
-    votes = materialize(votes, "host-votes")
+
+
+def host_paths(votes: DataFrame, paths: int = PATHS, min_share: float = MIN_SHARE) -> DataFrame:
+    """(host, paths): each host's winning paths, most votes first; ``votes`` is a written table of ``path_votes``.
+
+    A host's ranking is cut in every task.
+    """
     totals = votes.groupBy("host").agg(F.sum("votes").alias("total"))
     order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("score"), "path")
     ranked = votes.withColumn("nr", F.row_number().over(order)).filter(F.col("nr") <= paths)
     return (
         ranked.join(totals, "host")
-        .filter((F.col("votes") >= min_share * F.col("total")) | (F.col("nr") == 1))
+        .filter(((F.col("votes") >= min_share * F.col("total")) & (F.col("votes") >= MIN_VOTES)) | (F.col("nr") == 1))
         .groupBy("host")
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("nr", "path"))), lambda x: x["path"]).alias("paths"))
     )
@@ -313,21 +364,38 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     ).drop("path")
     # a written table: broadcast while it is below the session's size threshold, else a join that AQE can split
-    winners = materialize(host_paths(hosted), "host-paths").withColumnRenamed("host", "of_host")
+    votes = materialize(path_votes(hosted), "host-votes")
+    winners = materialize(host_paths(votes), "host-paths").withColumnRenamed("host", "of_host")
+    # rarer templates: paths that win on most of the pages that have them, and not by one vote if the winner has text
+    templates = materialize(
+        votes.filter("2 * votes >= held").select(
+            F.col("host").alias("t_host"), F.col("path").alias("t_path"), (F.col("votes") >= MIN_VOTES).alias("agreed")
+        ),
+        "host-templates",
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                found = [extract(s, p or []) for s, p in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
-                text, path = zip(*found)
+                found = [_candidates(s, p or []) for s, p in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
+                text, path, own_text, own_path, small = zip(*found)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(text, pa.string()), pa.array(path, pa.string())],
-                    names=["page_id", "url", "text", "path"],
+                    [part.column(0), part.column(1), part.column(4), *[pa.array(c, pa.string()) for c in (text, path, own_text, own_path)], pa.array(small, pa.bool_())],
+                    names=["page_id", "url", "host", "text", "path", "own_text", "own_path", "small"],
                 )
 
-    return (
+    found = (
         hosted.join(winners, hosted["host"] == winners["of_host"], "left")
-        .select("page_id", "url", "html", "paths")
-        .mapInArrow(run, "page_id long, url string, text string, path string")
+        .select("page_id", "url", "html", "paths", "host")
+        .mapInArrow(run, "page_id long, url string, host string, text string, path string, own_text string, own_path string, small boolean")
+    )
+    own = F.coalesce(F.col("agreed") | F.col("small") & F.col("agreed").isNotNull(), F.lit(False))
+    return found.join(
+        templates, (found["host"] == templates["t_host"]) & (found["own_path"] == templates["t_path"]), "left"
+    ).select(
+        "page_id",
+        "url",
+        F.when(own, F.col("own_text")).otherwise(F.col("text")).alias("text"),
+        F.when(own, F.col("own_path")).otherwise(F.col("path")).alias("path"),
     )

@@ -52,3 +52,15 @@ def test_generated_pages_give_their_article(spark):
         blocks = [" ".join(html.unescape(re.sub(r"</?b>|<br>", " " if "<br>" in b else "", b)).split()) for b in re.split(r"</?(?:p|h1)>", inside)]
         assert re.sub(r"\s+", "", r.text) == re.sub(r"\s+", "", "".join(blocks))
         assert r.text.split("\n\n") == [b for b in blocks if b] or "<br>" in inside
+
+
+def test_hosts_with_several_templates(spark):
+    """Some pages have a teaser where the others have the article; rare and single templates count too."""
+    one = '<body><div class="text"><p>{p}</p></div></body>'
+    two = '<body><div class="text"><p>Teaser.</p></div><div class="{c}"><p>{p}</p></div></body>'
+    rows = [(i, one) for i in range(70)] + [(100 + i, two.replace("{c}", "story")) for i in range(30)]
+    rows += [(200 + i, two.replace("{c}", "rare")) for i in range(3)] + [(300, two.replace("{c}", "once"))]
+    rows += [(400 + 10 * t + i, two.replace("{c}", f"t{'abcdefgh'[t]}")) for t in range(8) for i in range(4)]
+    data = [(i, f"http://h.net/{i}", page.format(p=f"{i} {PARAGRAPH * 3}")) for i, page in rows]
+    out = H.main_text(spark.createDataFrame(data, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out} == {i: f"{i} {PARAGRAPH * 3}" for i, _ in rows} and len(out) == len(rows)
