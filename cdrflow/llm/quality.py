@@ -5,6 +5,7 @@ lines, repeated 5-word windows).  A base rule rejects hopeless documents.  For
 the others, four rates are summarised per (language, source) by a mergeable
 quantile sketch: a log-linear histogram (exact below 128, then 7 significant
 bits, so within 1/64 of the value), whose merge is the sum of its counts.  The
+fence of the repeated windows is for completeness: the base rule is stricter.  The
 sketches of small groups are replaced by the merged sketch of their language,
 or of the whole corpus.  Fences around the quartiles are then joined back; where
 one side of a group is far wider than the other, as with much junk, its fences
