@@ -3,11 +3,24 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, html_extract, language, packing, quality, sharding, simhash, url_filter, warc_zip
-from .common import materialize, table
+from . import (
+    byte_bpe,
+    exact_dedup,
+    html_extract,
+    language,
+    packing,
+    periodic_runs,
+    quality,
+    sharding,
+    simhash,
+    url_filter,
+    warc_zip,
+    winnowing,
+)
+from .common import SPACE_CLASS, materialize, table
 
 SHARDS = [f"shard-{i:02d}" for i in range(32)]
 SLOTS = 4099  # a prime, about 128 slots for each shard
@@ -92,6 +105,58 @@ def op10_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.edited_fingerprints(table(spark, sf_dir, "documents"), k=12, w=16)
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.digest(F.col("marks")).alias("fingerprint"),
+        winnowing.digest(F.col("edited_marks")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        F.size("marks").cast("long").alias("n_marks"),
+    )
+
+
+def _repeating_tails(docs: DataFrame) -> DataFrame:
+    """The contract's texts: of documents whose crc32 of the id ends in 0, words from one on repeat with a period.
+
+    A document without an id stays as it is.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(rf"[^{SPACE_CLASS[1:]}+"), F.lit(0))
+
+    def tail(w: Column) -> Column:
+        n, g = F.size(w), F.floor(h / 10)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        again = F.flatten(F.array_repeat(F.slice(w, a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(w, F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+
+    bound = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, tail(w)).otherwise(F.lit(""))), F.lit(0))
+    return docs.select("doc_id", F.when(F.coalesce(h % 10 == 0, F.lit(False)), bound).otherwise(F.col("text")).alias("text"))
+
+
+def op12_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_repeating_tails(table(spark, sf_dir, "documents")))
+    longest = F.array_max(  # ties: the smallest start, then period
+        F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("q")))
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.s")).alias("start"),
+        F.col("longest.n").alias("length"),
+        (-F.col("longest.q")).alias("period"),
+        F.floor(1000 * F.col("longest.n") / -F.col("longest.q")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_maglev_sharding,
     op2_sum_of_squares_packing,
@@ -103,6 +168,8 @@ QUERIES = {f.__name__: f for f in (
     op8_exact_dedup,
     op9_bloom_cascade,
     op10_zstd_language,
+    op11_winnowing,
+    op12_grammar_runs,
 )}
 
 _MD5_NUMBER = "('0x' || substr(md5({}), 1, 15))::BIGINT"
