@@ -18,6 +18,7 @@ from . import (
     simhash,
     url_filter,
     warc_zip,
+    whitening,
     winnowing,
 )
 from .common import SPACE_CLASS, materialize, table
@@ -157,6 +158,10 @@ def op12_grammar_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_maglev_sharding,
     op2_sum_of_squares_packing,
@@ -170,6 +175,7 @@ QUERIES = {f.__name__: f for f in (
     op10_zstd_language,
     op11_winnowing,
     op12_grammar_runs,
+    op13_spectrum_whitening,
 )}
 
 _MD5_NUMBER = "('0x' || substr(md5({}), 1, 15))::BIGINT"
