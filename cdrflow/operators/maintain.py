@@ -38,11 +38,24 @@ def skip_loaded(listing: DataFrame, audit: DataFrame) -> DataFrame:
     return listing.join(done, ["SOURCE_DIR", "FILE_NAME", "FILE_SIZE"], "left_anti")
 
 
-def reload(staging: DataFrame, new_rows: DataFrame) -> DataFrame:
+def reload(staging: DataFrame, new_rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Staging after re-loading some files: their stale rows are replaced,
-    every other file is kept (dynamic partition overwrite on storage)."""
-    files = new_rows.select(*STAGING_KEYS).distinct()
-    return staging.join(files, STAGING_KEYS, "left_anti").unionByName(new_rows, allowMissingColumns=True)
+    every other file is kept.  ``files`` are the files loaded again, also
+    those without a row (by default those of ``new_rows``)."""
+    gone = (new_rows if files is None else files).select(*STAGING_KEYS).distinct()
+    return staging.join(gone, STAGING_KEYS, "left_anti").unionByName(new_rows, allowMissingColumns=True)
+
+
+def current_files(versions: DataFrame) -> DataFrame:
+    """Each file's last load, unless the file was dropped since: one row per file of a version table."""
+    more = [c for c in versions.columns if c not in (*STAGING_KEYS, "LOAD", "DROPPED")]
+    last = versions.groupBy(*STAGING_KEYS).agg(F.max(F.struct("LOAD", "DROPPED", *more)).alias("LAST"))
+    return last.where(~F.col("LAST.DROPPED")).select(*STAGING_KEYS, "LAST.LOAD", *[f"LAST.{c}" for c in more])
+
+
+def current_rows(rows: DataFrame, versions: DataFrame) -> DataFrame:
+    """Rows (with their LOAD) of each file's current version."""
+    return rows.join(current_files(versions).select(*STAGING_KEYS, "LOAD"), [*STAGING_KEYS, "LOAD"], "left_semi")
 
 
 def cleanup(staging: DataFrame, audit: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,12 +1,15 @@
 """Insert-if-absent merge on the de-duplication key.
 
 The target store is append-only parquet, so ``MERGE ... WHEN NOT MATCHED THEN
-INSERT`` becomes: pick one row per key among the new rows, then drop the keys
-already present (left anti join against the narrow key table).
-
-Skew: a key (or a file) may hold a large share of the rows.  Every step
-first aggregates by key, so partial aggregation collapses hot keys map-side
-before the shuffle, and the anti join only ever sees one row per key.
+INSERT`` becomes: find, on narrow rows (key and place), the keys that need a
+decision, because they are repeated or already loaded; then let the wide rows
+through, with those keys' losers taken out.
+
+Skew: a key (or a file) may hold a large share of the rows.  The narrow rows
+are aggregated by key, so hot keys collapse map-side before the shuffle.  Wide
+rows are in no aggregate: they meet the keys that need a decision in one join,
+which Spark makes a broadcast join when those are few (its run-time size says
+so), and then they are not shuffled at all.
 """
 
 from __future__ import annotations
@@ -34,8 +37,9 @@ def merge_insert_absent(
     """Rows of ``src`` to insert, and the files that fail (``fail_file``).
 
     ``src`` holds valid rows with ``key`` and the file keys.  ``order_by``
-    gives "first" inside a file (e.g. line number); across files the first
-    is taken by (SOURCE_FILE, SOURCE_DIR, *order_by).
+    tells the rows of a file apart and gives "first" inside it (the line
+    number); across files the first is taken by (SOURCE_FILE, SOURCE_DIR,
+    *order_by).
 
     * ``keep_first``: one row per key, keys present in ``key_table`` dropped.
     * ``fail_file``: a file fails when it holds a new key (one not in
@@ -44,26 +48,32 @@ def merge_insert_absent(
     """
     if on_duplicate not in DUPLICATE_POLICIES:
         raise ValueError(f"on_duplicate must be one of {DUPLICATE_POLICIES}")
-    payload = F.struct(*[F.col(c) for c in src.columns])
     within = [F.col(c) for c in order_by if c not in FILE_KEYS]
-    across = F.struct(F.col("SOURCE_FILE"), F.col("SOURCE_DIR"), *within)
+    place = F.struct(F.col("SOURCE_FILE"), F.col("SOURCE_DIR"), *within)
     keys = existing_keys(key_table, key_table_column or key, key)
     spark = src.sparkSession
 
     live = src.where(F.col(key).isNotNull())
 
     def first_per_key(rows: DataFrame) -> DataFrame:
-        # one row per key, combined map-side before the shuffle, then the
-        # keys already loaded are dropped (one row per key on the join)
-        first = rows.groupBy(key).agg(F.min_by(payload, across).alias("_ROW"))
-        return first.join(keys, key, "left_anti").select("_ROW.*")
+        per_key = rows.select(key, place.alias("_AT")).groupBy(key).agg(
+            F.min("_AT").alias("_FIRST"), F.count(F.lit(1)).alias("_N")
+        )
+        loaded = keys.groupBy(key).agg(F.lit(True).alias("_LOADED"))
+        # a loaded key has no first row, so no place equals it
+        decided = (
+            per_key.join(loaded, key, "left")
+            .where(F.col("_LOADED").isNotNull() | (F.col("_N") > 1))
+            .select(key, F.lit(True).alias("_DECIDED"), F.when(F.col("_LOADED").isNull(), F.col("_FIRST")).alias("_FIRST"))
+        )
+        out = rows.join(decided, key, "left").where(F.col("_DECIDED").isNull() | (place == F.col("_FIRST")))
+        return out.select(*src.columns)
 
     if on_duplicate == "keep_first":
         failed = spark.createDataFrame([], "SOURCE_DIR string, SOURCE_FILE string")
         return first_per_key(live), failed
 
-    # fail_file: the failing files come from a narrow (file, key) count; only
-    # the rows of the other files then go through the one payload shuffle.
+    # fail_file: the failing files come from a narrow (file, key) count
     counts = live.groupBy(*FILE_KEYS, key).agg(F.count(F.lit(1)).alias("_N")).where(F.col("_N") > 1)
     failed = counts.join(keys, key, "left_anti").select(*FILE_KEYS).distinct()
     surviving = live.join(failed, FILE_KEYS, "left_anti")

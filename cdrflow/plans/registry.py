@@ -22,6 +22,7 @@ from cdrflow.operators import transform as TR
 from cdrflow.plans import fixtures as FX
 from cdrflow.plans import monitor as M
 from cdrflow.plans import oracle_sql as O
+from cdrflow.sources import tables as TB
 
 AS_OF = FX.AS_OF
 TODAY = FX.TODAY
@@ -66,17 +67,23 @@ def valid(spark, sf_dir, source="events") -> DataFrame:
 FIRST_ORDER = ("SOURCE_LINE", "LOAD_TS", "CHARGE_AMOUNT", "A_MSISDN", "FLEX_FLD3", "EVENT_TYPE")
 
 
-def merged(spark, sf_dir, policy="keep_first", source="events"):
-    src = valid(spark, sf_dir, source)
+def merged(spark, sf_dir, policy="keep_first", source="events", columns=None):
+    """Rows to insert and failing files.  The valid rows are flagged once and written, as in a load run.
+
+    ``columns`` of the rows beside their key and place (default: all).
+    """
+    rows = valid(spark, sf_dir, source)
+    if columns is not None:
+        rows = rows.select("DEDUP_KEY", *dict.fromkeys(["SOURCE_DIR", "SOURCE_FILE", *FIRST_ORDER, *columns]))
     return MG.merge_insert_absent(
-        src, FX.detail_existing(spark, sf_dir, source), "DEDUP_KEY", "CHARGING_ID", policy, FIRST_ORDER
+        TB.shared_copy(rows, "valid"), FX.detail_existing(spark, sf_dir, source), "DEDUP_KEY", "CHARGING_ID", policy, FIRST_ORDER
     )
 
 
 def detail(spark, sf_dir, source="events") -> DataFrame:
-    """The detail rows this batch inserts (keep_first), typed."""
+    """The detail rows this batch inserts (keep_first), typed, as a written table."""
     ins, _ = merged(spark, sf_dir, "keep_first", source)
-    return ins.select(*TR.detail_projection(), "SOURCE_FILE", "SOURCE_DIR")
+    return TB.shared_copy(ins.select(*TR.detail_projection(), "SOURCE_FILE", "SOURCE_DIR"), "detail")
 
 
 DETAIL_OUT = ", ".join(
@@ -289,7 +296,7 @@ LEFT JOIN (SELECT SOURCE_DIR, SOURCE_FILE, COUNT(*) AS INSERTED FROM inserted GR
 @register("transform_stats", O.with_base(_STATS_SQL))
 def q_transform_stats(spark, sf_dir):
     f = flagged(spark, sf_dir)
-    ins, failed = merged(spark, sf_dir, "keep_first")
+    ins, failed = merged(spark, sf_dir, "keep_first", columns=[])
     return TR.transform_stats(f, ins, failed)
 
 
@@ -328,7 +335,7 @@ register(
 register(
     "dup_failed_files",
     "WITH " + O.base_ctes() + _FAIL_FILE_SQL + "SELECT SOURCE_DIR, SOURCE_FILE FROM failed",
-)(lambda spark, d: merged(spark, d, "fail_file")[1])
+)(lambda spark, d: merged(spark, d, "fail_file", columns=[])[1])
 
 
 # --------------------------------------------------------------------------
@@ -597,7 +604,8 @@ def flagship(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFr
     """Staging -> flags -> typed detail -> keep_first -> insert-if-absent,
     summarised per event type."""
     configure(spark)
-    return detail(spark, sf_dir, source).groupBy("EVENT_TYPE").agg(
+    inserted, _ = merged(spark, sf_dir, "keep_first", source, columns=["EVENT_TYPE", "DATA_VOLUME", "A_MSISDN"])
+    return inserted.groupBy("EVENT_TYPE").agg(
         F.count(F.lit(1)).alias("INSERTED"),
         F.sum("DATA_VOLUME").cast(T.DoubleType()).alias("TOTAL_DATA_MB"),
         F.count_distinct("A_MSISDN").alias("SUBSCRIBERS"),

@@ -19,8 +19,11 @@ STAGING_COLUMNS = [s.source for s in OCC_MAPPING]
 
 
 def ingested(spark: SparkSession, sf_dir: str):
-    lines = FX.csv_lines(spark, sf_dir)
-    return CI.ingest(lines, STAGING_COLUMNS, FX.ntz(FX.AS_OF), headers=FX.csv_headers(spark, sf_dir))
+    """(header info, parsed lines, routing, staging rows); lines are parsed once and written, as in a load run."""
+    info = CI.header_info(FX.csv_headers(spark, sf_dir), STAGING_COLUMNS)
+    parsed = TB.shared_copy(CI.parse_lines(FX.csv_lines(spark, sf_dir), info, STAGING_COLUMNS), "parsed")
+    routing = CI.file_routing(info, parsed)
+    return info, parsed, routing, CI.staging_rows(parsed, routing, STAGING_COLUMNS, FX.ntz(FX.AS_OF))
 
 
 def numbered(spark: SparkSession, sf_dir: str):
@@ -57,7 +60,7 @@ register(
     "WITH raw13 AS (" + O.RAW13 + ") SELECT DISTINCT SOURCE_DIR, SOURCE_FILE AS FILE_NAME, FILE_NO <> 9 AS VALID, "
     "CASE WHEN FILE_NO = 9 THEN 'UNKNOWN_FIELD_1' ELSE '' END AS UNKNOWN_COLUMNS FROM raw13",
 )(
-    lambda spark, d: ingested(spark, d)[0].select(
+    lambda spark, d: CI.header_info(FX.csv_headers(spark, d), STAGING_COLUMNS).select(
         "SOURCE_DIR", "FILE_NAME", (F.size("UNKNOWN_COLUMNS") == 0).alias("VALID"),
         F.array_join("UNKNOWN_COLUMNS", ", ").alias("UNKNOWN_COLUMNS"),
     )

@@ -128,3 +128,28 @@ def q_staging_reload(spark, sf_dir):
         "SOURCE_DIR", "SOURCE_FILE", FX.ntz(AS_OF).alias("LOAD_TS"))
     return MT.reload(stg, new).groupBy("SOURCE_DIR", "SOURCE_FILE").agg(
         F.count(F.lit(1)).alias("ROWS"), F.max("LOAD_TS").alias("LAST_LOAD"))
+
+
+@register(
+    "staging_reload_versions",
+    "WITH cdr_raw AS (" + O.CDR_RAW + ") SELECT SOURCE_DIR, SOURCE_FILE, COUNT(*) AS ROWS, MIN(SOURCE_LINE) AS FIRST_LINE "
+    "FROM cdr_raw WHERE CASE WHEN SOURCE_FILE IN ('CDR_OCC_04.csv', 'CDR_OCC_06.csv') THEN FALSE "
+    "WHEN SOURCE_FILE = 'CDR_OCC_08.csv' THEN SOURCE_LINE % 40 < 10 ELSE TRUE END GROUP BY ALL",
+)
+def q_staging_reload_versions(spark, sf_dir):
+    """Of three files loaded again one has become empty, one has fewer rows, one is dropped afterwards."""
+    raw = FX.cdr_raw(spark, sf_dir).select("SOURCE_DIR", "SOURCE_FILE", "SOURCE_LINE")
+    again = raw.where((F.col("SOURCE_FILE") == "CDR_OCC_08.csv") & (F.col("SOURCE_LINE") % 40 < 10))
+    again = again.unionByName(raw.where((F.col("SOURCE_FILE") == "CDR_OCC_06.csv") & (F.col("SOURCE_LINE") % 20 < 9)))
+    rows = raw.withColumn("LOAD", F.lit(1)).unionByName(again.withColumn("LOAD", F.lit(2)))
+    files = raw.select("SOURCE_DIR", "SOURCE_FILE").distinct()
+
+    def lines(where, load, dropped):
+        return files.where(where).withColumns({"LOAD": F.lit(load), "DROPPED": F.lit(dropped)})
+
+    name = F.col("SOURCE_FILE")
+    versions = lines(F.lit(True), 1, False)
+    versions = versions.unionByName(lines(name.isin("CDR_OCC_04.csv", "CDR_OCC_06.csv", "CDR_OCC_08.csv"), 2, False))
+    versions = versions.unionByName(lines(name == "CDR_OCC_06.csv", 2, True))
+    return MT.current_rows(rows, versions).groupBy("SOURCE_DIR", "SOURCE_FILE").agg(
+        F.count(F.lit(1)).alias("ROWS"), F.min("SOURCE_LINE").alias("FIRST_LINE"))

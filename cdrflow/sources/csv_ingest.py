@@ -6,8 +6,9 @@ with LINE_NO starting at 1 (the header) and trailing CR/LF already removed;
 driver tables.  Output: per-file header info, per-file outcome (first failing
 check wins) and the all-text staging rows of the files that passed.
 
-Only file-level metadata ever reaches the driver: the distinct header layouts
-of the accepted files, used to build one parse plan for every file.
+Every file's header carries the place of each staging column as an array, so
+one parse plan of fixed size serves any number of layouts, and nothing about
+the files reaches the driver.
 """
 
 from __future__ import annotations
@@ -82,7 +83,7 @@ def header_info(
 
 
 def layouts(info: DataFrame) -> list[list[str]]:
-    """Distinct sanitized header layouts of the accepted files.
+    """Distinct sanitized header layouts of the accepted files, for reports.
 
     One small aggregate over file metadata: bounded by the number of distinct
     accepted headers, not by the data, and not by what rejected files hold.
@@ -92,6 +93,13 @@ def layouts(info: DataFrame) -> list[list[str]]:
     return sorted([list(x) for x in (r["L"] or [])])
 
 
+def positions(header: Column, staging_columns: list[str]) -> Column:
+    """Place of each staging column in a header, from 0; -1 for one that it does not have."""
+    return F.transform(
+        F.array(*[F.lit(c) for c in staging_columns]), lambda c: (F.array_position(header, c) - 1).cast("int")
+    )
+
+
 def parse_lines(
     lines: DataFrame,
     info: DataFrame,
@@ -101,40 +109,31 @@ def parse_lines(
     """Data lines of every file: per-line error (if any) and staging values.
 
     Blank lines are skipped (still counted in LINE_NO).  Checks, in order:
-    odd number of enclosures, then field count vs the header's.
+    odd number of enclosures, then field count vs the header's.  Lines of
+    rejected files are only counted.
     """
-    lays = layouts(info)
-    key = F.concat_ws("\u0001", F.col("HEADER_COLS"))
     accepted = (F.size("UNKNOWN_COLUMNS") == 0) & (F.size("NOT_IN_STAGING") == 0)
-    layout_idx = F.lit(None).cast("int")
-    for i, names in enumerate(lays):
-        layout_idx = F.when(accepted & (key == F.lit("\u0001".join(names))), F.lit(i)).otherwise(layout_idx)
-    small = info.select(*FILE, "N_COLS", layout_idx.alias("LAYOUT"))
+    # a file without places is a rejected one
+    small = info.select(
+        *FILE, "N_COLS", F.when(accepted, positions(F.col("HEADER_COLS"), staging_columns)).alias("_AT")
+    )
     data = lines.where((F.col("LINE_NO") > 1) & (F.col("LINE") != "")).join(small, FILE, "inner")
 
-    # values and count come from one split of the line, done once; lines of
-    # rejected files are only counted
-    fields = F.when(F.col("LAYOUT").isNotNull(), X.split_fields(F.col("LINE"), dialect.delimiter, dialect.quote))
+    # values and count come from one split of the line, done once
+    fields = F.when(F.col("_AT").isNotNull(), X.split_fields(F.col("LINE"), dialect.delimiter, dialect.quote))
     parsed = data.select(
-        *FILE, "LINE_NO", "N_COLS", "LAYOUT", X.odd_quotes(F.col("LINE"), dialect.quote).alias("_ODD"), fields.alias("_F")
+        *FILE, "LINE_NO", "N_COLS", "_AT", X.odd_quotes(F.col("LINE"), dialect.quote).alias("_ODD"), fields.alias("_F")
     )
     got = F.size("_F")
     err = F.when(
-        F.col("LAYOUT").isNotNull(),
+        F.col("_AT").isNotNull(),
         F.when(F.col("_ODD"), F.format_string("Broken line (unbalanced quotes) at data line %d", F.col("LINE_NO")))
         .when(got != F.col("N_COLS"),
               F.format_string("Wrong column count at data line %d got=%d expected=%d",
                               F.col("LINE_NO"), got, F.col("N_COLS"))),
     )
-    parsed = parsed.withColumn("LINE_ERROR", err)
-    values = []
-    for col in staging_columns:
-        e = F.lit(None).cast(T.StringType())
-        for i, names in enumerate(lays):
-            if col in names:
-                e = F.when(F.col("LAYOUT") == i, F.get("_F", F.lit(names.index(col)))).otherwise(e)
-        values.append(F.nullif(e, F.lit("")).alias(col))
-    return parsed.select(*FILE, "LINE_NO", "LINE_ERROR", *values)
+    values = [F.nullif(F.get("_F", F.get("_AT", F.lit(i))), F.lit("")).alias(c) for i, c in enumerate(staging_columns)]
+    return parsed.select(*FILE, "LINE_NO", err.alias("LINE_ERROR"), *values)
 
 
 def file_routing(info: DataFrame, parsed: DataFrame, listing: DataFrame | None = None) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cdrflow.functions.csvtext import strip_eol
+from cdrflow.sources import shared_fs as FS
 
 CSV_GLOB = "*.[cC][sS][vV]"
 RAW_SCHEMA = "SOURCE_DIR string, FILE_NAME string, FILE_PATH string, BLOCK bigint, ROW_ID bigint, RAW string"
@@ -158,16 +159,26 @@ def line_count_errors(lines: DataFrame, scanned: DataFrame) -> DataFrame:
     )
 
 
+def _has_mark(spark: SparkSession, path: str) -> bool:
+    return FS.exists(spark, path) and FS.first_bytes(spark, path, 3) == b"\xef\xbb\xbf"
+
+
 def size_check(listing: DataFrame, scanned: DataFrame) -> DataFrame:
     """Files of which not all listed bytes were read (DOWNLOAD_ERROR).
 
-    The last line may lack its LF, and the reader drops a byte order mark.
+    The last line may lack its LF.  The reader drops a byte order mark, so two
+    or three bytes may be missing from a file that begins with one: only of
+    files that miss so many, the first bytes are looked at.
     """
     read = F.coalesce(F.col("READ_BYTES"), F.lit(0))
     lost = F.col("FILE_SIZE") - read
+    spark = listing.sparkSession
+    short = listing.join(scanned, "FILE_PATH").where(lost.isin(2, 3)).select("FILE_PATH").distinct()
+    marked = [(r[0],) for r in short.toLocalIterator() if _has_mark(spark, r[0])]
+    excused = spark.createDataFrame(marked, "FILE_PATH string").withColumn("_MARK", F.lit(True))
     return (
-        listing.join(scanned, "FILE_PATH", "left")
-        .where(~lost.isin(0, -1, 2, 3))
+        listing.join(scanned, "FILE_PATH", "left").join(excused, "FILE_PATH", "left")
+        .where(~(lost.isin(0, -1) | (lost.isin(2, 3) & F.col("_MARK").isNotNull())))
         .select(
             "SOURCE_DIR", "FILE_NAME", "FILE_PATH", "FILE_SIZE",
             F.format_string("Size mismatch: local=%d expected=%d", read, F.col("FILE_SIZE")).alias("DETAIL"),

@@ -1,58 +1,32 @@
 """Storage of the staging, detail, key and audit tables (parquet folders).
 
-* staging: partitioned by (SOURCE_DIR, SOURCE_FILE); a reload overwrites
-  only the partitions of the files it writes (dynamic overwrite), cleanup
-  deletes whole file partitions;
+* staging: a folder per load and a version table (``sources.versions``); a
+  reload hides a file's earlier rows, whatever it brings itself;
 * detail: append-only, partitioned by START_DAY (day of START_DATE) so the
   monitoring queries prune days;
 * keys: by default the detail table's key column; optionally a catalog
   table bucketed by key so the merge's anti join does not shuffle it;
-* audit: append-only event log; ``audit_latest`` gives the current state.
+* audit: append-only event log, replaced as a whole by the retention
+  (``sources.generations``); ``audit_latest`` gives the current state.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdrflow.mapping import AUDIT_SCHEMA
+from cdrflow.sources import generations as G
+from cdrflow.sources import versions as V
+from cdrflow.sources.shared_fs import delete_path, exists
 
 STAGING_PARTS = ["SOURCE_DIR", "SOURCE_FILE"]
+AUDIT_EVENT_SCHEMA = T.StructType([*AUDIT_SCHEMA.fields, T.StructField("SEQ", T.LongType(), True)])
 
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def replace(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Put ``df``, which may read ``path``, in its place: written beside it, then renamed.
-
-    The old folder stays until the new one is whole; a run lost in between
-    leaves it as ``path`` or as ``path.old``.
-    """
-    df.write.mode("overwrite").parquet(f"{path}.new")
-    delete_path(spark, f"{path}.old")
-    fs, p = _fs(spark, path)
-    new, old = (_fs(spark, f"{path}.{x}")[1] for x in ("new", "old"))
-    if not (fs.rename(p, old) and fs.rename(new, p)):
-        raise OSError(f"could not replace {path}")
-    delete_path(spark, f"{path}.old")
+__all__ = ["delete_path", "exists"]
 
 
 def shared_copy(df: DataFrame, name: str) -> DataFrame:
@@ -67,51 +41,38 @@ def shared_copy(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_staging(df: DataFrame, path: str) -> None:
-    """Replace the staging partitions of the files present in ``df``."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*STAGING_PARTS)
-        .parquet(path)
-    )
+def write_staging(df: DataFrame, path: str, load: int | None = None, files: DataFrame | None = None) -> int:
+    """Rows of a load: its files' earlier rows are out of sight before the first new one is written.
+
+    ``files`` are the load's files, also those without a row (by default the
+    files of ``df``); ``load`` is higher than that of any load before (by
+    default the next number).  Returns ``load``.
+    """
+    n = V.next_load(df.sparkSession, path) if load is None else load
+    V.begin(df if files is None else files, path, n, df.schema)
+    V.write(df, path, n)
+    return n
 
 
 def read_staging(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
-    # feeds have different layouts under one root: merge the file schemas
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    if files is not None:
-        df = df.join(files.select(*STAGING_PARTS), STAGING_PARTS, "left_semi")
-    return df
-
-
-def _escape(v: str) -> str:
-    # Hive-style partition value escaping for the common special characters.
-    out = []
-    for ch in v:
-        if ch in '"#%\'*/:=?\\\x7f{[]^' or ord(ch) < 32:
-            out.append(f"%{ord(ch):02X}")
-        else:
-            out.append(ch)
-    return "".join(out)
-
-
-def drop_staging_files(spark: SparkSession, path: str, files: DataFrame) -> int:
-    """Delete the staging partitions of ``files`` (file keys are metadata)."""
-    n = 0
-    for r in files.select(*STAGING_PARTS).distinct().collect():
-        fs, p = _fs(spark, f"{path}/SOURCE_DIR={_escape(r[0])}/SOURCE_FILE={_escape(r[1])}")
-        if fs.exists(p):
-            fs.delete(p, True)
-            n += 1
-    return n
+    """Current rows of all files, or of ``files``; an absent or empty table gives no rows."""
+    df = V.read(spark, path)
+    return df if files is None else df.join(files.select(*STAGING_PARTS), STAGING_PARTS, "left_semi")
+
 
+def drop_staging_files(spark: SparkSession, path: str, files: DataFrame) -> None:
+    """Drop the rows of ``files``; folders of loads that have no file left are deleted."""
+    V.drop(files, path)
 
-def append_detail(df: DataFrame, path: str) -> None:
-    """Append, one day after the other: few files a day, and a large day in several of bounded size."""
+
+def append_detail(df: DataFrame, path: str, seen: Observation | None = None) -> None:
+    """Append, one day after the other: few files a day, and a large day in several of bounded size.
+
+    ``seen`` gets the number of ``rows``, counted where they are written.
+    """
+    days = df.withColumn("START_DAY", F.col("START_DATE").cast(T.DateType())).hint("rebalance", "START_DAY")
     (
-        df.withColumn("START_DAY", F.col("START_DATE").cast(T.DateType()))
-        .hint("rebalance", "START_DAY")
+        (days if seen is None else days.observe(seen, F.count(F.lit(1)).alias("rows")))
         .write.mode("append")
         .partitionBy("START_DAY")
         .parquet(path)
@@ -139,14 +100,16 @@ def read_keys(spark: SparkSession, table: str) -> DataFrame:
 
 
 def append_audit(events: DataFrame, path: str) -> None:
-    events.write.mode("append").parquet(path)
+    G.append(events, path)
 
 
 def read_audit_events(spark: SparkSession, path: str) -> DataFrame:
-    if exists(spark, path):
-        return spark.read.parquet(path)
-    fields = AUDIT_SCHEMA.fields + [T.StructField("SEQ", T.LongType(), True)]
-    return spark.createDataFrame([], T.StructType(fields))
+    return G.read(spark, path, AUDIT_EVENT_SCHEMA)
+
+
+def replace_audit(events: DataFrame, path: str) -> None:
+    """Put ``events``, which may read the audit, in its place: atomic, see ``sources.generations``."""
+    G.replace(events, path)
 
 
 def analyze(spark: SparkSession, table: str, columns: list[str] | None = None) -> dict:
