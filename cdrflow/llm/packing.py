@@ -3,9 +3,10 @@
 Each task packs the documents of its partition as they come.  Full windows are
 cut from a document's front; the rest goes, whole, into the open window whose
 new fill level gives the smallest sum of squared counts of partly filled
-windows, with the counts in an array by level.  What is open at the end is laid
-into full windows one piece after the other, and the last one is cut at powers
-of two, which need no padding.
+windows, with the counts in an array by level.  At the end, the emptiest open
+window is taken apart again and again, and its pieces go into the others by the
+same rule, cut where they are larger than every gap; the one window that stays
+is cut at powers of two, which need no padding.
 
 Nothing is shuffled, and a task holds only its open windows.  Results of a
 rerun task are the same as long as its partition's rows come in the same order,
@@ -15,6 +16,8 @@ as from a written table.
 from __future__ import annotations
 
 import re
+import sys
+import types
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -29,7 +32,7 @@ from .common import ship
 ship(__name__)
 
 #: Tokenized chunks that a Python worker keeps at most.
-CACHE_CHUNKS = 1_500_000
+CACHE_CHUNKS = 1_000_000
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, whole boolean"
 )
@@ -68,8 +71,8 @@ class SumOfSquares:
     def __post_init__(self) -> None:
         self.counts = np.zeros(self.capacity + 1, dtype=np.int64)
 
-    def level_for(self, size: int) -> int:
-        """The level of the window to use, 0 for a new one.
+    def level_for(self, size: int, new: bool = True) -> int:
+        """The level of the window to use, 0 for a new one (where ``new`` allows it, or no open one fits).
 
         A move from level h to h + size changes the sum of squares by
         2 (N[h + size] - N[h]) + 2, filling a window up by 1 - 2 N[h], and a new
@@ -81,15 +84,17 @@ class SumOfSquares:
         here, after = self.counts[open_levels], self.counts[open_levels + size]
         change = np.where(open_levels + size == self.capacity, 1 - 2 * here, 2 * (after - here) + 2)
         best = len(change) - 1 - int(np.argmin(change[::-1]))
-        return int(open_levels[best]) if change[best] <= 2 * self.counts[size] + 1 else 0
+        return int(open_levels[best]) if not new or change[best] <= 2 * self.counts[size] + 1 else 0
 
-    def place(self, piece: Piece) -> list[Piece] | None:
+    def take(self, level: int) -> list[Piece]:
+        """An open window of the level, no longer open."""
+        self.counts[level] -= 1
+        return self.windows[level].pop()
+
+    def place(self, piece: Piece, new: bool = True) -> list[Piece] | None:
         """Puts the piece; returns the window if that fills it."""
-        level = self.level_for(len(piece))
-        window = []
-        if level:
-            window = self.windows[level].pop()
-            self.counts[level] -= 1
+        level = self.level_for(len(piece), new)
+        window = self.take(level) if level else []
         window.append(piece)
         level += len(piece)
         if level == self.capacity:
@@ -99,26 +104,28 @@ class SumOfSquares:
         return None
 
     def close(self) -> Iterator[list[Piece]]:
-        """The open windows: those at a power of two as they are, the others' pieces laid anew."""
-        loose: list[Piece] = []
-        for level in sorted(self.windows, reverse=True):
-            for window in self.windows[level]:
-                if level & (level - 1) == 0:
-                    yield window
-                else:
-                    loose += window
-        left = sum(map(len, loose))
+        """The open windows' pieces: full windows, and the rest of less than one cut at powers of two."""
+        while self.counts.sum() > 1:
+            for piece in self.take(int(np.flatnonzero(self.counts)[0])):
+                while len(piece):
+                    levels = np.flatnonzero(self.counts)
+                    widest = self.capacity - int(levels[0]) if len(levels) else self.capacity
+                    part, piece = piece.cut(min(len(piece), widest))
+                    if full := self.place(part, new=False):
+                        yield full
+        rest = [piece for level in np.flatnonzero(self.counts) for piece in self.take(int(level))]
+        left = sum(map(len, rest))
         while left:
-            room = self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1)
+            room = 1 << (left.bit_length() - 1)
             left -= room
             window = []
             while room:
-                piece = loose.pop(0)
-                if len(piece) > room:
-                    piece, rest = piece.cut(room)
-                    loose.insert(0, rest)
-                window.append(piece)
-                room -= len(piece)
+                piece = rest[0]
+                part, rest[0] = piece.cut(min(len(piece), room))
+                if not len(rest[0]):
+                    del rest[0]
+                window.append(part)
+                room -= len(part)
             yield window
 
 
@@ -146,6 +153,14 @@ class ChunkEncoder:
     are those of its chunks, and a plain chunk's are those of its two runs.
     """
 
+    @staticmethod
+    def of_worker(path: str) -> ChunkEncoder:
+        """The encoder of this Python worker, kept between its tasks, so that a word is learnt once a worker."""
+        kept = sys.modules.setdefault("cdrflow_of_worker", types.ModuleType("cdrflow_of_worker")).__dict__
+        if path not in kept:
+            kept[path] = ChunkEncoder(path)
+        return kept[path]
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -185,7 +200,7 @@ class ChunkEncoder:
         chunks = [(t or "").encode().lower().split() for t in texts]  # A-Z, as the tokenizer does itself
         if len(self.known) > CACHE_CHUNKS:
             self.known.clear()
-        self._learn([c for c in set().union(*chunks) if c not in self.known])
+        self._learn(list(set().union(*chunks).difference(self.known)))
         return [b"".join(map(self.known.__getitem__, cs)) for cs in chunks]
 
 
@@ -196,7 +211,7 @@ def pack_documents(
     capacity: int = 4096,
     id_col: str = "doc_id",
     text_col: str = "text",
-    encoder: Callable[[str], Callable[[list], list[bytes]]] = ChunkEncoder,
+    encoder: Callable[[str], Callable[[list], list[bytes]]] = ChunkEncoder.of_worker,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset, whole.
 

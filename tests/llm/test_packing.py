@@ -83,3 +83,35 @@ def test_no_rows_and_null_ids(spark):
     df = spark.createDataFrame([(None, "a b"), (None, "a b")], "doc_id long, text string")
     assert P.pack_documents(df.limit(0), PATH, 2).count() == 0
     assert sorted(r.doc_tokens for r in P.pack_documents(df, PATH, 2).collect() if r.start == 0) == [3, 3]
+
+
+def test_nearly_all_is_placed_by_sum_of_squares(monkeypatch):
+    """Of 1,000 documents as long as those of the tables, little is laid without level_for; no id is lost."""
+    rnd = random.Random(8)
+    sizes = [min(20_000, int(rnd.lognormvariate(6.2, 1.0)) + 1) for _ in range(1000)]
+    placed = 0
+    real = P.SumOfSquares.place
+
+    def place(self, piece, new=True):
+        nonlocal placed
+        placed += len(piece)
+        return real(self, piece, new)
+
+    monkeypatch.setattr(P.SumOfSquares, "place", place)
+    windows = list(P.pack((P.Piece(i, 0, b"\1\0\0\0" * n, n) for i, n in enumerate(sizes)), 4096))
+    total = sum(sizes)
+    assert sum(len(p) for w in windows for p in w) == total
+    fill = [sum(map(len, w)) for w in windows]
+    ends = [n for n in fill if n < 4096]
+    assert sum(ends) < 4096 and all(n & (n - 1) == 0 for n in ends)
+    whole = sum(4096 * (n // 4096) for n in sizes)  # windows that one document fills alone
+    assert placed >= total - whole - 4096 and sum(ends) < 0.05 * total
+    for i, n in enumerate(sizes):
+        parts = sorted((p.start, len(p)) for w in windows for p in w if p.doc_id == i)
+        assert [a for a, _ in parts] == [sum(m for _, m in parts[:k]) for k in range(len(parts))] and sum(m for _, m in parts) == n
+
+
+def test_a_worker_keeps_what_it_learnt(tokenizer):
+    encode = P.ChunkEncoder.of_worker(PATH)
+    encode(["some words to learn"])
+    assert P.ChunkEncoder.of_worker(PATH) is encode and b"learn" in encode.known
