@@ -1,12 +1,12 @@
-"""Exact duplicates by a 128-bit content hash, verified on the bytes.
+"""Exact duplicates by a 128-bit content hash, with the bytes compared inside each group.
 
-Plan: one scan writes a narrow table (row id, doc id, MD5, SHA-256) to the
-shared folder; the classes are a partial aggregate of it, so a group of copies
-that holds a third of all rows collapses before the shuffle.  A second
-aggregate groups by (hash, text): its grouping keys are compared byte by byte,
-so a hash shared by different texts shows as two variants.  Rows of such a hash
-are told apart by their SHA-256, and the query fails rather than merge texts
-that agree on both hashes but not on their bytes.
+Plan: one aggregate by (hash, text), whose grouping keys are compared byte by
+byte, finds the hashes that different texts share: hardly ever any.  One scan
+writes a narrow table (row id, doc id, 128-bit hash, SHA-256 for the report) to
+the shared folder, with the text itself beside it for a shared hash only, so
+such a group is split by its distinct texts.  The classes are a partial
+aggregate of that table, so a group of copies that holds a third of all rows
+collapses before the shuffle.
 """
 
 from __future__ import annotations
@@ -34,43 +34,37 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if keep not in ("smallest", "largest"):
         raise ValueError(f"keep: {keep}")
     norm = normalise(F.col(text_col))
-    key = F.unhex(F.concat(F.md5(norm), F.sha2(norm, 256))).alias("content")
-    rows = materialize(
-        docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"), key), "exact-rows"
+    content = F.unhex(F.md5(norm))
+    texts = docs.select(content.alias("content"), norm.alias("norm")).groupBy("content", "norm").count()
+    shared = materialize(
+        texts.groupBy("content").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("content"), "exact-shared"
     )
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row_id"),
+        F.col(id_col).alias("doc_id"),
+        content.alias("content"),
+        F.sha2(norm, 256).alias("text_sha256"),
+        norm.alias("norm"),
+    )
+    if shared.isEmpty():
+        rows = rows.withColumn("part", F.lit(""))
+    else:
+        split = rows.join(shared.withColumn("split", F.lit(True)), "content", "left")
+        rows = split.withColumn("part", F.when(F.col("split"), F.col("norm")).otherwise(F.lit("")))
+    rows = materialize(rows.select("row_id", "doc_id", "content", "text_sha256", "part"), "exact-rows")
     if keep == "largest":
         best = F.max(F.struct("doc_id", (-F.col("row_id")).alias("r")))
     else:
         best = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", F.col("row_id").alias("r")))
-    classes = rows.groupBy("content").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-    # the grouping key holds the text itself: equal hash and unequal bytes give two rows
-    variants = (
-        docs.select(key, norm.alias("norm"))
-        .groupBy("content", "norm")
-        .count()
-        .groupBy("content")
-        .agg(F.count(F.lit(1)).alias("variants"))
-    )
-    checked = classes.join(variants, "content").select(
-        F.hex("content").alias("content_hex"),
-        F.col("best.doc_id").alias("keep_id"),
-        F.abs(F.col("best.r")).alias("keep_row"),
-        F.when(F.col("variants") > 1, F.raise_error(F.lit("different texts share both content hashes")).cast("long"))
-        .otherwise(F.col("group_size"))
-        .alias("group_size"),
+    classes = rows.groupBy("content", "part").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+    named = classes.select(
+        F.hex("content").alias("content_hex"), "part", F.col("best.doc_id").alias("keep_id"), F.abs("best.r").alias("keep_row"), "group_size"
     )
     # joined on a derived key, so both sides are exchanged and a hot group can be split by AQE
     return (
         rows.withColumn("content_hex", F.hex("content"))
-        .join(checked, "content_hex")
-        .select(
-            "doc_id",
-            "keep_id",
-            "group_size",
-            (F.col("row_id") == F.col("keep_row")).alias("kept"),
-            F.lower(F.substring("content_hex", 33, 64)).alias("text_sha256"),
-            "row_id",
-        )
+        .join(named, ["content_hex", "part"])
+        .select("doc_id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"), "text_sha256", "row_id")
     )
 
 

@@ -62,7 +62,8 @@ def op4_host_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest, folder = warc_zip.archive_pages(table(spark, sf_dir, "pages"))
-    records = warc_zip.read_records(warc_zip.read_index(manifest, folder), folder)
+    size = manifest.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    records = warc_zip.read_records(warc_zip.read_index(manifest, folder), folder, size)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -149,15 +149,22 @@ def is_listed(levels: list[Level], key: Column) -> Column:
     return out
 
 
+#: Columns that ``judge_urls`` gives; of the same names in its input they take the place.
+VERDICT_COLUMNS = ("host", "path", "rule", "verdict", "on_list")
+
+
 def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[Rule], max_level_bytes: int = MAX_LEVEL_BYTES) -> DataFrame:
-    """``pages`` (with ``url``) plus host, path, rule and verdict.
+    """``pages`` (with ``url``) plus host, path, rule, verdict and on_list.
 
     ``listed`` has the blocked keys (``key``: host followed by path).  The
     longest fitting rule decides; without one, listed keys are blocked.  Null
     and malformed urls have the key '' and are judged like any other.  Listed
-    keys that no page has are ignored: they can match nothing.
+    keys that no page has are ignored: they can match nothing.  Every row gives
+    one, repeated ones too; an empty table gives none.  Columns of ``pages``
+    stay as they are, whatever their names, but for those of the result.
     """
-    keyed = with_host_path(pages).withColumn("key", F.concat("host", "path"))
+    nested = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("page"), pages["url"].alias("url"))
+    keyed = with_host_path(nested).withColumn("key", F.concat("host", "path"))
     keys = materialize(
         keyed.select("key", F.lit(False).alias("l"), F.lit(True).alias("here"))
         .union(listed.select("key", F.lit(True), F.lit(False)))
@@ -170,8 +177,10 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[Rule], max_level
     levels = build_cascade(keys, max_level_bytes)
     if levels is None:
         hits = keys.filter("listed").select("key", F.lit(True).alias("hit"))
-        keyed = keyed.join(hits, "key", "left").withColumn("on_list", F.coalesce("hit", F.lit(False))).drop("hit")
+        keyed = keyed.join(hits, "key", "left").withColumn("on_list", F.coalesce("hit", F.lit(False)))
     else:
         keyed = keyed.withColumn("on_list", is_listed(levels, F.col("key")))
     by_list = F.when(F.col("on_list"), F.lit("block")).otherwise(F.lit("allow"))
-    return apply_rules(keyed, rules).withColumn("verdict", F.coalesce("rule_verdict", by_list)).drop("rule_verdict", "key")
+    judged = apply_rules(keyed, rules).withColumn("verdict", F.coalesce("rule_verdict", by_list))
+    own = [F.col("page")[c].alias(c) for c in pages.columns if c not in VERDICT_COLUMNS]
+    return judged.select(*own, *VERDICT_COLUMNS)

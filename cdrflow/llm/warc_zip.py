@@ -40,6 +40,8 @@ MAX_PACKAGE = 1 << 30
 MIN_REVISIT = 100
 #: Adjacent records are fetched with one read up to so many bytes.
 READ_BYTES = 4 << 20
+#: Bytes of archives that a task reads at most, about.
+TASK_BYTES = 128 << 20
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
 # fixed values: ZIP record signatures and sizes
@@ -281,11 +283,18 @@ def _page(urn: str | None) -> int | None:
     return None if page in ("", "none") else int(page)
 
 
-def read_records(index: DataFrame, folder: str) -> DataFrame:
+def read_tasks(spark, archive_bytes: int) -> int:
+    """Tasks that read so many bytes of archives: TASK_BYTES each, less where that keeps every core busy."""
+    cores = 2 * spark.sparkContext.defaultParallelism
+    return max(1, -(-archive_bytes // TASK_BYTES), min(cores, -(-archive_bytes // READ_BYTES)))
+
+
+def read_records(index: DataFrame, folder: str, archive_bytes: int | None = None) -> DataFrame:
     """Records by range: page_id, record_type, payload (null for a revisit), payload_digest, payload_bytes, refers_to.
 
     Ranges are dealt by package and stretch of it, so a large package is read by
-    several tasks; neighbours are fetched together.
+    several tasks; neighbours are fetched together.  The number of tasks follows
+    ``archive_bytes`` (the manifest's sum), as the index says little about it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,8 +339,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
             yield batch_of(parsed(path, ranges))
 
     stretch = F.floor(F.col("start") / READ_BYTES)
+    tasks = [] if archive_bytes is None else [read_tasks(index.sparkSession, archive_bytes)]
     return (
-        index.repartition("path", stretch)
+        index.repartition(*tasks, "path", stretch)
         .sortWithinPartitions("path", "start")
         .mapInArrow(
             run,

@@ -52,12 +52,12 @@ def test_dropping_keeps_one_whole_row(spark, keep):
     assert X.drop_duplicates(df.limit(0), keep=keep).count() == 0
 
 
-def test_a_hash_shared_by_different_texts_is_an_error(spark, monkeypatch):
+def test_a_hash_shared_by_different_texts_is_split(spark, monkeypatch):
+    """Inside a group the bytes decide: texts that share the hash are groups of their own."""
     from pyspark.sql import functions as F
 
     monkeypatch.setattr(X.F, "md5", lambda c: F.lit("00" * 16))
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "doc_id long, text string")
-    assert sorted(r.group_size for r in X.exact_duplicates(df).collect()) == [1, 2, 2]  # told apart by the second hash
-    monkeypatch.setattr(X.F, "sha2", lambda c, n: F.lit("00" * 32))
-    with pytest.raises(Exception, match="share both content hashes"):
-        X.exact_duplicates(df).collect()
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "A"), (4, None), (5, "")], "doc_id long, text string")
+    out = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in X.exact_duplicates(df).collect()}
+    assert out == {1: (1, 2, True), 2: (2, 1, True), 3: (1, 2, False), 4: (4, 2, True), 5: (4, 2, False)}
+    assert sorted(r.doc_id for r in X.drop_duplicates(df).collect()) == [1, 2, 4]

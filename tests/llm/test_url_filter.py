@@ -35,10 +35,10 @@ def test_cascade_is_exact(spark, bound):
     listed = set(rnd.sample(keys, 700))
     pages = spark.createDataFrame(
         [(i, f"http://{k}?a", 1, "x") for i, k in enumerate(keys * 2)] + [(-1, None, 1, "x")], "page_id long, url string, hit int, key string"
-    ).drop("hit")
+    )
     want = spark.createDataFrame([(k,) for k in [*listed, "elsewhere/1", "elsewhere/1"]], "key string")
-    out = U.judge_urls(pages.drop("key"), want, [], bound).collect()
-    assert len(out) == 6001
+    out = U.judge_urls(pages, want, [], bound).collect()
+    assert len(out) == 6001 and {(r.hit, r.key) for r in out} == {(1, "x")}
     assert all((r.verdict == "block") == (r.host + r.path in listed) and r.rule is None for r in out)
 
 
@@ -69,3 +69,10 @@ def test_levels_answer_for_every_key(spark):
     levels = U.build_cascade(keys)
     wrong = keys.filter(U.is_listed(levels, keys["key"]) != keys["listed"]).count()
     assert levels and wrong == 0
+
+
+def test_columns_of_the_result_take_the_place_of_equal_names(spark):
+    df = spark.createDataFrame([(1, "http://a.net/x", "mine", 5, 6, 7)], "page_id long, url string, host string, page int, rule int, listed int")
+    out = U.judge_urls(df, spark.createDataFrame([], "key string"), [])
+    assert out.columns == ["page_id", "url", "page", "listed", "host", "path", "rule", "verdict", "on_list"]
+    assert tuple(out.first()) == (1, "http://a.net/x", 5, 7, "a.net", "/x", None, "allow", False)
