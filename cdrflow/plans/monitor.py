@@ -251,9 +251,12 @@ def v_recent(detail: DataFrame, as_of: str, days: int = 30) -> DataFrame:
 
 
 def table_volume(df: DataFrame) -> DataFrame:
-    """Bytes on storage of a file-based table (distinct files x size)."""
-    files = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s")).distinct()
-    return files.agg(
+    """Bytes on storage of a file-based table: its files are listed, no row is read."""
+    spark = df.sparkSession
+    paths = df.inputFiles()
+    listed = spark.createDataFrame([(p,) for p in paths], "p string")
+    sizes = spark.read.format("binaryFile").load(paths).select(F.col("length").alias("s")) if paths else listed.select(F.lit(0).cast("bigint").alias("s"))
+    return sizes.agg(
         F.count(F.lit(1)).alias("FILES"),
         F.sum("s").cast("bigint").alias("BYTES"),
         F.round(F.sum("s") / F.lit(1024 * 1024), 2).alias("SIZE_MB"),

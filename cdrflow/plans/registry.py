@@ -18,10 +18,12 @@ from cdrflow.session import configure
 from cdrflow.mapping import OCC_DEDUP_KEYS, OCC_MAPPING, ColumnSpec, detail_schema
 from cdrflow.operators import audit as A
 from cdrflow.operators import merge as MG
+from cdrflow.operators import sketches as SK
 from cdrflow.operators import transform as TR
 from cdrflow.plans import fixtures as FX
 from cdrflow.plans import monitor as M
 from cdrflow.plans import oracle_sql as O
+from cdrflow.plans.views import register_views
 from cdrflow.sources import tables as TB
 
 AS_OF = FX.AS_OF
@@ -587,17 +589,66 @@ register(
     + ") + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100.0 AS AVG_ROW_LEN FROM cdr_raw",
 )(lambda spark, d: M.table_profile(FX.cdr_raw(spark, d).select(*_TEXT_COLS, "SOURCE_FILE"), "RA_T_TMP_OCC"))
 
-register(
-    "v_dashboard",
-    "WITH " + O.base_ctes() + ", load_audit AS (" + O.LOAD_AUDIT + "), staging_mmg AS (" + O.STAGING_MMG + ") SELECT "
-    f"(SELECT COUNT(*) FROM load_audit WHERE LOAD_TS >= {O.AS_OF} - INTERVAL 1 DAY) AS FILES_24H, "
-    f"(SELECT COUNT(*) FROM load_audit WHERE STATUS = 'SUCCESS' AND LOAD_TS >= {O.AS_OF} - INTERVAL 1 DAY) AS FILES_SUCCESS_24H, "
-    f"(SELECT COUNT(*) FROM load_audit WHERE STATUS = 'ERROR' AND LOAD_TS >= {O.AS_OF} - INTERVAL 1 DAY) AS FILES_ERROR_24H, "
-    f"(SELECT CAST(SUM(ROWS_CSV) AS BIGINT) FROM load_audit WHERE STATUS = 'SUCCESS' AND LOAD_TS >= {O.AS_OF} - INTERVAL 1 DAY) AS ROWS_PROCESSED_24H, "
-    "(SELECT COUNT(*) FROM cdr_raw) AS TMP_OCC_ROWS, (SELECT COUNT(*) FROM staging_mmg) AS TMP_MMG_ROWS, "
-    f"(SELECT COUNT(*) FROM detail WHERE START_DATE >= {O.AS_OF}) AS DETAIL_OCC_TODAY, "
-    "(SELECT COUNT(*) FROM detail) AS DETAIL_OCC_TOTAL",
-)(lambda spark, d: M.v_dashboard(audit(spark, d), FX.cdr_raw(spark, d), FX.staging_mmg(spark, d), detail(spark, d), AS_OF))
+_DASHBOARD_SQL = (
+    "WITH " + O.base_ctes() + ", load_audit AS (" + O.LOAD_AUDIT + "), staging_mmg AS (" + O.STAGING_MMG + "), "
+    "a AS (SELECT COUNT(*) AS FILES_24H, COUNT(*) FILTER (WHERE STATUS = 'SUCCESS') AS FILES_SUCCESS_24H, "
+    "COUNT(*) FILTER (WHERE STATUS = 'ERROR') AS FILES_ERROR_24H, "
+    "CAST(SUM(ROWS_CSV) FILTER (WHERE STATUS = 'SUCCESS') AS BIGINT) AS ROWS_PROCESSED_24H "
+    f"FROM load_audit WHERE LOAD_TS >= {O.AS_OF} - INTERVAL 1 DAY), "
+    f"d AS (SELECT COUNT(*) FILTER (WHERE START_DATE >= {O.AS_OF}) AS DETAIL_OCC_TODAY, COUNT(*) AS DETAIL_OCC_TOTAL FROM detail), "
+    "o AS (SELECT COUNT(*) AS TMP_OCC_ROWS FROM cdr_raw), m AS (SELECT COUNT(*) AS TMP_MMG_ROWS FROM staging_mmg) "
+    "SELECT a.*, o.*, m.*, d.* FROM a CROSS JOIN o CROSS JOIN m CROSS JOIN d"
+)
+
+register("v_dashboard", _DASHBOARD_SQL)(
+    lambda spark, d: M.v_dashboard(audit(spark, d), FX.cdr_raw(spark, d), FX.staging_mmg(spark, d), detail(spark, d), AS_OF)
+)
+
+
+def with_views(spark, sf_dir) -> None:
+    register_views(spark, audit(spark, sf_dir), FX.cdr_raw(spark, sf_dir), FX.staging_mmg(spark, sf_dir), detail(spark, sf_dir))
+
+
+@register("v_dashboard_by_name", _DASHBOARD_SQL)
+def q_dashboard_by_name(spark, sf_dir):
+    with_views(spark, sf_dir)
+    return spark.sql(f"SELECT * FROM cdr_dashboard(TIMESTAMP_NTZ'{AS_OF}')")
+
+
+@register(
+    "v_recent_by_name",
+    O.with_base(f"SELECT {DETAIL_OUT}, SOURCE_FILE, SOURCE_DIR FROM detail WHERE " + _DET_SINCE.format(d="2024-01-24")),
+)
+def q_recent_by_name(spark, sf_dir):
+    with_views(spark, sf_dir)
+    return _as_double(spark.sql(f"SELECT * FROM cdr_recent(TIMESTAMP_NTZ'{AS_OF}', 7)"))
+
+
+_SKETCHED = ["A_MSISDN", "EVENT_TYPE", "CHARGING_ID", "DATA_VOLUME", "CHARGE_AMOUNT", "EVENT_DURATION", "B_MSISDN"]
+_SKETCH_WINDOWS = (("2024-01-24", "2024-01-31"), ("2024-01-01", "2024-01-31"))
+_OF_NUMBER = "{c} IN ('DATA_VOLUME', 'CHARGE_AMOUNT', 'EVENT_DURATION')"
+
+
+@register(
+    "m_window_statistics",
+    O.with_base(" UNION ALL ".join(
+        f"SELECT CAST('{lo}' AS DATE) AS FIRST_DAY, '{c}' AS COLUMN_NAME, COUNT(*) AS ROW_COUNT, COUNT(*) - COUNT({c}) AS NULL_COUNT, "
+        f"COUNT(DISTINCT {c}) AS DISTINCT_EXACT, TRUE AS DISTINCT_OK, "
+        + ", ".join(f"CASE WHEN {_OF_NUMBER.format(c=chr(39) + c + chr(39))} THEN TRUE END AS {q}_OK" for q in ("MEDIAN", "P95"))
+        + f" FROM detail WHERE CAST(START_DATE AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'"
+        for lo, hi in _SKETCH_WINDOWS for c in _SKETCHED
+    )),
+)
+def q_window_statistics(spark, sf_dir):
+    """Two windows from one set of daily sketches, with the exact counts beside the estimates' bounds."""
+    rows = detail(spark, sf_dir)
+    sketches = TB.shared_copy(SK.daily_sketches(rows, _SKETCHED), "daily-sketches")
+    parts = [
+        SK.checked_statistics(rows, SK.window_statistics(sketches, lo, hi), _SKETCHED, lo, hi)
+        .select(F.lit(lo).cast("date").alias("FIRST_DAY"), "*")
+        for lo, hi in _SKETCH_WINDOWS
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 def flagship(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:

@@ -6,13 +6,17 @@ Each micro-batch hands its files to the batch load (``plans.batch_load``)
 through ``foreachBatch``:
 
 * schedule: ``trigger(processingTime="10 minutes")`` or ``availableNow``;
-* no overlapping runs: one active query per checkpoint location;
+* no overlapping runs: one active query per checkpoint location, and each
+  batch takes the warehouse's lease, so a batch beside another run fails;
 * exactly once per file: the checkpoint's file log, plus skip-loaded,
   partition reload and insert-if-absent make a replayed batch harmless;
 * cross-batch de-duplication: the merge's anti join on the key table;
-* source archiving: ``cleanSource=archive`` (best effort, see README);
+* loaded and failed files go to OUT / ERR with ``LoadOptions(routes=...)``,
+  replayed from a journal after a crash; ``cleanSource=archive`` is there too
+  (best effort, see README);
 * progress: each batch's files and bytes are published as observed metrics
-  of the query; row counts per file are in the audit.
+  of the query; the rows that each step of the batch wrote are appended to the
+  warehouse's ``progress`` table, row counts per file to the audit.
 """
 
 from __future__ import annotations
