@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,6 +30,8 @@ ship(__name__)
 PATHS, MIN_SHARE = 5, 0.1
 #: Pages that must vote for a path before it stands for a template.
 MIN_VOTES = 2
+#: Elements that may stand inside each other, as in browsers; deeper ones add their text to the last of these.
+DEPTH = 512
 #: A winning path with less than this share of the text of the page's own container holds next to nothing.
 SMALL = 0.1
 
@@ -36,7 +39,7 @@ SMALL = 0.1
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 SKIPPED = frozenset("head script style textarea title iframe noembed noframes xmp noscript template svg math canvas object "
-                    "audio video select datalist button form fieldset dialog nav aside footer menu".split())
+                    "audio video select datalist button fieldset dialog nav aside footer menu".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("html body main article section div td th table tbody thead tr ul ol dl blockquote details figure "
                        "center header".split())
@@ -90,6 +93,7 @@ class Page:
 
     elements: list[Element] = field(default_factory=lambda: [Element(-1, "", "", False, False, False)])
     blocks: list[Block] = field(default_factory=list)
+    known: dict[tuple[int, bool, int], bool] = field(default_factory=dict)  # what ``dropped`` has found
 
     def above(self, i: int) -> Iterator[int]:
         while i >= 0:
@@ -101,34 +105,58 @@ class Page:
         total = 0
         for b in self.blocks:
             total += len(b.text)
-            for i in self.above(b.element):
-                self.elements[i].chars += len(b.text)
+            self.elements[b.element].chars += len(b.text)
+        for e in reversed(self.elements[1:]):  # parents come before their children
+            self.elements[e.parent].chars += e.chars
         for e in self.elements:
             if e.tag in ("article", "main", "h1") and not e.skipped:
                 for i in self.above(e.parent):
+                    if self.elements[i].leads:
+                        break
                     self.elements[i].leads = True
+        self.skip_forms(total)
         for e in self.elements:
             if e.marked and (e.tag in ("html", "body", "main", "article") or e.leads and e.tag != "header" or e.good and 2 * e.chars > total):
                 e.marked = False
 
+    def skip_forms(self, total: int) -> None:
+        """A form is skipped unless it holds the article: its heading, or most text where nothing outside is one."""
+        if not any(e.tag == "form" for e in self.elements):
+            return
+        inside = [False] * len(self.elements)
+        outside = False
+        for i, e in enumerate(self.elements):
+            inside[i] = e.tag == "form" or i > 0 and inside[e.parent]
+            outside = outside or not inside[i] and not e.skipped and e.tag in ("article", "main", "h1")
+        for i, e in enumerate(self.elements):
+            holds = e.leads or 2 * e.chars > total and not outside
+            e.skipped = e.skipped or e.tag == "form" and not holds or i > 0 and self.elements[e.parent].skipped
+
     def dropped(self, block: Block, top: int = -1) -> bool:
         """Whether something between the block and ``top`` isn't the article; an article's own heading stays."""
-        for i in self.above(block.element):
-            if i == top:
-                return False
-            e = self.elements[i]
-            if e.skipped or (e.marked or e.tag == "header") and not (block.heading and top >= 0):
-                return True
-        return False
+        heading = block.heading and top >= 0
+        key = block.element, heading, top
+        if key not in self.known:
+            self.known[key] = False
+            for i in self.above(block.element):
+                if i == top:
+                    break
+                e = self.elements[i]
+                if e.skipped or (e.marked or e.tag == "header") and not heading:
+                    self.known[key] = True
+                    break
+        return self.known[key]
 
     def best(self) -> tuple[int, float]:
         """The container with the highest score: text outside links, half as much for each container in between."""
         scores: dict[int, float] = {}
+        shares: dict[int, int] = {}
         for b in self.blocks:
-            if self.dropped(b):
-                continue
-            share, inside = float(len(b.text) - b.link_chars), False
-            for i in self.above(b.element):
+            if not self.dropped(b):
+                shares[b.element] = shares.get(b.element, 0) + len(b.text) - b.link_chars
+        for element, held in shares.items():
+            share, inside = float(held), False
+            for i in self.above(element):
                 e = self.elements[i]
                 if e.tag in CONTAINERS or i == 0:
                     share *= 0.5 if inside else 1.0
@@ -140,9 +168,8 @@ class Page:
     def holders(self) -> set[str]:
         """The paths of the containers that text stands in directly."""
         return {
-            self.elements[next(i for i in self.above(b.element) if i == 0 or self.elements[i].tag in CONTAINERS)].path
-            for b in self.blocks
-            if not self.dropped(b)
+            self.elements[next(i for i in self.above(element) if i == 0 or self.elements[i].tag in CONTAINERS)].path
+            for element in {b.element for b in self.blocks if not self.dropped(b)}
         }
 
     def tops(self, path: str) -> set[int]:
@@ -157,12 +184,11 @@ class Page:
         return sum(len(b.text) - b.link_chars for b in self.below(tops))
 
     def below(self, tops: set[int]) -> list[Block]:
-        out = []
-        for b in self.blocks:
-            top = next((i for i in self.above(b.element) if i in tops), None)
-            if top is not None and not self.dropped(b, top) and not any(self.elements[i].skipped for i in self.above(top)):
-                out.append(b)
-        return out
+        over: dict[int, int | None] = {}
+        for element in {b.element for b in self.blocks}:
+            top = next((i for i in self.above(element) if i in tops), None)
+            over[element] = None if top is None or any(self.elements[i].skipped for i in self.above(top)) else top
+        return [b for b in self.blocks if (top := over[b.element]) is not None and not self.dropped(b, top)]
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -181,6 +207,9 @@ def parse(source: str) -> Page:
     page = Page()
     elements = page.elements
     stack: list[tuple[str, int]] = []  # open block-level elements
+    still_open: Counter[str] = Counter()  # of these, by tag
+    too_deep: Counter[str] = Counter()  # open ones that are not in the stack
+    known: dict[str, str] = {}  # each path is held once
     links = 0  # open a elements
     buffer: list[tuple[str, bool]] = []
 
@@ -196,11 +225,14 @@ def parse(source: str) -> Page:
 
     def close(n: int) -> None:
         flush()
+        for tag, _ in stack[n:]:
+            still_open[tag] -= 1
         del stack[n:]
 
-    position, end = 0, len(source)
+    position, end, last = 0, len(source), source.rfind(">")
     while position < end:
-        m = TOKEN.search(source, position)
+        # behind the last ">" no tag can end, but a comment may begin
+        m = TOKEN.search(source, position) if position <= last or source.find("<!", position) >= 0 else None
         if m is None:
             buffer.append((source[position:], links > 0))
             break
@@ -214,9 +246,11 @@ def parse(source: str) -> Page:
             if tag == "a":
                 links = max(0, links - 1)
             elif tag in BLOCKS or tag in SKIPPED:
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if at is not None:
-                    close(at)
+                if too_deep[tag]:
+                    too_deep[tag] -= 1
+                    flush()
+                elif still_open[tag]:
+                    close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
                 elif tag == "p":
                     flush()
             continue
@@ -235,10 +269,10 @@ def parse(source: str) -> Page:
             if tag in BLOCKS:
                 flush()
                 links = 0
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("p", "button")), None)
+                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("p", "button")), None) if still_open["p"] else None
                 if at is not None and stack[at][0] == "p":
                     close(at)
-            if tag in ENDS:
+            if tag in ENDS and any(still_open[t] for t in ENDS[tag]):
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in BOUNDS[tag]:
                         break
@@ -248,23 +282,28 @@ def parse(source: str) -> Page:
             if tag in VOID or m[3].endswith("/") and tag in ("svg", "math", "canvas", "object"):
                 continue
             flush()
+            if len(stack) >= DEPTH:
+                too_deep[tag] += 1
+                continue
             parent = stack[-1][1] if stack else 0
             a = _attributes(m[3])
             names = f"{a.get('class', '')} {a.get('id', '')}"
             kind = "".join(f".{c}" for c in sorted(set(re.sub(r"\d+", "#", a.get("class", "")).split())))
             up = elements[parent]
+            path = f"{up.path}/{tag}{kind}" if tag != "html" else up.path
             hidden = "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "")
             elements.append(
                 Element(
                     parent,
                     tag,
-                    f"{up.path}/{tag}{kind}" if tag != "html" else up.path,
+                    known.setdefault(path, path),
                     up.skipped or tag in SKIPPED or hidden or a.get("role", "").lower() in ROLES,
                     bool(names.strip()) and _marked(names),
                     "comment" not in names.lower() and bool(GOOD & {w.lower() for w in WORD.findall(names)}),
                 )
             )
             stack.append((tag, len(elements) - 1))
+            still_open[tag] += 1
     flush()
     page.settle()
     return page

@@ -1,3 +1,5 @@
+import pytest
+
 import html
 
 from cdrflow.llm import html_extract as H
@@ -64,3 +66,37 @@ def test_hosts_with_several_templates(spark):
     data = [(i, f"http://h.net/{i}", page.format(p=f"{i} {PARAGRAPH * 3}")) for i, page in rows]
     out = H.main_text(spark.createDataFrame(data, "page_id long, url string, html string")).collect()
     assert {r.page_id: r.text for r in out} == {i: f"{i} {PARAGRAPH * 3}" for i, _ in rows} and len(out) == len(rows)
+
+
+def text_of(source):
+    return H.extract(source, [])[0]
+
+
+def test_a_form_around_the_page_does_not_hide_the_article():
+    body = "<h1>Title</h1><p>The first paragraph of the article.</p><p>And the second one.</p>"
+    page = f"<html><body><form action=x><div class=page>{body}</div><input name=q><button>Go</button></form></body></html>"
+    assert text_of(page) == "Title\n\nThe first paragraph of the article.\n\nAnd the second one."
+    plain = "<body><form><div><p>A long paragraph that is all there is to read here.</p></div></form></body>"
+    assert text_of(plain) == "A long paragraph that is all there is to read here."
+
+
+def test_other_forms_stay_out():
+    page = ("<body><article><h1>T</h1><p>Text.</p><form><h3>Subscribe</h3><p>A rather long call to leave your address with us, "
+            "longer than the article.</p><label>Mail</label></form></article><form><p>Search</p></form></body>")
+    assert text_of(page) == "T\n\nText."
+
+
+@pytest.mark.parametrize("piece", ["<div>x", "<div class=a1>", "<p>x<div>", "<li>x<ul>", "<a ", "<a href='", "<a href=\"x", "<button><div>", "</div><b>x", "<td>x"])
+def test_a_megabyte_of_odd_markup_takes_linear_time(piece):
+    import time
+
+    source = piece * (1_000_000 // len(piece))
+    began = time.process_time()
+    H.extract(source, ["/body/div"])
+    assert time.process_time() - began < 20
+
+
+def test_text_of_deep_elements_is_kept():
+    source = "<body>" + "".join(f"<div>word{i} " for i in range(2000)) + "</div>" * 2000 + "<div>after</div></body>"
+    words = text_of(source).split()
+    assert words[:2] == ["word0", "word1"] and words[-2:] == ["word1999", "after"] and len(words) == 2001
