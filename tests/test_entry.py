@@ -63,3 +63,16 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [dcols.index(c) for c in cols]
     exp = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=repr)
     assert got == exp
+
+
+def test_core_queries_stay_when_the_subpackage_cannot_be_imported(monkeypatch):
+    """A package that it needs is missing, or its folder is gone: the other queries are all there."""
+    import sys
+
+    from cdrflow.plans.registry import ORACLES, QUERIES
+
+    monkeypatch.setitem(sys.modules, "cdrflow.llm.queries", None)
+    assert set(E.queries()) == set(QUERIES) and set(E.oracle_sql()) == set(ORACLES)
+    monkeypatch.undo()
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert "pipeline" not in E.queries()

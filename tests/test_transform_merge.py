@@ -63,12 +63,16 @@ def test_keep_first_picks_first_line(spark):
 
 
 def test_merge_plan_aggregates_before_shuffle(spark):
-    """One hot key must be combined map-side: a partial aggregate sits below
-    the first exchange, and the anti join sees one row per key."""
+    """One hot key must be combined map-side: a partial aggregate of places sits
+    below its exchange, and the join with the loaded keys sees one row per key."""
     ins, _ = R.merged(spark, SF001, "keep_first")
-    plan = ins._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan
-    assert "LeftAnti" in plan
+    lines = ins._jdf.queryExecution().executedPlan().toString().splitlines()
+    final = next(i for i, x in enumerate(lines) if "functions=[min(_AT" in x)
+    below = lines[final + 1 :]
+    assert "Exchange hashpartitioning(DEDUP_KEY" in next(x for x in below if "Exchange" in x)
+    assert any("partial_min(_AT" in x for x in below)
+    joined = next(x for x in reversed(lines[:final]) if "Join" in x)
+    assert "LeftOuter" in joined and "DEDUP_KEY" in joined
 
 
 def test_mmg_transform_not_implemented(spark):
