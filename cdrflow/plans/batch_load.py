@@ -179,7 +179,7 @@ class Progress:
         return self.spark.read.schema(df.schema).parquet(path), self.note(step, feed, seen)
 
     def note(self, step: str, feed: str, seen: Observation) -> int:
-        n = int(seen.get["rows"])
+        n = int(seen.get.get("rows", 0))
         self.rows.append((self.seq, feed, step, n))
         return n
 
@@ -456,6 +456,8 @@ def clean_up(spark: SparkSession, warehouse: str, as_of: str, retention_days: in
             lease.check()
             TB.drop_staging_files(spark, wh.staging, files)
             V.compact(spark, wh.staging)
+        if TB.exists(spark, wh.rejects):
+            V.compact(spark, wh.rejects)
         if not events.isEmpty():
             lease.check()
             TB.replace_audit(MT.retain(events, as_of, retention_days)[0], wh.audit)

@@ -138,9 +138,9 @@ def scan_lines(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``number_lines`` of the listed files: the text is read once and written to ``scratch``.
 
-    Without ``scratch`` a folder of its own is made in the warehouse.
+    Without ``scratch`` a folder of its own is made in the shared folder.
     """
-    where = scratch or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scan-{uuid.uuid4().hex}"
+    where = scratch or f"{FS.shared_root(spark)}/_scan-{uuid.uuid4().hex}"
     raw = read_raw(spark, listing, line_sep)
     raw.write.mode("overwrite").parquet(f"{where}/raw")
     return number_lines(spark.read.schema(RAW_SCHEMA).parquet(f"{where}/raw"))

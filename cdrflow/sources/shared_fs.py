@@ -81,3 +81,19 @@ def create_exclusive(spark: SparkSession, path: str, text: str = "") -> bool:
     stream.write(bytearray(text.encode()))
     stream.close()
     return True
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder for written intermediates: ``spark.checkpoint.dir``, or the warehouse where none is named.
+
+    On a cluster a warehouse on a local disk is none, as executors do not share it.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    root = spark.conf.get("spark.sql.warehouse.dir")
+    master = spark.sparkContext.master
+    on_one_machine = master.startswith("local") and not master.startswith("local-cluster")
+    if not on_one_machine and fs_path(spark, root)[1].toUri().getScheme() == "file":
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return root.rstrip("/")

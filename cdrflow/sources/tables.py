@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from cdrflow.mapping import AUDIT_SCHEMA
 from cdrflow.sources import generations as G
 from cdrflow.sources import versions as V
-from cdrflow.sources.shared_fs import delete_path, exists
+from cdrflow.sources.shared_fs import delete_path, exists, shared_root
 
 STAGING_PARTS = ["SOURCE_DIR", "SOURCE_FILE"]
 AUDIT_EVENT_SCHEMA = T.StructType([*AUDIT_SCHEMA.fields, T.StructField("SEQ", T.LongType(), True)])
@@ -32,11 +32,10 @@ __all__ = ["delete_path", "exists"]
 def shared_copy(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the cluster's shared folder and read back.
 
-    The folder is ``spark.checkpoint.dir``, or the warehouse where none is named.
+    The folder is that of ``shared_root``.
     """
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{root.rstrip('/')}/cdrflow/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/cdrflow/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

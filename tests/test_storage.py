@@ -287,3 +287,25 @@ def test_wide_rows_are_in_no_aggregate_of_the_merge(spark, monkeypatch):
     plan = inserted._jdf.queryExecution().executedPlan().toString()
     aggregates = [x for x in plan.splitlines() if "Aggregate(" in x]
     assert aggregates and not [x for x in aggregates if "FLEX_FLD2" in x or "min_by" in x]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from cdrflow.sources import shared_fs as FS
+
+    def session(master, **conf):
+        path = SimpleNamespace(toUri=lambda: SimpleNamespace(getScheme=lambda: conf["dir"].split(":")[0]))
+        fs = SimpleNamespace(makeQualified=lambda p: p)
+        jvm = SimpleNamespace(org=SimpleNamespace(apache=SimpleNamespace(hadoop=SimpleNamespace(fs=SimpleNamespace(
+            Path=lambda p: SimpleNamespace(getFileSystem=lambda c: SimpleNamespace(makeQualified=lambda q: path)))))))
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, _jvm=jvm, _jsc=SimpleNamespace(hadoopConfiguration=lambda: fs))
+        get = {"spark.checkpoint.dir": conf.get("shared"), "spark.sql.warehouse.dir": conf["dir"]}.get
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: get(k) or d), sparkContext=context)
+
+    assert FS.shared_root(session("local[4]", dir="file:/w/")) == "file:/w"
+    assert FS.shared_root(session("yarn", dir="hdfs://n/w")) == "hdfs://n/w"
+    assert FS.shared_root(session("yarn", dir="file:/w", shared="hdfs://n/c/")) == "hdfs://n/c"
+    for master in ("yarn", "local-cluster[3,2,3000]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            FS.shared_root(session(master, dir="file:/w"))
