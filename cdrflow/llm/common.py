@@ -47,6 +47,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def other_columns(names: list[str], added: list[str] | tuple[str, ...]) -> list[str]:
+    """Those of ``names`` that no added column takes the place of; case does not matter, as in Spark."""
+    taken = {a.lower() for a in added}
+    return [c for c in names if c.lower() not in taken]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

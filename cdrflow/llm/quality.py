@@ -2,10 +2,10 @@
 
 Every document gets whole-text counts (words, characters, symbols, repeated
 lines, repeated 5-word windows).  A base rule rejects hopeless documents.  For
-the others, four rates are summarised per (language, source) by a mergeable
+the others, three rates are summarised per (language, source) by a mergeable
 quantile sketch: a log-linear histogram (exact below 128, then 7 significant
-bits, so within 1/64 of the value), whose merge is the sum of its counts.  The
-fence of the repeated windows is for completeness: the base rule is stricter.  The
+bits, so within 1/64 of the value), whose merge is the sum of its counts.
+Repeated windows have no fence: the base rule is about them already.  The
 sketches of small groups are replaced by the merged sketch of their language,
 or of the whole corpus.  Fences around the quartiles are then joined back; where
 one side of a group is far wider than the other, as with much junk, its fences
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, materialize
+from .common import SPACE_CLASS, materialize, other_columns
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -52,7 +52,6 @@ FENCES = {
     "word_length": Fence("word_chars", floor=500, lower=True, min_words=50),
     "symbol_rate": Fence("n_symbols", floor=20),
     "dup_line_rate": Fence("n_dup_lines", floor=15),
-    "repeat_rate": Fence("n_repeat_words", floor=35),
 }
 #: A group's own sketch needs so many documents; below, the merged one is used.
 MIN_GROUP = 200
@@ -68,9 +67,11 @@ def _without_symbols(text: Column) -> Column:
 def with_counts(df: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns plus the whole-text counts of ``COUNTS`` (long).
 
-    A null text has no words, lines or symbols.
+    A null text has no words, lines or symbols.  Every row gives one, repeated
+    ones too; an empty table gives none.  Columns of the names in ``COUNTS`` are
+    replaced.
     """
-    keep = df.columns if keep is None else keep
+    keep = other_columns(df.columns if keep is None else keep, COUNTS)
     base = df.select(F.struct(*[df[c] for c in keep]).alias("row"), F.coalesce(df[text_col], F.lit("")).alias("t"))
     words = base.select(
         "row",
@@ -254,12 +255,19 @@ def _fences(quartiles: DataFrame) -> DataFrame:
     )
 
 
+#: Columns that ``judge`` gives.
+VERDICT_COLUMNS = ("base_failed", "failed", "kept")
+
+
 def judge(featured: DataFrame, lang_col: str = "lang", source_col: str = "source", min_group: int = MIN_GROUP) -> DataFrame:
     """``featured`` plus ``base_failed``, ``kept`` and ``failed`` (the first fence a document breaks).
 
     ``featured`` must be stable on a second read (a written table): the fences
     come from it and are joined back to it.  Null language or source is a
-    group of its own.
+    group of its own.  Every row gives one, repeated ones too (each counts in
+    its group's sketch); an empty table gives none.  A rate on a fence is kept.
+    Columns of ``featured`` stay as they are, whatever their names, but for
+    those three: the result's take their place.
     """
     groups = featured.select(
         F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), *COUNTS
@@ -275,15 +283,22 @@ def judge(featured: DataFrame, lang_col: str = "lang", source_col: str = "source
             for m, f in FENCES.items()
         ]
     )
+    own = other_columns(featured.columns, VERDICT_COLUMNS)
+    rows = featured.select(
+        F.struct(*[featured[c] for c in own]).alias("row"),
+        featured[lang_col].alias("of_lang"),
+        featured[source_col].alias("of_source"),
+        *[featured[c] for c in COUNTS],
+    )
+    failed = F.when(base_failed(), F.lit("base")).otherwise(broken)
     # the limits are a written table: broadcast below the session's size threshold, else a join AQE can split
-    return (
-        featured.join(
-            limits,
-            featured[lang_col].eqNullSafe(F.col("lim_lang")) & featured[source_col].eqNullSafe(F.col("lim_source")),
-            "left",
-        )
-        .withColumn("base_failed", base_failed())
-        .withColumn("failed", F.when(F.col("base_failed"), F.lit("base")).otherwise(broken))
-        .withColumn("kept", F.col("failed").isNull())
-        .drop("lim_lang", "lim_source", "lim")
+    return rows.join(
+        limits,
+        F.col("of_lang").eqNullSafe(F.col("lim_lang")) & F.col("of_source").eqNullSafe(F.col("lim_source")),
+        "left",
+    ).select(
+        *[F.col("row")[c].alias(c) for c in own],
+        base_failed().alias("base_failed"),
+        failed.alias("failed"),
+        failed.isNull().alias("kept"),
     )

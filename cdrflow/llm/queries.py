@@ -206,28 +206,29 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _SYMBOL = "[#*$%&|<>]"
 
 
-def _fence_sql() -> tuple[str, str]:
-    """The rates of a document, and the conditions that break a fence."""
+def _by_metric(value) -> str:
+    return "CASE metric " + " ".join(f"WHEN '{m}' THEN {value(f)}" for m, f in quality.FENCES.items()) + " END"
+
+
+def _op3_sql() -> str:
     rates = ", ".join(
         f"{{'m': '{m}', 'v': CASE WHEN n_words >= {f.min_words} THEN 1000 * {f.count} // n_words END}}"
         for m, f in quality.FENCES.items()
     )
-    limits = []
-    for m, f in quality.FENCES.items():
-        spread = f"{f.reach} * greatest(q75 - q25, {f.floor})"
-        low = f"q25 - {spread}" if f.lower else "-1"
-        limits.append(f"WHEN v.metric = '{m}' THEN v < {low} OR v > q75 + {spread}")
-    return rates, "CASE " + " ".join(limits) + " END"
-
-
-def _op3_sql() -> str:
-    rates, broken = _fence_sql()
-    order = "CASE metric " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(quality.FENCES)) + " END"
+    order = _by_metric(list(quality.FENCES.values()).index)
+    reach, floor, lower = _by_metric(lambda f: f.reach), _by_metric(lambda f: f.floor), _by_metric(lambda f: str(f.lower))
+    spread = f"({reach}) * greatest(q75 - q25, {floor})"
+    inner = f"(2 * ({reach}) + 1) * greatest(2 * least(q50 - q25, q75 - q50), {floor}) // 2"
+    used = ", ".join(
+        f"CASE WHEN o.n >= {quality.MIN_GROUP} THEN o.{q} WHEN l.n >= {quality.MIN_GROUP} THEN l.{q} ELSE a.{q} END AS {q}"
+        for q in ("q25", "q50", "q75")
+    )
 
     def quartiles(name: str, groups: str) -> str:
         by = f"{groups}, " if groups else ""
         return f"""{name} AS (
-  SELECT {by}metric, sum(n) AS n, min(bin) FILTER (4 * upto >= total) AS q25, min(bin) FILTER (4 * upto >= 3 * total) AS q75
+  SELECT {by}metric, sum(n) AS n, min(bin) FILTER (4 * upto >= total) AS q25, min(bin) FILTER (2 * upto >= total) AS q50,
+         min(bin) FILTER (4 * upto >= 3 * total) AS q75
   FROM (SELECT *, sum(n) OVER (PARTITION BY {by}metric ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {by}metric) AS total
         FROM (SELECT {by}metric, bin, sum(n) AS n FROM sketch GROUP BY ALL))
   GROUP BY ALL)"""
@@ -254,15 +255,24 @@ v AS (SELECT r, lang, source, m AS metric, v FROM rates WHERE v IS NOT NULL),
 sketch AS (SELECT lang, source, metric, (v >> s) << s AS bin, count(*) AS n
            FROM (SELECT *, greatest(length(bin(v)) - 7, 0)::BIGINT AS s FROM v) GROUP BY ALL),
 {quartiles("own", "lang, source")}, {quartiles("by_lang", "lang")}, {quartiles("of_all", "")},
-used AS (SELECT o.lang, o.source, o.metric,
-                CASE WHEN o.n >= {quality.MIN_GROUP} THEN o.q25 WHEN l.n >= {quality.MIN_GROUP} THEN l.q25 ELSE a.q25 END AS q25,
-                CASE WHEN o.n >= {quality.MIN_GROUP} THEN o.q75 WHEN l.n >= {quality.MIN_GROUP} THEN l.q75 ELSE a.q75 END AS q75
+peers AS (SELECT metric, max(low) FILTER (2 * low_nr >= groups) AS peer_low, min(high) FILTER (2 * high_nr >= groups) AS peer_high
+          FROM (SELECT metric, low, high, count(*) OVER (PARTITION BY metric) AS groups,
+                       row_number() OVER (PARTITION BY metric ORDER BY low DESC) AS low_nr,
+                       row_number() OVER (PARTITION BY metric ORDER BY high) AS high_nr
+                FROM (SELECT metric, q25 - {spread} AS low, q75 + {spread} AS high FROM own))
+          GROUP BY metric),
+used AS (SELECT o.lang, o.source, o.metric, {used}
          FROM own o JOIN by_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.metric = l.metric
          JOIN of_all a ON o.metric = a.metric),
+limits AS (SELECT lang, source, metric,
+                  CASE WHEN {lower} THEN greatest(q25 - {spread}, least(q50 - {inner}, peer_low)) ELSE -1 END AS low,
+                  least(q75 + {spread}, greatest(q50 + {inner}, peer_high)) AS high
+           FROM used JOIN peers USING (metric)),
 bad AS (SELECT r, arg_min(metric, {order}) AS metric
-        FROM (SELECT v.r, v.metric, {broken} AS broken
-              FROM v JOIN used u ON v.metric = u.metric AND v.lang IS NOT DISTINCT FROM u.lang
-                   AND v.source IS NOT DISTINCT FROM u.source) WHERE broken GROUP BY r)
+        FROM (SELECT v.r, v.metric
+              FROM v JOIN limits u ON v.metric = u.metric AND v.lang IS NOT DISTINCT FROM u.lang
+                   AND v.source IS NOT DISTINCT FROM u.source
+              WHERE v.v < u.low OR v.v > u.high) GROUP BY r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND metric IS NULL AS kept, CASE WHEN base_failed THEN 'base' ELSE metric END AS failed
 FROM b LEFT JOIN bad USING (r)

@@ -1,7 +1,10 @@
 import random
 import re
 
+import duckdb
+
 from cdrflow.llm import quality as Q
+from cdrflow.llm.queries import ORACLES, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -76,3 +79,37 @@ def test_a_source_with_much_junk_keeps_its_filter(spark):
         out = Q.judge(Q.with_counts(df, keep=["doc_id", "lang", "source"]).cache()).collect()
         assert all(r.failed == ("symbol_rate" if r.doc_id[0] == "j" else None) for r in out)
         assert len(out) == len(rows)
+
+
+def test_the_oracle_has_the_bound_too(spark, tmp_path):
+    """A table on which the bound decides: without it, no junk of the hot source would go."""
+    rnd = random.Random(4)
+
+    def doc(symbols=0):
+        words = ["".join(rnd.choice("abcdef") for _ in range(rnd.randint(3, 7))) for _ in range(60)]
+        return " ".join(w + "#" * (symbols * (i + 1) // 60 - symbols * i // 60) for i, w in enumerate(words))
+
+    rows = [(1000 * s + i, doc(), "en", f"s{s}") for s in range(3) for i in range(210)]
+    rows += [(5000 + i, doc(), "en", "hot") for i in range(300)] + [(6000 + i, doc(10 + i), "en", "hot") for i in range(150)]
+    rows += [(7000, doc(), None, None), (7001, doc(40), None, None), (7002, None, "en", "hot"), (6000, doc(99), "en", "hot")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op3_adaptive_quality"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    out = [tuple(r) for r in got.collect()]
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLES['op3_adaptive_quality']})").fetchall()
+    assert sorted(map(repr, out)) == sorted(map(repr, want))
+    assert sum(r[-1] == "symbol_rate" for r in out) == 152
+
+
+def test_columns_of_any_name(spark):
+    rows = [(i, "plain words of one text that go on for a while " * 8 + str(i), "en", "s", 7, "x", True, "l", None, "r") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, N_words int, failed string, Kept boolean,"
+                                     " lim string, lim_lang string, row string")
+    counted = Q.with_counts(df).cache()
+    assert [c for c in counted.columns if c.lower() == "n_words"] == ["n_words"] and set(Q.COUNTS) < set(counted.columns)
+    out = Q.judge(counted)
+    assert sorted(out.columns) == sorted([*[c for c in counted.columns if c not in ("failed", "Kept")], "base_failed", "failed", "kept"])
+    assert all(r.kept in (True, False) and r.lim == "l" and r.row == "r" and r.n_words > 10 for r in out.collect())
+    assert out.count() == 5 and Q.judge(counted.limit(0)).count() == 0
