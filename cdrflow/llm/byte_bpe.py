@@ -31,6 +31,8 @@ from .common import materialize
 
 #: Words whose ids are kept as a literal, about 25 bytes each; the literal is part of the plan.
 MAX_CACHED = 1 << 17
+#: Longer words (bytes) are folded where they stand, and all words of the literal have so many bytes together at most.
+LONGEST_CACHED, MAX_CACHED_BYTES = 256, 1 << 23
 #: Counts above are one class when the cut-off is sought.
 COUNT_LIMIT = 100_000
 #: Entries of a lookup bucket on average.
@@ -173,24 +175,26 @@ class Cache:
 
 
 def cached_words(docs: DataFrame, text_col: str, vocabulary: Vocabulary, most: int = MAX_CACHED) -> Cache:
-    """The ids of the corpus' frequent words, ``most`` at most, so of bounded size.
+    """The ids of the corpus' frequent words, ``most`` and ``MAX_CACHED_BYTES`` at most, so of bounded size.
 
-    All words of the corpus are counted; the cut-off is the lowest count that at
-    most ``most`` words reach.
+    All words of the corpus are counted; the cut-off is the lowest count that no
+    more words and bytes reach.
     """
     counts = materialize(
         docs.select(F.explode(words_of(docs[text_col], vocabulary)).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1),
+        .filter((F.col("n") > 1) & (F.octet_length("word") <= LONGEST_CACHED)),
         "bpe-counts",
     )
-    per_count = counts.groupBy(F.least("n", F.lit(COUNT_LIMIT)).alias("n")).agg(F.count(F.lit(1)).alias("words"))
-    cut, total = COUNT_LIMIT + 1, 0
+    per_count = counts.groupBy(F.least("n", F.lit(COUNT_LIMIT)).alias("n")).agg(
+        F.count(F.lit(1)).alias("words"), F.sum(F.octet_length("word")).alias("bytes")
+    )
+    cut, total, size = COUNT_LIMIT + 1, 0, 0
     for row in per_count.orderBy(F.desc("n")).collect():  # COUNT_LIMIT rows at most
-        if total + row["words"] > most:
+        if total + row["words"] > most or size + row["bytes"] > MAX_CACHED_BYTES:
             break
-        cut, total = row["n"], total + row["words"]
+        cut, total, size = row["n"], total + row["words"], size + row["bytes"]
     n = max(1, total // PER_BUCKET)
     ids = F.concat_ws(",", fold(F.col("word"), vocabulary).cast("array<string>"))
     found = (
@@ -209,7 +213,12 @@ def cached_words(docs: DataFrame, text_col: str, vocabulary: Vocabulary, most: i
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", most_cached: int = MAX_CACHED) -> DataFrame:
-    """``docs`` plus ``ids`` (array<int>) of each whole text; a null text counts as empty."""
+    """``docs`` plus ``ids`` (array<int>) of each whole text; a null text counts as empty and has no ids.
+
+    Every row gives one, repeated ones too; an empty table gives none.  Columns
+    of ``docs`` stay as they are, whatever their names, but for one named
+    ``ids``: the result's takes its place.
+    """
     cache = cached_words(docs, text_col, vocabulary, most_cached)
     known = cache.column()
     by_word = F.transform(

@@ -41,3 +41,22 @@ def test_equals_the_library_whatever_is_cached(spark, vocabulary, reference, cac
 def test_no_documents(spark, vocabulary):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert B.encode(df, vocabulary).collect() == []
+
+
+def test_columns_of_any_name(spark, vocabulary, reference):
+    rows = [(1, "the cat the cat", "a", 3, None), (1, "the cat the cat", "a", 3, None), (None, None, "b", None, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string, word int, n int")
+    out = B.encode(df, vocabulary).collect()
+    assert [tuple(r)[:2] for r in out] == [r[:2] for r in rows] and [r.word for r in out] == [3, 3, None]
+    assert [list(r.ids) for r in out] == [reference.encode_ordinary(r[1] or "") for r in rows]
+
+
+def test_the_cache_is_bounded_in_bytes(spark, vocabulary, reference, monkeypatch):
+    """Long words and words beyond the bytes are folded where they stand, with the same ids."""
+    texts = ["x" * 300 + " ab" * 9 + " cde" * 5, "x" * 300 + " fgh" * 3 + " ab"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert not any("x" * 300 in t for t in B.cached_words(df, "text", vocabulary).texts)
+    monkeypatch.setattr(B, "MAX_CACHED_BYTES", 8)
+    cache = "".join(B.cached_words(df, "text", vocabulary).texts)
+    assert " ab" in cache and " cde" in cache and " fgh" not in cache
+    assert [list(r.ids) for r in B.encode(df, vocabulary).orderBy("doc_id").collect()] == [reference.encode_ordinary(t) for t in texts]
