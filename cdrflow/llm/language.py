@@ -13,20 +13,22 @@ few typical margins for each, however large the corpus is.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import ship
+from .common import other_columns, ship
 
 ship(__name__)
 
 UNKNOWN = "und"
 #: Labelled documents of each language at most, chosen by the hash of their id.
 SAMPLE_DOCS = 100
-#: Characters of a sampled document that go into the dictionary.
+#: Characters of a sampled document that go into the dictionary, from a place that a hash of the id chooses.
 SAMPLE_CHARS = 2000
 DICT_BYTES = 60_000
 MAX_LANGUAGES = 200
@@ -72,29 +74,48 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
         sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES, max_languages: int = MAX_LANGUAGES) -> Model:
     """{language: dictionary} of the most frequent labelled languages, and their typical margins.
 
-    The sample is bounded (``sample_docs`` of a language), deterministic, and
-    cut per partition before any shuffle, so a language that most rows have
-    costs no more than another.  Rows without text or label are ignored; the
-    dictionary's end, which is cheapest to refer to, holds the most frequent
-    words.
+    The sample is bounded (``sample_docs`` of a language) and deterministic:
+    the smallest hashes of the id.  Rows of a language are counted by the
+    length of that hash in bits, so only those short enough are ranked: about
+    twice the sample, however many rows or tasks there are.  Rows without text
+    or label are ignored; an empty table gives an empty model; repeated rows
+    count as often as they are there.  The dictionary's end, which is cheapest
+    to refer to, holds the most frequent words.
     """
-    named = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    counts = named.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    kept = [r["lang"] for r in counts.collect()]
+    named = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
+        F.col(lang_col).alias("lang"),
+        F.xxhash64(F.col(id_col).cast("string"), F.lit(10)).alias("h"),
+        F.xxhash64(F.col(id_col).cast("string"), F.lit(11)).alias("place"),
+        F.col(text_col).alias("text"),
+    )
+    # of h as an unsigned number in the same order
+    bits = F.length(F.bin(F.col("h").bitwiseXOR(F.lit(-(1 << 63)))))
+    counts = (
+        named.groupBy("lang", bits.alias("bits"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("lang")
+        .agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("bits", "n"))).alias("by_bits"))
+        .orderBy(F.desc("n"), "lang")
+        .limit(max_languages)
+    )
+    cuts: dict[str, int] = {}
+    for row in counts.collect():  # 64 numbers at most for each language
+        below = accumulate(n for _, n in row["by_bits"])
+        cuts[row["lang"]] = next((b for (b, _), n in zip(row["by_bits"], below) if n >= sample_docs), 64)
+    if not cuts:
+        return Model({})
+    cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair])
+    start = 1 + F.pmod("place", F.greatest(F.char_length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int")
     rank = Window.partitionBy("lang").orderBy("h", "text")
     sample = (
-        named.select(
-            F.col(lang_col).alias("lang"),
-            F.xxhash64(F.col(id_col).cast("string"), F.lit(10)).alias("h"),
-            F.substring(text_col, 1, SAMPLE_CHARS).alias("text"),
-        )
+        named.filter(bits <= cut[F.col("lang")])
+        .select("lang", "h", F.substring(F.col("text"), start, F.lit(SAMPLE_CHARS)).alias("text"))
         .withColumn("nr", F.row_number().over(rank))
         .filter(F.col("nr") <= sample_docs)
     )
-    texts: dict[str, list[str]] = {lang: [] for lang in kept}
+    texts: dict[str, list[str]] = {lang: [] for lang in cuts}
     for row in sample.orderBy("lang", "nr").collect():  # sample_docs * max_languages short texts at most
-        if row["lang"] in texts:
-            texts[row["lang"]].append(letters(row["text"]))
+        texts[row["lang"]].append(letters(row["text"]))
     learnt = {lang: [x for i, x in enumerate(t, 1) if i % LEAVE_OUT] for lang, t in texts.items()}
     dictionaries = {lang: _dictionary(t, dict_bytes) for lang, t in learnt.items() if any(t)}
     return Model(dictionaries, _typical(dictionaries, {lang: texts[lang][LEAVE_OUT - 1 :: LEAVE_OUT] for lang in dictionaries}))
@@ -210,11 +231,14 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
     the typical one) in a text long enough to be judged: whole bytes must tell
     clean texts of its length in that language from narrow ones.  Ties go to the first name.
     Null, empty and letterless texts are ``und`` with score 0; without any
-    dictionary all texts are.  ``docs`` must not have columns of
-    these four names.
+    dictionary all texts are.  Every row gives one, repeated ones too; an empty
+    table gives none.  Columns of ``docs`` stay as they are, whatever their
+    names, but for those four: the result's take their place.
     """
-    names = docs.columns
-    at = names.index(text_col)
+    added = StructType.fromDDL(SCHEMA_TAIL)
+    names = other_columns(docs.columns, added.names)
+    rows = docs.select(*[docs[c] for c in names], *([] if text_col in names else [docs[text_col]]))
+    at = rows.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Classifier(dictionaries)
@@ -226,16 +250,13 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
                 rejected = (extra["lang_pred"] == UNKNOWN) | (~extra["short"] & (extra["margin"] <= narrow))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *part.columns,
+                        *part.columns[: len(names)],
                         pa.array(extra["lang_pred"], pa.string()),
                         pa.array(extra["score"], pa.float64()),
                         pa.array(extra["margin"], pa.float64()),
                         pa.array(rejected, pa.bool_()),
                     ],
-                    names=[*part.schema.names, "lang_pred", "score", "margin", "rejected"],
+                    names=[*part.schema.names[: len(names)], "lang_pred", "score", "margin", "rejected"],
                 )
 
-    from pyspark.sql.types import StructType
-
-    schema = StructType([*docs.schema.fields, *StructType.fromDDL(SCHEMA_TAIL).fields])
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, StructType([*rows.schema.fields[: len(names)], *added.fields]))

@@ -104,3 +104,65 @@ def test_mixed_and_unlearned_languages_go_and_clean_texts_stay(spark):
     for lang in ("de", "en", "es", "fr"):
         assert judged(lang, [r.text for r in clean if r.lang == lang]) > 0.8
     assert judged(None, ["zqx vkw xqz jjq kzx wqk zxv qqj xzk vvq"]) == 1
+
+
+def test_columns_of_any_name(spark):
+    model = {"aa": b"alpha beta " * 20, "bb": b"gamma delta " * 20}
+    rows = [(1, "alpha beta", 0.5, "x", None, 9), (1, "alpha beta", 0.5, "x", None, 9), (None, None, None, None, True, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Score double, lang_pred string, rejected boolean, names int")
+    out = L.identify(df, model)
+    assert out.columns == ["doc_id", "text", "names", "lang_pred", "score", "margin", "rejected"]
+    assert [(r.doc_id, r.names, r.lang_pred) for r in out.collect()] == [(1, 9, "aa"), (1, 9, "aa"), (None, None, "und")]
+    # the text itself may stand in such a column
+    named = spark.createDataFrame([(1, "gamma delta")], "doc_id long, lang_pred string")
+    assert [tuple(r)[:2] for r in L.identify(named, model, text_col="lang_pred").collect()] == [(1, "bb")]
+    assert L.identify(df.limit(0), model).count() == 0
+
+
+def test_the_sample_is_the_smallest_hashes(spark):
+    """The cut by the hash's length loses nothing, though one language and one id have most rows."""
+    spelt = lambda i: "w" + str(i).translate(str.maketrans("0123456789", "abcdefghij"))
+    rows = [(i, spelt(i), "aa") for i in range(3000)] + [(5000 + i, spelt(i), "bb") for i in range(4)]
+    rows += [(None, "none", "cc")] * 50 + [(7, "same", "aa")] * 2000 + [(1, None, "aa"), (2, "x", None), (3, "12", "dd")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    model = L.fit(df, sample_docs=10)
+    assert set(model) == {"aa", "bb", "cc"}
+    hashes = {r.h: r.i for r in spark.range(3000).selectExpr("id as i", "xxhash64(cast(id as string), 10) as h").collect()}
+    smallest = [hashes[h] for h in sorted(hashes)[:10]]
+    assert 7 not in smallest
+    # two of ten (the fifth and the tenth) are left out of the dictionary
+    assert set(model["aa"].decode().split()) == {spelt(i) for nr, i in enumerate(smallest, 1) if nr % L.LEAVE_OUT}
+    assert set(model["bb"].decode().split()) == {spelt(i) for i in range(4)}
+
+
+def test_any_part_of_a_text_may_be_sampled(spark):
+    """The sampled part does not always begin at the text's first character."""
+    rows = [(i, "opening " * 400 + "closing " * 400, "aa") for i in range(20)]
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert b"opening" in model["aa"] and b"closing" in model["aa"]
+
+
+def test_decisions_by_brute_force(spark, corpus):
+    """Each text packed anew with every dictionary, chunk by chunk, without anything that the operator prepares."""
+    import zstandard as zstd
+
+    model, _ = corpus
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(150)
+
+    def size(data, name):
+        n = -(-len(data) // 2000) or 1
+        step = -(-len(data) // n) or 1
+        packer = zstd.ZstdCompressor(level=12, write_content_size=False, dict_data=zstd.ZstdCompressionDict(model[name], dict_type=zstd.DICT_TYPE_RAWCONTENT))
+        return sum(len(packer.compress(data[i : i + step])) for i in range(0, len(data), step))
+
+    clear = 0
+    for r in L.identify(docs, model).collect():
+        data = L.letters(r.text).encode()
+        if not data:
+            assert r.lang_pred == "und"
+            continue
+        sizes = sorted((size(data, name), name) for name in model)
+        if sizes[1][0] - sizes[0][0] > 2 + len(data) // 500:
+            clear += 1
+            assert r.lang_pred == sizes[0][1]
+    assert clear > 100
