@@ -247,7 +247,17 @@ def m_bad_msisdn(detail: DataFrame, as_of: str, days: int = 1) -> DataFrame:
 
 
 def v_recent(detail: DataFrame, as_of: str, days: int = 30) -> DataFrame:
-    return _day_range(detail, "START_DATE", _day(as_of, days)).orderBy(F.col("START_DATE").desc())
+    """The detail rows of the last days, in no order: a global sort of all of them would shuffle every column.
+
+    ``newest_first`` is for the part that a consumer shows.
+    """
+    return _day_range(detail, "START_DATE", _day(as_of, days))
+
+
+def newest_first(detail: DataFrame, limit: int | None = None) -> DataFrame:
+    """Newest rows first, equal times by key; with ``limit`` each task keeps only so many rows."""
+    ordered = detail.orderBy(F.col("START_DATE").desc_nulls_last(), F.col("CHARGING_ID").asc_nulls_last())
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def table_volume(df: DataFrame) -> DataFrame:

@@ -581,6 +581,14 @@ register(
     O.with_base(f"SELECT {DETAIL_OUT}, SOURCE_FILE, SOURCE_DIR FROM detail WHERE " + _DET_SINCE.format(d="2024-01-01")),
 )(lambda spark, d: _as_double(M.v_recent(detail(spark, d), AS_OF)))
 
+register(
+    "v_recent_newest",
+    O.with_base(
+        f"SELECT {DETAIL_OUT}, SOURCE_FILE, SOURCE_DIR FROM detail WHERE " + _DET_SINCE.format(d="2024-01-01")
+        + " ORDER BY START_DATE DESC, CHARGING_ID LIMIT 100"
+    ),
+)(lambda spark, d: _as_double(M.newest_first(M.v_recent(detail(spark, d), AS_OF), 100)))
+
 _TEXT_COLS = [s.source for s in OCC_MAPPING] + ["SOURCE_DIR"]
 register(
     "table_profile",

@@ -63,3 +63,28 @@ def test_views_by_name_equal_the_functions(spark, tmp_path):
 
     files = glob.glob(f"{detail_path}/*/*.parquet")
     assert (counted.FILES, counted.BYTES) == (len(files), sum(map(os.path.getsize, files)))
+
+
+def test_recent_rows_are_sorted_only_where_they_are_shown(spark, tmp_path):
+    detail_path = str(tmp_path / "detail")
+    TB.append_detail(R.detail(spark, SF001).drop("SOURCE_FILE", "SOURCE_DIR"), detail_path)
+    recent = M.v_recent(spark.read.parquet(detail_path), "2024-01-31 00:00:00")
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "Sort" not in plan(recent) and "Exchange" not in plan(recent)
+    assert "TakeOrderedAndProject" in plan(M.newest_first(recent, 20))
+    rows = sorted(recent.collect(), key=lambda r: r.CHARGING_ID)
+    rows.sort(key=lambda r: r.START_DATE, reverse=True)  # stable: equal times stay by key
+    assert M.newest_first(recent, 20).collect() == rows[:20]
+    assert M.newest_first(recent).collect() == rows and len(rows) > 20
+
+
+def test_equal_and_missing_times_have_an_order(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES ('b', timestamp_ntz'2024-01-02 00:00:00'), ('a', timestamp_ntz'2024-01-02 00:00:00'), "
+        "('c', NULL), (NULL, timestamp_ntz'2024-01-02 00:00:00'), ('d', timestamp_ntz'2024-01-03 00:00:00') AS t(CHARGING_ID, START_DATE)"
+    )
+    assert [r.CHARGING_ID for r in M.newest_first(df).collect()] == ["d", "a", "b", None, "c"]
+    assert M.newest_first(df.where("false"), 5).count() == 0
