@@ -22,11 +22,15 @@ def ship(module: str) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors and the driver share (``spark.checkpoint.dir``).
 
-    Only where the session names none (tests, one machine) a fresh temporary
-    folder is set as the session's checkpoint folder.
+    Only on one machine, where the session names none (tests), a fresh
+    temporary folder is set as the session's checkpoint folder.  On a cluster
+    executors could not share that, so it is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cdrflow-shared-"))
         d = spark.sparkContext.getCheckpointDir()
     return d.rstrip("/")
