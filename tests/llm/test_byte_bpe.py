@@ -60,3 +60,26 @@ def test_the_cache_is_bounded_in_bytes(spark, vocabulary, reference, monkeypatch
     cache = "".join(B.cached_words(df, "text", vocabulary).texts)
     assert " ab" in cache and " cde" in cache and " fgh" not in cache
     assert [list(r.ids) for r in B.encode(df, vocabulary).orderBy("doc_id").collect()] == [reference.encode_ordinary(t) for t in texts]
+
+
+@pytest.mark.parametrize("short", [0, 64, 5000])
+def test_both_folds_equal_the_library(spark, vocabulary, reference, monkeypatch, short):
+    monkeypatch.setattr(B, "SHORT", short)
+    words = [" ", "a", "ab" * 30, "aaaaaaa", "-=" * 20, " Straßenbahnen", "日本語テ", "x" * 65, "qzxjkvbw" * 8, "antidisestablish"]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    tables = [vocabulary.ranks(spark), vocabulary.pairs(spark)]
+    rows = B.with_tables(df, tables, "ids", lambda r, p: B.fold(F.col("word"), vocabulary, r, p)).collect()
+    assert [list(r.ids) for r in rows] == [reference._core_bpe.encode_single_piece(w.encode()) for w in words]
+
+
+def test_tables_are_neither_in_the_plan_nor_in_the_rows(spark, vocabulary):
+    """The frequent words' ids and the ranks are values of subqueries, read in the one projection over the documents."""
+    df = spark.createDataFrame([(1, "a word and a word " * 3)], "doc_id long, text string")
+    plan = B.encode(df, vocabulary)._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 100_000 and plan.count("Project [") == 1
+
+
+def test_the_cache_holds_no_more_words_than_asked_for(spark, vocabulary, monkeypatch):
+    monkeypatch.setattr(B, "COUNT_LIMIT", 3)
+    df = spark.createDataFrame([(1, "a" + " b" * 9)], "doc_id long, text string")
+    assert B.cached_words(df, "text", vocabulary, 0).texts == [""]
