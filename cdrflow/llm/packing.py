@@ -141,8 +141,12 @@ def pack(pieces: Iterator[Piece], capacity: int) -> Iterator[list[Piece]]:
     yield from state.close()
 
 
-#: A word of ASCII and Latin-1 letters (its UTF-8), lower-cased A-Z, and punctuation after it.
-PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([,.;:!?]*)")
+#: Punctuation that a plain chunk may end in.
+MARKS = b",.;:!?"
+#: A word of ASCII and Latin-1 letters (its UTF-8), lower-cased A-Z.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: The characters that byte-level models have for the bytes of such letters, where they are other than Latin-1's.
+BYTE_CHARS = [(chr(b), chr(256 + n)) for n, b in enumerate([*range(33), *range(127, 161), 173]) if b >= 128]
 
 
 class ChunkEncoder:
@@ -150,7 +154,9 @@ class ChunkEncoder:
 
     For tokenizers that drop white space and case, and that take a run of
     letters, and one of punctuation after it, for a unit each: then a text's ids
-    are those of its chunks, and a plain chunk's are those of its two runs.
+    are those of its chunks, and a plain chunk's are those of its two runs.  A
+    run of letters goes to the model alone, in its bytes' characters; pieces
+    that end a unit are marked there.
     """
 
     @staticmethod
@@ -162,39 +168,52 @@ class ChunkEncoder:
         return kept[path]
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary, mark = self.tokenizer.get_vocab(), self.tokenizer.model.end_of_word_suffix
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for piece, i in vocabulary.items() if mark and piece.endswith(mark)]] = True
         self.known: dict[bytes, bytes] = {}
+        alike = [bytes([97 + i, 97 + j]) + c.encode() for i in range(26) for j in range(26) for c in ("", "éÀÖØöøÿ", "ing")]
+        if list(self._by_model(alike)) != list(self._encode(alike)):
+            raise ValueError("this tokenizer does not take a run of letters for a unit, or is not of bytes")
 
     def _encode(self, chunks: list[bytes]) -> Iterator[bytes]:
         for e in self.tokenizer.encode_batch([c.decode() for c in chunks], add_special_tokens=False):
             yield np.asarray(e.ids, dtype="<u4").tobytes()
 
-    def _learn_words(self, words: list[bytes]) -> None:
-        """Runs of letters: many at once in a line, where each is one unit."""
+    def _by_model(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of runs of letters, many at once."""
         for i in range(0, len(words), 2000):
             some = words[i : i + 2000]
-            line = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
-            ids, unit = np.asarray(line.ids, dtype="<u4"), np.asarray(line.word_ids)
-            ends = np.concatenate([[0], np.flatnonzero(np.diff(unit)) + 1, [len(ids)]]) * 4
-            if len(ends) != len(some) + 1:
-                raise ValueError("this tokenizer does not take a run of letters for a unit")
+            text = b" ".join(some).decode().lower().encode().decode("latin-1")
+            for byte, char in BYTE_CHARS:
+                text = text.replace(byte, char)
+            (line,) = self.model.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.asarray(line.ids, dtype="<u4")
+            ends = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1]) * 4
+            if len(ends) != len(some) + 1 or ends[-1] != 4 * len(ids):
+                raise ValueError("this tokenizer's model has no ids for some letters")
             packed, at = ids.tobytes(), ends.tolist()
-            self.known.update((w, packed[a:b]) for w, a, b in zip(some, at, at[1:]))
+            yield from (packed[a:b] for a, b in zip(at, at[1:]))
 
     def _learn(self, chunks: list[bytes]) -> None:
         known, plain, odd = self.known, [], []
         for c in chunks:
-            if m := PLAIN.fullmatch(c):
-                plain.append((c, m[1], m[2]))
+            word = c.rstrip(MARKS)
+            if word.isalpha() or PLAIN.fullmatch(word):
+                plain.append((c, word))
             else:
                 odd.append(c)
-        runs = [mark for mark in {mark for _, _, mark in plain} if mark and mark not in known]
-        known.update(zip([*odd, *runs], self._encode([*odd, *runs])))
-        self._learn_words([word for word in {word for _, word, _ in plain} if word not in known])
-        known.update((c, known[word] + known[mark] if mark else known[word]) for c, word, mark in plain)
+        marks = [mark for mark in {c[len(word) :] for c, word in plain} if mark and mark not in known]
+        known.update(zip([*odd, *marks], self._encode([*odd, *marks])))
+        words = [word for word in {word for _, word in plain} if word not in known]
+        known.update(zip(words, self._by_model(words)))
+        known.update((c, known[word] + known[c[len(word) :]]) for c, word in plain if len(c) > len(word))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         chunks = [(t or "").encode().lower().split() for t in texts]  # A-Z, as the tokenizer does itself
