@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 #: Words whose ids are kept, about 30 bytes each; tasks get them with their plan.
-MAX_CACHED = 1 << 20
+MAX_CACHED = 1 << 19
 #: Of these, the most frequent ones, which have maps.
-HOT = 1 << 16
+HOT = 1 << 15
 #: Longer words (bytes) are folded where they stand, and all words that are kept have so many bytes together at most.
-LONGEST_CACHED, MAX_CACHED_BYTES = 256, 1 << 24
+LONGEST_CACHED, MAX_CACHED_BYTES = 256, 1 << 23
 #: Words up to so many bytes are folded as numbers: an id, the place of the piece above it, what it joins to on top.
 SHORT = 64
 ID_BITS, PLACE_BITS = 20, 20
